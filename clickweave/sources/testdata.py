@@ -1,0 +1,137 @@
+"""Deterministic Bronze view over the driver's ``events`` table.
+
+``events`` holds no sessions, devices, geo, nulls or duplicates, so this view
+injects them by fixed rules on the original ``event_id`` (``id``) and keeps
+every source row. Rows with ``id % 20 == 0`` are delivered a second time (a
+broker replay) through a one-scan ``explode``; no row is dropped or sampled.
+
+The rules below are fixed values of the test fixture (see FIXTURES.md §3);
+the DuckDB twin of this view lives in ``clickweave.plans.oracle``.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickweave import schema
+
+REPLAY_OFFSET = 1_000_000_000
+SHOP_URL = "https://shop.example.com"
+
+
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
+
+
+def _event_type(id_: Column, raw: Column) -> Column:
+    view = (F.when(id_ % 3 == 0, "page_view").when(id_ % 3 == 1, "scroll")
+            .otherwise("search"))
+    mapped = (F.when(raw == "view", view)
+              .when(raw == "purchase", "checkout_complete")
+              .when(raw == "signup", "login")
+              .when(raw == "click", F.when(id_ % 2 == 1, "add_to_cart").otherwise("click"))
+              .when(raw == "error", "error"))
+    return (F.when(id_ % 89 == 0, F.lit(None).cast("string"))
+            .when(id_ % 227 == 0, "hover")
+            .otherwise(mapped))
+
+
+def _device_type(id_: Column) -> Column:
+    slot = id_ % 20
+    return (F.when(id_ % 233 == 0, "fridge")
+            .when(slot < 10, "desktop").when(slot < 17, "mobile")
+            .when(slot < 19, "tablet").otherwise("smart_tv"))
+
+
+def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table as the stream job would have written it (27 columns)."""
+    return bronze_with_id(spark, sf_dir).drop("id")
+
+
+def bronze_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    id_, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
+    k = F.get_json_object("props", "$.k").cast("int")
+    base = ev.select(
+        id_.alias("id"), uid.alias("uid"), ts.alias("ts"),
+        F.col("value").alias("value"), k.alias("k"),
+        _event_type(id_, F.col("event_type")).alias("etype"),
+        _device_type(id_).alias("dtype"),
+        # replay copy number: 0 = first delivery, 1 = replay
+        F.explode(F.when(id_ % 20 == 0, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    id_, uid, ts, copy = F.col("id"), F.col("uid"), F.col("ts"), F.col("copy")
+    etype, dtype = F.col("etype"), F.col("dtype")
+    mobile = dtype == "mobile"
+    block = F.floor((F.unix_timestamp(ts) + 10800) / 43200.0)
+    session = F.concat(uid.cast("string"), F.lit("-"), block.cast("string"))
+    ingest = ts + F.expr("INTERVAL 2 SECONDS")
+    replay_ingest = (F.when(id_ % 60 == 0, F.lit(None).cast(schema.TS))
+                     .when(id_ % 40 == 0, ingest)
+                     .otherwise(ingest + F.expr("INTERVAL 1 HOUR")))
+    product_event = etype.isin("click", "add_to_cart")
+    geo_slot = uid % 5
+    page = (uid % 12).cast("string")
+    return base.select(
+        id_,
+        id_.cast("string").alias("event_id"),
+        etype.alias("event_type"),
+        ts.alias("event_timestamp"),
+        F.when(copy == 0, ingest).otherwise(replay_ingest).alias("ingestion_timestamp"),
+        F.when(id_ % 10 < 7, uid.cast("string")).alias("user_id"),
+        F.when((copy == 1) | (id_ % 97 != 0), session).alias("session_id"),
+        uid.cast("string").alias("anonymous_id"),
+        dtype.alias("device_type"),
+        F.when(mobile, "Android 14").otherwise("Windows 11").alias("os"),
+        F.when(~mobile | (id_ % 229 == 0), "Chrome").alias("browser"),
+        F.when(geo_slot == 0, "IN").when(geo_slot == 1, "US").when(geo_slot == 2, "GB")
+         .when(geo_slot == 3, "SG").alias("country"),
+        F.concat(F.lit("REGION_"), geo_slot.cast("string")).alias("region"),
+        F.concat(F.lit("CITY_"), (uid % 25).cast("string")).alias("city"),
+        F.lit("UTC").alias("timezone"),
+        F.concat(F.lit(SHOP_URL + "/p/"), page).alias("page_url"),
+        F.concat(F.lit("/p/"), page).alias("page_path"),
+        F.when(id_ % 10 >= 3, F.lit(SHOP_URL + "/")).alias("referrer"),
+        F.when(product_event, F.concat(F.lit("P"), F.lpad((id_ % 8 + 1).cast("string"), 3, "0")))
+         .alias("product_id"),
+        F.when(product_event, F.col("value")).alias("price"),
+        F.when(etype == "search", F.concat(F.lit("q"), F.col("k").cast("string")))
+         .alias("search_query"),
+        F.when(id_ % 223 == 0, F.lit(150)).when(etype == "scroll", F.col("k"))
+         .cast("int").alias("scroll_depth_pct"),
+        F.when((etype == "checkout_complete") | (id_ % 211 == 0), F.col("value"))
+         .alias("order_value"),
+        F.when(mobile, F.when(id_ % 2 == 0, "ios").otherwise("android")).otherwise("web")
+         .alias("source"),
+        F.lit(schema.DEFAULT_SCHEMA_VERSION).alias("schema_version"),
+        F.to_date(ts).alias("event_date"),
+        (uid % 4).cast("int").alias("kafka_partition"),
+        (id_ + copy * REPLAY_OFFSET).alias("kafka_offset"),
+    )
+
+
+def envelope_view(spark: SparkSession, sf_dir: str, schema_id: int = 1) -> DataFrame:
+    """Broker records for the Bronze view: JSON payload behind a 5-byte header.
+
+    Corrupt payloads are injected on purpose: ``id % 101 == 0`` is not JSON,
+    ``id % 101 == 1`` is the JSON cut to 60 characters.
+    """
+    from clickweave.functions import envelope
+
+    rows = bronze_with_id(spark, sf_dir)
+    payload = envelope.event_json(rows)
+    id_ = F.col("id")
+    payload = (F.when(id_ % 101 == 0, F.lit("not json{"))
+               .when(id_ % 101 == 1, F.substring(payload, 1, 60))
+               .otherwise(payload))
+    return rows.select(
+        F.col("session_id").cast("binary").alias("key"),
+        F.concat(envelope.header(schema_id), payload.cast("binary")).alias("value"),
+        F.lit("clickstream.raw").alias("topic"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+    )
