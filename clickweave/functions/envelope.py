@@ -50,36 +50,47 @@ def ts_to_millis(col: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", _epoch(), col)
 
 
-def decode_payload(payload: Column, payload_format: str = "json") -> Column:
-    """Binary payload -> nested event struct (timestamps as epoch millis)."""
+def parse_payload(payload: Column, payload_format: str = "json") -> Column:
+    """X2, raw: binary payload -> parsed struct.
+
+    For JSON the struct carries an extra ``_corrupt_record`` field that is set
+    when the payload did not parse whole. Use ``decode`` to get the event.
+    """
     if payload_format == "json":
         wire = T.StructType(schema.EVENT.fields + [T.StructField(_CORRUPT, T.StringType())])
-        parsed = F.from_json(payload.cast("string"), wire,
-                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-        fields = [parsed.getField(f.name).alias(f.name) for f in schema.EVENT.fields]
-        return F.when(parsed.isNotNull() & parsed.getField(_CORRUPT).isNull(), F.struct(*fields))
+        return F.from_json(payload.cast("string"), wire,
+                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     if payload_format == "avro":
         try:
             from pyspark.sql.avro.functions import from_avro
         except ImportError as exc:  # pragma: no cover - depends on the build
             raise RuntimeError("Avro payloads need pyspark's avro module") from exc
-        decoded = from_avro(payload, schema.avro_schema_json(), {"mode": "PERMISSIVE"})
-        # Avro surfaces timestamp-millis as a timestamp; bring it back to millis
-        # so both formats leave decode_payload with the same struct.
-        fields = []
-        for f in schema.EVENT.fields:
-            c = decoded.getField(f.name)
-            if f.name in ("event_timestamp", "ingestion_timestamp"):
-                c = F.unix_millis(c)
-            fields.append(c.alias(f.name))
-        return F.when(decoded.isNotNull(), F.struct(*fields))
+        return from_avro(payload, schema.avro_schema_json(), {"mode": "PERMISSIVE"})
     raise ValueError(f"unknown payload format: {payload_format!r}")
 
 
+def _event_from_parsed(parsed: Column, payload_format: str) -> Column:
+    if payload_format == "json":
+        return F.when(parsed.isNotNull() & parsed.getField(_CORRUPT).isNull(),
+                      parsed.dropFields(_CORRUPT))
+    # Avro surfaces timestamp-millis as a timestamp; bring it back to millis
+    # so both formats yield the same struct.
+    return F.when(parsed.isNotNull(), parsed.withField(
+        "event_timestamp", F.unix_millis(parsed.getField("event_timestamp"))).withField(
+        "ingestion_timestamp", F.unix_millis(parsed.getField("ingestion_timestamp"))))
+
+
 def decode(records: DataFrame, payload_format: str = "json") -> DataFrame:
-    """Envelope records -> records plus an ``event`` struct column."""
-    return records.withColumn(
-        "event", decode_payload(strip_header(F.col("value")), payload_format))
+    """X1 + X2: envelope records -> records plus an ``event`` struct column.
+
+    The payload is parsed once into its own column; the corrupt check and the
+    later field accesses read that column, so the parser runs once per row
+    (inlining the parse into every field would run it once per field).
+    """
+    parsed = records.withColumn(
+        "_parsed", parse_payload(strip_header(F.col("value")), payload_format))
+    return (parsed.withColumn("event", _event_from_parsed(F.col("_parsed"), payload_format))
+                  .drop("_parsed"))
 
 
 def event_struct(rows: DataFrame | None = None) -> Column:

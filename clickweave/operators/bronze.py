@@ -23,13 +23,17 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
     F1 drops events that failed to decode (null struct), F2 events without an
     id, F3 events at or before ``floor`` (strict ``>``; null times dropped).
     """
+    # F1 as a generator: each record yields its event, or nothing when the
+    # payload did not decode. Besides dropping null events, the Generate is a
+    # barrier for predicate pushdown: F2/F3 below reference the generated
+    # column, so Catalyst cannot inline the parser into the filter (which
+    # would run it once per predicate term instead of once per row).
+    events = decoded.select(
+        "partition", "offset",
+        F.explode(F.array_compact(F.array(F.col("event")))).alias("event"))
     ev = F.col("event")
     ts = envelope.millis_to_ts(ev.getField("event_timestamp"))
-    kept = decoded.where(
-        ev.isNotNull()
-        & ev.getField("event_id").isNotNull()
-        & (ts > _floor_literal(floor))
-    )
+    kept = events.where(ev.getField("event_id").isNotNull() & (ts > _floor_literal(floor)))
     cols = []
     for flat, path in schema.FLAT_PATHS:
         c = F.col("event." + path)

@@ -100,11 +100,9 @@ def session_metrics(df: DataFrame, scope: str = "day", strategy: str = "aggregat
             F.min("event_timestamp").alias("session_start"),
             F.max("event_timestamp").alias("session_end"),
         )
-        renamed = per_session.select(
-            *[F.col(k).alias(f"_s_{k}") for k in keys],
-            "session_event_count", "session_start", "session_end")
-        cond = [df[k].eqNullSafe(renamed[f"_s_{k}"]) for k in keys]
-        out = df.join(renamed, on=cond, how="inner").drop(*[f"_s_{k}" for k in keys])
+        # Left equi-join: rows with a null key keep null metrics instead of
+        # forming one giant "null session" (Silver has no null keys after F6).
+        out = df.join(per_session, on=keys, how="left")
     else:
         raise ValueError(f"unknown session strategy: {strategy!r}")
     return out.withColumns({
