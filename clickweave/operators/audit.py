@@ -65,9 +65,18 @@ class StageObserver:
         self._obs[stage] = obs
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
+    @staticmethod
+    def _rows(obs: Observation) -> int:
+        try:
+            return int(obs.get.get("rows", 0))
+        except Exception:
+            # Catalyst removed the observed node (the input folded to an empty
+            # relation), so the observation carries no fields: zero rows.
+            return 0
+
     def counts(self) -> dict[str, int]:
         """Stage -> rows; call after the action that consumed the frames."""
-        return {name: int(o.get.get("rows", 0)) for name, o in self._obs.items()}
+        return {name: self._rows(o) for name, o in self._obs.items()}
 
     def report(self) -> list[dict]:
         c = self.counts()
