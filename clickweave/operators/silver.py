@@ -9,13 +9,20 @@ Scale notes
   turns that filter into a *partial* ``WindowGroupLimit`` before the shuffle,
   so however many copies one event has, each map task ships at most one row
   per key: a replay storm cannot pile up in one reducer.
-* Session metrics default to a partial/final aggregate on the session key,
-  joined back to the rows. The aggregate pre-combines on the map side; the
-  join is planned by Catalyst/AQE: broadcast only when the measured session
-  table is under the broadcast threshold, otherwise a shuffle join whose hot
-  partitions AQE splits (skew join). The ``window`` strategy is the
-  original's plan (one exchange, one sort) and is kept for comparison; it
-  funnels a whole session into one task.
+* Session metrics (``strategy='split'``, the default) never route a whole
+  session through one task. Per-session stats are pre-aggregated (partial
+  then final aggregate). A scalar subquery gives the total row count N; a
+  session holding more than N/``max_hot`` rows is *hot* -- at most
+  ``max_hot`` sessions can be, whatever the data size, so their stats are
+  broadcast with a proven bound and joined map-side. Every row then goes
+  through one shuffle join on (session key, route): cold rows (route 0) meet
+  their session's stats, hot rows carry a never-matching route spread by a
+  row hash, so a hot session is scattered over all tasks and no task holds
+  more than N/``max_hot`` rows of one session.
+* ``strategy='aggregate'`` is the plain stats-join-back (relies on AQE,
+  whose skew-join split does not apply when the stats side is an aggregate);
+  ``strategy='window'`` is the original's plan (one exchange, one sort) and
+  funnels each session into one task. Both are kept for comparison.
 """
 
 from __future__ import annotations
@@ -80,11 +87,57 @@ def session_keys(scope: str) -> list[str]:
     raise ValueError(f"session scope must be 'day' or 'all', not {scope!r}")
 
 
-def session_metrics(df: DataFrame, scope: str = "day", strategy: str = "aggregate") -> DataFrame:
+# At most this many sessions take the broadcast path; any other session has
+# at most 1/MAX_HOT_SESSIONS of all rows.
+MAX_HOT_SESSIONS = 100_000
+
+_STATS = ("session_event_count", "session_start", "session_end")
+
+
+def session_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per session: event count, first and last event time."""
+    return df.groupBy(*keys).agg(
+        F.count("event_id").alias("session_event_count"),
+        F.min("event_timestamp").alias("session_start"),
+        F.max("event_timestamp").alias("session_end"),
+    )
+
+
+def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
+    stats = session_stats(df, keys)
+    # N = rows that count towards a session (what the stats sum to)
+    total = F.coalesce(df.select(F.count("event_id")).scalar(), F.lit(0))
+    # <= max_hot rows by construction: safe to broadcast at any data size
+    hot = (stats.where(F.col("session_event_count") * F.lit(max_hot) > total)
+                .select(*keys, *[F.col(c).alias(f"_h_{c}") for c in _STATS]))
+    tagged = df.join(F.broadcast(hot), on=keys, how="left")
+    # Route for the shuffle join: 0 for cold rows (they meet their session's
+    # stats); hot rows already carry theirs and get a never-matching route
+    # spread by a row hash, so a hot session is scattered over all tasks.
+    spread = F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(1 << 62))
+    routed = tagged.withColumn(
+        "_route", F.when(F.col("_h_session_event_count").isNotNull(), spread + 1)
+                   .otherwise(F.lit(0).cast("long")))
+    # derived from a column, not a literal: a literal route would be folded
+    # into a post-join filter and the shuffle would be on the session alone
+    cold = stats.withColumn("_route", F.least(F.col("session_event_count"), F.lit(0)).cast("long"))
+    # Hash join building the stats side: per task it holds at most one row per
+    # cold session routed there (each has >= 1 streamed row in the same task)
+    # plus the <= max_hot hot stats, so it is bounded by the task's own input;
+    # the big side is streamed, never sorted.
+    joined = routed.join(cold.hint("shuffle_hash"), on=[*keys, "_route"], how="left")
+    return joined.select(
+        *df.columns,
+        *[F.coalesce(F.col(f"_h_{c}"), F.col(c)).alias(c) for c in _STATS])
+
+
+def session_metrics(df: DataFrame, scope: str = "day", strategy: str = "split",
+                    max_hot: int = MAX_HOT_SESSIONS) -> DataFrame:
     """Per-row session count, start, end, duration and bounce.
 
     ``scope='day'`` scopes a session to one ``event_date`` (what a daily job
-    sees); ``scope='all'`` lets sessions span midnight.
+    sees); ``scope='all'`` lets sessions span midnight. Rows whose session
+    key is null get null metrics (Silver has none after F6).
     """
     keys = session_keys(scope)
     if strategy == "window":
@@ -95,14 +148,9 @@ def session_metrics(df: DataFrame, scope: str = "day", strategy: str = "aggregat
             "session_end": F.max("event_timestamp").over(w),
         })
     elif strategy == "aggregate":
-        per_session = df.groupBy(*keys).agg(
-            F.count("event_id").alias("session_event_count"),
-            F.min("event_timestamp").alias("session_start"),
-            F.max("event_timestamp").alias("session_end"),
-        )
-        # Left equi-join: rows with a null key keep null metrics instead of
-        # forming one giant "null session" (Silver has no null keys after F6).
-        out = df.join(per_session, on=keys, how="left")
+        out = df.join(session_stats(df, keys), on=keys, how="left")
+    elif strategy == "split":
+        out = _split_join(df, keys, max_hot)
     else:
         raise ValueError(f"unknown session strategy: {strategy!r}")
     return out.withColumns({

@@ -33,7 +33,7 @@ def cleanse(bronze: DataFrame, drop_nulls_first: bool = False,
 
 def silver(bronze: DataFrame, day: str | dt.date | None = None, *,
            run_ts: str | None = None, session_scope: str = "day",
-           session_strategy: str = "aggregate", drop_nulls_first: bool = False,
+           session_strategy: str = "split", drop_nulls_first: bool = False,
            observer: StageObserver | None = None) -> DataFrame:
     """J3 as a frame with the 36 Silver columns in table order.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from conftest import SF001, bronze_rows
@@ -38,7 +39,7 @@ def test_dedup_limits_before_shuffle(spark):
     assert exchange < partial  # printed top-down: the partial limit sits below the exchange
 
 
-def test_silver_exchanges_without_broadcast(spark):
+def test_silver_session_join_shape(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -46,9 +47,12 @@ def test_silver_exchanges_without_broadcast(spark):
         window = _plan(catalog.silver_sessions_window(spark, SF001))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    # dedup (rows), dedup (narrow session branch), session aggregate, join
-    assert plan.count("Exchange hashpartitioning") == 4
-    assert "partial_count" in plan  # map-side pre-aggregation of sessions
+    assert "partial_count" in plan  # sessions pre-aggregated map-side
+    # both join sides shuffled on (session key, route): hot rows are spread
+    assert len(re.findall(r"hashpartitioning\(event_date#\d+, session_id#\d+, _route", plan)) == 2
+    assert "BroadcastExchange" in plan  # the bounded hot-session stats
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan
+    assert "Subquery" in plan  # the row total that bounds the hot set
     assert window.count("Exchange hashpartitioning") == 2
 
 
@@ -81,3 +85,50 @@ def test_no_single_task_write(spark):
     from clickweave.plans.silver import silver
 
     assert "Coalesce 1" not in _plan(silver(df, None))
+
+
+def _skewed(spark, n):
+    from pyspark.sql import functions as F
+
+    from clickweave import schema
+
+    return (spark.range(n, numPartitions=8).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise(F.concat(F.lit("s"), (F.col("id") % 5000).cast("string"))).alias("session_id"),
+        (F.lit("2024-01-10 00:00:00").cast(schema.TS)
+         + F.make_dt_interval(secs=(F.col("id") % 80000).cast("decimal(18,6)"))).alias("event_timestamp"),
+    ).withColumn("event_date", F.to_date("event_timestamp")))
+
+
+def test_hot_session_is_spread_over_tasks(spark):
+    """One session holds a third of all rows; no task may receive it whole."""
+    from pyspark.sql import functions as F
+
+    from clickweave.operators import silver as ops
+
+    n = 60_000
+    df = _skewed(spark, n)
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+
+        def max_task_rows(strategy):
+            out = ops.session_metrics(df, "day", strategy)
+            # filter on a computed stat so the session step cannot be pruned
+            out = out.where(F.col("session_event_count") > 0)
+            per_task = out.groupBy(F.spark_partition_id()).count()
+            return per_task.agg(F.max("count")).first()[0]
+
+        split, window = max_task_rows("split"), max_task_rows("window")
+        hot = ops.session_metrics(df, "day").where("session_id = 'hot'")
+        stats = hot.agg(F.count("*"), F.min("session_event_count"), F.max("session_event_count")).first()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert window >= n // 3            # the window plan funnels the session into one task
+    assert split < n // 6              # the split plan scatters it
+    assert tuple(stats) == (n // 3, n // 3, n // 3)  # and every hot row still gets exact stats
