@@ -37,8 +37,9 @@ EXTRA = ("silver_sessions_window", "silver_day", "silver_audit", "bronze_flatten
          "profile_total", "dq_enum_domains", "dq_conditional_fields", "event_mix")
 
 
-def timed(fn, runs: int) -> float:
-    fn()  # warm-up
+def timed(fn, runs: int, warmup: int = 2) -> float:
+    for _ in range(warmup):
+        fn()
     samples = []
     for _ in range(runs):
         t0 = time.perf_counter()
@@ -82,7 +83,7 @@ def silver_reference_shape(spark, sf_dir, out_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session("clickweave-bench", f"local[{cpus}]", {
         "spark.sql.shuffle.partitions": str(cpus * 2),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),

@@ -37,7 +37,8 @@ def header(schema_id: int = 1) -> Column:
 
 
 def strip_header(value: Column) -> Column:
-    """Drop the header. Payloads shorter than the header become empty."""
+    """X1 (E10: binary substring/length): drop the header. Payloads shorter
+    than the header become empty."""
     n = schema.ENVELOPE_HEADER_BYTES
     return F.substring(value, n + 1, F.greatest(F.length(value) - n, F.lit(0)))
 

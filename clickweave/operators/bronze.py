@@ -34,7 +34,7 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
     ev = F.col("event")
     ts = envelope.millis_to_ts(ev.getField("event_timestamp"))
     kept = events.where(ev.getField("event_id").isNotNull() & (ts > _floor_literal(floor)))
-    cols = []
+    cols = []  # P1/P2/E11: nested field access, renamed to the flat layout
     for flat, path in schema.FLAT_PATHS:
         c = F.col("event." + path)
         if flat in ("event_timestamp", "ingestion_timestamp"):

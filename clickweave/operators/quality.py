@@ -55,7 +55,8 @@ def conditional_rules() -> list[tuple[str, Column]]:
 
 
 def conditional_fields(df: DataFrame) -> DataFrame:
-    """Q3-Q5, Q7: fields that may only appear on certain events."""
+    """Q3 search_query, Q4 scroll_depth_pct (and its 0-100 range), Q5
+    order_value, Q7 browser: fields that may only appear on certain events."""
     rules = conditional_rules()
     counts = df.agg(F.count(F.lit(1)).alias("_total"),
                     *[F.count_if(pred).alias(name) for name, pred in rules])
@@ -111,9 +112,12 @@ def ingestion_lag(df: DataFrame, limit_ms: int = schema.MAX_INGESTION_LAG_MS) ->
 
 
 def auth_share(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Q10: share of events from signed-in users per day."""
+    """Q10: share of events from signed-in users per day, and its distance
+    from the contract's stated share."""
+    share = F.avg(F.col("user_id").isNotNull().cast("double"))
     return df.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("user_id").isNotNull()).alias("authenticated"),
-        F.round(F.avg(F.col("user_id").isNotNull().cast("double")), digits).alias("auth_share"),
+        F.round(share, digits).alias("auth_share"),
+        F.round(share - F.lit(schema.AUTHENTICATED_SHARE), digits).alias("share_delta"),
     )

@@ -133,7 +133,7 @@ def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
 
 def session_metrics(df: DataFrame, scope: str = "day", strategy: str = "split",
                     max_hot: int = MAX_HOT_SESSIONS) -> DataFrame:
-    """Per-row session count, start, end, duration and bounce.
+    """W2 count, W3 start (min), W4 end (max), E7 duration, E8 bounce, per row.
 
     ``scope='day'`` scopes a session to one ``event_date`` (what a daily job
     sees); ``scope='all'`` lets sessions span midnight. Rows whose session

@@ -234,10 +234,12 @@ SELECT event_date, count(*) AS events,
 FROM (SELECT event_date, {_LAG} AS lag FROM bronze)
 GROUP BY event_date""")
 
-_AUTH = _with(BRONZE_CTE, """
+_AUTH = _with(BRONZE_CTE, f"""
 SELECT event_date, count(*) AS events,
   count(user_id) AS authenticated,
-  round(avg(CASE WHEN user_id IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS auth_share
+  round(avg(CASE WHEN user_id IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS auth_share,
+  round(avg(CASE WHEN user_id IS NOT NULL THEN 1.0 ELSE 0.0 END) - {schema.AUTHENTICATED_SHARE}, 6)
+    AS share_delta
 FROM bronze GROUP BY event_date""")
 
 _AUDIT = _with(SILVER_CTE + f""",

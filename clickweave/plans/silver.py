@@ -46,7 +46,7 @@ def silver(bronze: DataFrame, day: str | dt.date | None = None, *,
     clean = cleanse(src, drop_nulls_first, observer)
     enriched = ops.enrich(clean, run_ts)
     sessions = ops.session_metrics(enriched, session_scope, session_strategy)
-    return sessions.select(*schema.SILVER_COLUMNS)
+    return sessions.select(*schema.SILVER_COLUMNS)  # P6: fixed table order
 
 
 def run_silver(spark: SparkSession, bronze_source: str | DataFrame, silver_table: str,

@@ -48,10 +48,12 @@ def create_silver_table(spark: SparkSession, name: str, location: str | None = N
 
 def overwrite_day(df: DataFrame, table: str, day: str | dt.date | None,
                   partition_col: str = "event_date", rebalance: bool | None = None) -> None:
-    """K5: replace one day of ``table`` with ``df`` atomically.
+    """K5 (absorbing F7, the row-level delete): replace one day of ``table``
+    with ``df`` atomically.
 
     ``day=None`` replaces every day present in ``df`` (dynamic overwrite;
-    days absent from ``df`` are left untouched). ``rebalance`` (default: only
+    days absent from ``df`` are left untouched). K6: instead of a single-file
+    ``coalesce(1)``, ``rebalance`` (default: only
     for multi-day writes) adds a ``REBALANCE`` by day so each day is written
     as a few AQE-sized files instead of one file per task per day.
     """

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickweave import schema
@@ -20,6 +21,20 @@ from clickweave.operators import bronze
 from clickweave.session import shared_dir
 
 DEFAULT_TRIGGER = "15 minutes"
+BATCH_METRIC = "bronze_batch"
+
+
+def _observed(rows: DataFrame) -> DataFrame:
+    """A4: rows per micro-batch, reported in the query progress
+    (``observedMetrics``) by the batch's own write -- no extra job."""
+    return rows.observe(BATCH_METRIC, F.count(F.lit(1)).alias("rows"))
+
+
+def batch_rows(query: StreamingQuery) -> int | None:
+    """Rows written by the query's last micro-batch, from its progress."""
+    progress = query.lastProgress or {}
+    metric = (progress.get("observedMetrics") or {}).get(BATCH_METRIC)
+    return None if metric is None else int(metric["rows"])
 
 
 def _trigger(writer, trigger: str | None):
@@ -47,7 +62,7 @@ def start_bronze_stream(
     with ``to_table=True``, a catalog table."""
     spark = records.sparkSession
     ckpt = checkpoint or shared_dir(spark, "streams", query_name or "bronze")
-    rows = bronze.transform(records, payload_format, floor)
+    rows = _observed(bronze.transform(records, payload_format, floor))
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .partitionBy("event_date").option("checkpointLocation", ckpt))
     if query_name:
