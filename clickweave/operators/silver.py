@@ -113,11 +113,15 @@ def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
     tagged = df.join(F.broadcast(hot), on=keys, how="left")
     # Route for the shuffle join: 0 for cold rows (they meet their session's
     # stats); hot rows already carry theirs and get a never-matching route
-    # spread by a row hash, so a hot session is scattered over all tasks.
+    # spread by a row hash, so a hot session is scattered over all tasks. Rows
+    # with a null key can never match either and are spread the same way
+    # instead of all hashing to one partition.
     spread = F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(1 << 62))
+    no_partner = F.col("_h_session_event_count").isNotNull()
+    for k in keys:
+        no_partner = no_partner | F.col(k).isNull()
     routed = tagged.withColumn(
-        "_route", F.when(F.col("_h_session_event_count").isNotNull(), spread + 1)
-                   .otherwise(F.lit(0).cast("long")))
+        "_route", F.when(no_partner, spread + 1).otherwise(F.lit(0).cast("long")))
     # derived from a column, not a literal: a literal route would be folded
     # into a post-join filter and the shuffle would be on the session alone
     cold = stats.withColumn("_route", F.least(F.col("session_event_count"), F.lit(0)).cast("long"))

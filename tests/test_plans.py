@@ -132,3 +132,29 @@ def test_hot_session_is_spread_over_tasks(spark):
     assert window >= n // 3            # the window plan funnels the session into one task
     assert split < n // 6              # the split plan scatters it
     assert tuple(stats) == (n // 3, n // 3, n // 3)  # and every hot row still gets exact stats
+
+
+def test_null_session_keys_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from clickweave.operators import silver as ops
+
+    n = 30_000
+    df = _skewed(spark, n).withColumn(
+        "session_id", F.when(F.col("session_id") == "hot", F.lit(None)).otherwise(F.col("session_id")))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        out = ops.session_metrics(df, "day").where(
+            F.col("session_event_count").isNull() | (F.col("session_event_count") > 0))
+        per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        nulls = out.where(F.col("session_id").isNull())
+        got = nulls.agg(F.count("*"), F.count("session_event_count")).first()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert per_task < n // 6
+    assert tuple(got) == (n // 3, 0)  # kept, with null metrics
