@@ -16,8 +16,9 @@ TS = T.TimestampNTZType()
 # --------------------------------------------------------------------------
 # Fixed values of the event contract. They must equal the contract for right
 # results: enum symbols in contract order, the simulator's event-type weights,
-# the default schema version, the envelope header size and the stated
-# ingestion-lag and authenticated-share rules.
+# the default schema version, the envelope header size, the stated
+# ingestion-lag and authenticated-share rules, and the Avro type names (Avro
+# resolves records and enums by name).
 # --------------------------------------------------------------------------
 EVENT_TYPES = (
     "page_view", "click", "scroll", "search", "add_to_cart", "remove_from_cart",
@@ -38,6 +39,10 @@ ENVELOPE_HEADER_BYTES = 5
 MAX_INGESTION_LAG_MS = 3000
 AUTHENTICATED_SHARE = 0.7
 DEFAULT_TIMESTAMP_FLOOR = "2024-01-01 00:00:00"
+AVRO_EVENT_RECORD = "ClickstreamEvent"
+AVRO_RECORD_NAMES = {"device": "Device", "geo": "Geo", "page": "Page",
+                     "properties": "EventProperties"}
+AVRO_ENUM_NAMES = {"event_type": "EventType", "device_type": "DeviceType", "source": "Source"}
 # --------------------------------------------------------------------------
 
 # Fields that must be present on every event (non-union types in the contract).
@@ -166,14 +171,11 @@ def ddl(schema: T.StructType) -> str:
 
 # Avro writer schema: enums are real Avro enums (the raw job in the original
 # pipeline decoded them as strings, which misreads every non-first symbol).
-_ENUM_FIELDS = {"event_type": ("EventType", EVENT_TYPES),
-                "device_type": ("DeviceType", DEVICE_TYPES),
-                "source": ("Source", SOURCES)}
+_ENUM_FIELDS = {field: (AVRO_ENUM_NAMES[field], domain) for field, domain in ENUM_DOMAINS}
 _REQUIRED_WIRE = {"event_id", "event_type", "event_timestamp", "ingestion_timestamp",
                   "session_id", "anonymous_id", "device_type", "os", "country",
                   "timezone", "url", "path", "source", "schema_version",
                   "device", "geo", "page", "properties"}
-_RECORD_NAMES = {"device": "Device", "geo": "Geo", "page": "Page", "properties": "EventProperties"}
 
 
 def _avro_type(field: T.StructField):
@@ -184,7 +186,7 @@ def _avro_type(field: T.StructField):
         return {"type": "long", "logicalType": "timestamp-millis"}
     dt = field.dataType
     if isinstance(dt, T.StructType):
-        return {"type": "record", "name": _RECORD_NAMES[field.name],
+        return {"type": "record", "name": AVRO_RECORD_NAMES[field.name],
                 "fields": [_avro_field(f) for f in dt.fields]}
     return {T.StringType: "string", T.DoubleType: "double",
             T.IntegerType: "int", T.LongType: "long"}[type(dt)]
@@ -202,5 +204,5 @@ def _avro_field(field: T.StructField) -> dict:
 
 def avro_schema_json() -> str:
     """The event contract as an Avro schema string, built from ``EVENT``."""
-    return json.dumps({"type": "record", "name": "ClickstreamEvent",
+    return json.dumps({"type": "record", "name": AVRO_EVENT_RECORD,
                        "fields": [_avro_field(f) for f in EVENT.fields]})
