@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="clickweave-ckpt-")

@@ -72,3 +72,30 @@ def test_kafka_source_needs_settings(spark):
 
     with pytest.raises(ValueError):
         stream.read_records(spark, "kafka")
+
+
+def test_stream_into_catalog_table(spark, scratch):
+    import uuid
+
+    src = os.path.join(scratch, "in")
+    _write_records(spark, src, testdata.envelope_view(spark, SF001))
+    table = f"raw_stream_{uuid.uuid4().hex[:8]}"
+    from clickweave.sinks import tables as sinks
+
+    sinks.create_bronze_table(spark, table)
+    q = ingest.start_bronze_stream(
+        stream.read_records(spark, "parquet", path=src), table,
+        checkpoint=os.path.join(scratch, "ckpt"), trigger="availableNow", to_table=True)
+    q.awaitTermination(120)
+    expected = bronze.transform(testdata.envelope_view(spark, SF001))
+    got = spark.table(table).select(*expected.columns)
+    assert got.count() == expected.count()
+    assert got.exceptAll(expected).count() == 0
+
+
+def test_default_checkpoint_under_shared_dir(spark):
+    from clickweave.session import shared_dir
+
+    base = shared_dir(spark)
+    assert shared_dir(spark, "streams", "x") == os.path.join(base, "streams", "x")
+    assert spark.conf.get("spark.checkpoint.dir") == base
