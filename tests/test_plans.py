@@ -158,3 +158,41 @@ def test_null_session_keys_are_spread(spark):
             spark.conf.set(k, v)
     assert per_task < n // 6
     assert tuple(got) == (n // 3, 0)  # kept, with null metrics
+
+
+def _shuffle_records_written(df) -> list[int]:
+    """Run ``df`` and read each shuffle's records-written metric."""
+    df.collect()
+    out, stack = [], [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        p = stack.pop()
+        cls = p.getClass().getSimpleName()
+        children = p.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+        if cls.endswith("QueryStageExec"):
+            stack.append(p.plan())
+        if cls == "AdaptiveSparkPlanExec":
+            stack.append(p.executedPlan())
+        if cls == "ShuffleExchangeExec":
+            out.append(int(p.metrics().apply("shuffleRecordsWritten").value()))
+    return out
+
+
+def test_hot_copy_group_is_combined_before_the_shuffle(spark):
+    """One event with a third of all rows as copies: each map task ships
+    one copy, not all of them."""
+    from pyspark.sql import functions as F
+
+    from clickweave import schema
+    from clickweave.operators import silver as ops
+
+    n, tasks = 60_000, 8
+    df = spark.range(n, numPartitions=tasks).select(
+        F.when(F.col("id") % 3 == 0, F.lit("dup")).otherwise(F.col("id").cast("string"))
+         .alias("event_id"),
+        F.lit("2024-01-10").cast("date").alias("event_date"),
+        (F.lit("2024-01-10 00:00:00").cast(schema.TS)
+         + F.make_dt_interval(secs=(F.col("id") % 1000).cast("decimal(18,6)"))).alias("ingestion_timestamp"),
+        F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"))
+    written = _shuffle_records_written(ops.deduplicate(df))
+    assert written == [n - n // 3 + tasks]
