@@ -117,20 +117,29 @@ def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
     # N = rows that count towards a session (what the stats sum to)
     total = F.coalesce(df.select(F.count("event_id")).scalar(), F.lit(0))
     # <= max_hot rows by construction: safe to broadcast at any data size
-    hot = (stats.where(F.col("session_event_count") * F.lit(max_hot) > total)
-                .select(*keys, *[F.col(c).alias(f"_h_{c}") for c in _STATS]))
-    tagged = df.join(F.broadcast(hot), on=keys, how="left")
+    hot = F.broadcast(
+        stats.where(F.col("session_event_count") * F.lit(max_hot) > total)
+             .select(*keys, *[F.col(c).alias(f"_h_{c}") for c in _STATS]))
     # Route for the shuffle join: 0 for cold rows (they meet their session's
-    # stats); hot rows already carry theirs and get a never-matching route
-    # spread by a row hash, so a hot session is scattered over all tasks. Rows
-    # with a null key can never match either and are spread the same way
-    # instead of all hashing to one partition.
+    # stats there); hot rows get a never-matching route spread by a row hash,
+    # so a hot session is scattered over all tasks. Rows with a null key can
+    # never match either and are spread the same way instead of all hashing
+    # to one partition. Only the route crosses the shuffle; hot rows pick up
+    # their stats afterwards from the same bounded broadcast, map-side.
     spread = F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(1 << 62))
-    no_partner = F.col("_h_session_event_count").isNotNull()
+    # All three hot columns are referenced (a hot row has a count, so this is
+    # just "is hot"): both joins then read one identical broadcast; testing
+    # the count alone would let column pruning build a second stats aggregate.
+    no_partner = F.lit(False)
+    for c in _STATS:
+        no_partner = no_partner | F.col(f"_h_{c}").isNotNull()
     for k in keys:
         no_partner = no_partner | F.col(k).isNull()
-    routed = tagged.withColumn(
-        "_route", F.when(no_partner, spread + 1).otherwise(F.lit(0).cast("long")))
+    hot_cols = [f"_h_{c}" for c in _STATS]
+    routed = (df.join(hot, on=keys, how="left")
+                .withColumn("_route", F.when(no_partner, spread + 1)
+                                       .otherwise(F.lit(0).cast("long")))
+                .drop(*hot_cols))
     # derived from a column, not a literal: a literal route would be folded
     # into a post-join filter and the shuffle would be on the session alone
     cold = stats.withColumn("_route", F.least(F.col("session_event_count"), F.lit(0)).cast("long"))
@@ -138,7 +147,8 @@ def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
     # cold session routed there (each has >= 1 streamed row in the same task)
     # plus the <= max_hot hot stats, so it is bounded by the task's own input;
     # the big side is streamed, never sorted.
-    joined = routed.join(cold.hint("shuffle_hash"), on=[*keys, "_route"], how="left")
+    joined = (routed.join(cold.hint("shuffle_hash"), on=[*keys, "_route"], how="left")
+                    .join(hot, on=keys, how="left"))
     return joined.select(
         *df.columns,
         *[F.coalesce(F.col(f"_h_{c}"), F.col(c)).alias(c) for c in _STATS])
