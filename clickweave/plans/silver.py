@@ -44,9 +44,12 @@ def silver(bronze: DataFrame, day: str | dt.date | None = None, *,
     if observer:
         src = observer.tap(src, "read")
     clean = cleanse(src, drop_nulls_first, observer)
-    enriched = ops.enrich(clean, run_ts)
-    sessions = ops.session_metrics(enriched, session_scope, session_strategy)
-    return sessions.select(*schema.SILVER_COLUMNS)  # P6: fixed table order
+    # Session metrics before enrichment: the enrichment columns are row-local
+    # functions of columns the row already has, so deriving them after the
+    # session join keeps them out of that full-row shuffle (same result).
+    sessions = ops.session_metrics(clean, session_scope, session_strategy)
+    enriched = ops.enrich(sessions, run_ts)
+    return enriched.select(*schema.SILVER_COLUMNS)  # P6: fixed table order
 
 
 def run_silver(spark: SparkSession, bronze_source: str | DataFrame, silver_table: str,
