@@ -94,7 +94,7 @@ def decode(records: DataFrame, payload_format: str = "json") -> DataFrame:
                   .drop("_parsed"))
 
 
-def event_struct(rows: DataFrame | None = None) -> Column:
+def event_struct() -> Column:
     """Full contract struct from flat Bronze columns (inverse of P1).
 
     Fields the flat layout does not carry (browser_version, title, ...) are
@@ -120,8 +120,9 @@ def event_struct(rows: DataFrame | None = None) -> Column:
     return F.struct(*build(schema.EVENT, ""))
 
 
-def event_json(rows: DataFrame | None = None) -> Column:
-    return F.to_json(event_struct(rows))
+def event_json() -> Column:
+    """The contract struct of the current row as JSON (timestamps as millis)."""
+    return F.to_json(event_struct())
 
 
 def encode(rows: DataFrame, schema_id: int = 1, payload_format: str = "json",
@@ -132,11 +133,11 @@ def encode(rows: DataFrame, schema_id: int = 1, payload_format: str = "json",
     so their order is preserved per session.
     """
     if payload_format == "json":
-        payload = event_json(rows).cast("binary")
+        payload = event_json().cast("binary")
     elif payload_format == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        s = event_struct(rows)
+        s = event_struct()
         payload = to_avro(s, schema.avro_schema_json())
     else:
         raise ValueError(f"unknown payload format: {payload_format!r}")

@@ -13,7 +13,6 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave import schema
@@ -99,7 +98,3 @@ def write_kafka(records: DataFrame, topic: str, bootstrap_servers: str,
         writer = writer.option(k, v)
     writer.save()
 
-
-def rows_written(df: DataFrame) -> DataFrame:
-    """Row count per day of a written frame, as a frame (no driver loop)."""
-    return df.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))

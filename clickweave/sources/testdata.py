@@ -159,7 +159,7 @@ def _build_envelope(spark: SparkSession, sf_dir: str, schema_id: int) -> DataFra
     from clickweave.functions import envelope
 
     rows = bronze_with_id(spark, sf_dir)
-    payload = envelope.event_json(rows)
+    payload = envelope.event_json()
     id_ = F.col("id")
     payload = (F.when(id_ % 101 == 0, F.lit("not json{"))
                .when(id_ % 101 == 1, F.substring(payload, 1, 60))

@@ -103,7 +103,3 @@ def stop(query: StreamingQuery, timeout_s: float | None = None) -> None:
         query.awaitTermination(timeout_s)
     query.stop()
 
-
-def run_bronze(spark: SparkSession, records: DataFrame, target: str, **kwargs) -> StreamingQuery:
-    """J2 entry point: start the stream and return the handle."""
-    return start_bronze_stream(records, target, **kwargs)
