@@ -14,11 +14,12 @@ Scale notes
   then final aggregate). A scalar subquery gives the total row count N; a
   session holding more than N/``max_hot`` rows is *hot* -- at most
   ``max_hot`` sessions can be, whatever the data size, so their stats are
-  broadcast with a proven bound and joined map-side. Every row then goes
-  through one shuffle join on (session key, route): cold rows (route 0) meet
-  their session's stats, hot rows carry a never-matching route spread by a
+  broadcast with a proven bound. Every row then goes through one shuffle
+  join on (session key, route): cold rows (route 0) meet their session's
+  stats; hot rows (and null keys) carry a never-matching route spread by a
   row hash, so a hot session is scattered over all tasks and no task holds
-  more than N/``max_hot`` rows of one session.
+  more than N/``max_hot`` rows of one session. Hot rows then read their stats
+  from the broadcast, map-side. Only the route crosses the shuffle.
 * ``strategy='aggregate'`` is the plain stats-join-back (relies on AQE,
   whose skew-join split does not apply when the stats side is an aggregate);
   ``strategy='window'`` is the original's plan (one exchange, one sort) and
@@ -71,7 +72,8 @@ def drop_incomplete(df: DataFrame, required: Sequence[str] = schema.SILVER_REQUI
 def run_timestamp(run_ts: str | None) -> Column:
     """One timestamp for the whole run (UTC wall-clock)."""
     if run_ts is None:
-        return F.localtimestamp()
+        # the session-zone wall clock, converted to UTC like every event time
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
     return F.lit(run_ts).cast(schema.TS)
 
 

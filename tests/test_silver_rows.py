@@ -93,7 +93,7 @@ def test_calendar_independent_of_session_time_zone(spark):
     assert (r.hour_of_day, r.day_of_week, r.event_date) == (23, "Saturday", dt.date(2024, 1, 6))
 
 
-@pytest.mark.parametrize("strategy", ["aggregate", "window"])
+@pytest.mark.parametrize("strategy", ["split", "aggregate", "window"])
 def test_duration_floors_each_side(spark, strategy):
     df = bronze_rows(spark, [
         {"event_timestamp": "2024-01-10 10:00:00.900", "kafka_offset": 1},
@@ -105,7 +105,7 @@ def test_duration_floors_each_side(spark, strategy):
     assert {r.is_bounce for r in rows} == {False}
 
 
-@pytest.mark.parametrize("strategy", ["aggregate", "window"])
+@pytest.mark.parametrize("strategy", ["split", "aggregate", "window"])
 def test_bounce(spark, strategy):
     df = bronze_rows(spark, [
         {"session_id": "one", "kafka_offset": 1},
@@ -151,3 +151,15 @@ def test_invalid_day_rejected(spark):
     df = bronze_rows(spark, [{}])
     with pytest.raises(ValueError):
         silver(df, "2024-13-40")
+
+
+def test_default_run_time_is_utc(spark):
+    df = bronze_rows(spark, [{}])
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        r = ops.enrich(df).select("processed_at").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    now_utc = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((r.processed_at - now_utc).total_seconds()) < 300
