@@ -123,9 +123,9 @@ def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
     zero = F.least(*[F.count(c) for c in (*keys, "event_timestamp")], F.lit(0))
     total = F.coalesce(df.select(F.count("event_id") + zero).scalar(), F.lit(0))
     # <= max_hot rows by construction: safe to broadcast at any data size
+    is_hot = F.col("session_event_count") * F.lit(max_hot) > total
     hot = F.broadcast(
-        stats.where(F.col("session_event_count") * F.lit(max_hot) > total)
-             .select(*keys, *[F.col(c).alias(f"_h_{c}") for c in _STATS]))
+        stats.where(is_hot).select(*keys, *[F.col(c).alias(f"_h_{c}") for c in _STATS]))
     # Route for the shuffle join: 0 for cold rows (they meet their session's
     # stats there); hot rows get a never-matching route spread by a row hash,
     # so a hot session is scattered over all tasks. Rows with a null key can
@@ -148,7 +148,8 @@ def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
                 .drop(*hot_cols))
     # derived from a column, not a literal: a literal route would be folded
     # into a post-join filter and the shuffle would be on the session alone
-    cold = stats.withColumn("_route", F.least(F.col("session_event_count"), F.lit(0)).cast("long"))
+    cold = (stats.where(~is_hot)
+                 .withColumn("_route", F.least(F.col("session_event_count"), F.lit(0)).cast("long")))
     # Hash join building the stats side: per task it holds at most one row per
     # cold session routed there (each has >= 1 streamed row in the same task)
     # plus the <= max_hot hot stats, so it is bounded by the task's own input;

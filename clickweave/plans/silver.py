@@ -34,7 +34,8 @@ def cleanse(bronze: DataFrame, drop_nulls_first: bool = False,
 def silver(bronze: DataFrame, day: str | dt.date | None = None, *,
            run_ts: str | None = None, session_scope: str = "day",
            session_strategy: str = "split", drop_nulls_first: bool = False,
-           observer: StageObserver | None = None) -> DataFrame:
+           observer: StageObserver | None = None,
+           max_hot_sessions: int = ops.MAX_HOT_SESSIONS) -> DataFrame:
     """J3 as a frame with the 36 Silver columns in table order.
 
     ``day=None`` processes every day at once, equal to running the daily job
@@ -47,7 +48,7 @@ def silver(bronze: DataFrame, day: str | dt.date | None = None, *,
     # Session metrics before enrichment: the enrichment columns are row-local
     # functions of columns the row already has, so deriving them after the
     # session join keeps them out of that full-row shuffle (same result).
-    sessions = ops.session_metrics(clean, session_scope, session_strategy)
+    sessions = ops.session_metrics(clean, session_scope, session_strategy, max_hot_sessions)
     enriched = ops.enrich(sessions, run_ts)
     return enriched.select(*schema.SILVER_COLUMNS)  # P6: fixed table order
 

@@ -117,14 +117,16 @@ def test_hot_session_is_spread_over_tasks(spark):
             spark.conf.set(k, v)
 
         def max_task_rows(strategy):
-            out = ops.session_metrics(df, "day", strategy)
+            # max_hot=10: only sessions above N/10 rows are hot, so just the one
+            # big session takes the broadcast path and the rest use the join
+            out = ops.session_metrics(df, "day", strategy, max_hot=10)
             # filter on a computed stat so the session step cannot be pruned
             out = out.where(F.col("session_event_count") > 0)
             per_task = out.groupBy(F.spark_partition_id()).count()
             return per_task.agg(F.max("count")).first()[0]
 
         split, window = max_task_rows("split"), max_task_rows("window")
-        hot = ops.session_metrics(df, "day").where("session_id = 'hot'")
+        hot = ops.session_metrics(df, "day", max_hot=10).where("session_id = 'hot'")
         stats = hot.agg(F.count("*"), F.min("session_event_count"), F.max("session_event_count")).first()
     finally:
         for k, v in prev.items():
@@ -148,7 +150,7 @@ def test_null_session_keys_are_spread(spark):
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
-        out = ops.session_metrics(df, "day").where(
+        out = ops.session_metrics(df, "day", max_hot=10).where(
             F.col("session_event_count").isNull() | (F.col("session_event_count") > 0))
         per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
         nulls = out.where(F.col("session_id").isNull())
