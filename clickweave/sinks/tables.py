@@ -88,13 +88,21 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*cols).write.insertInto(table)
 
 
+# Producer settings of the original publisher: wait for all replicas, snappy.
+PRODUCER_DEFAULTS = {"kafka.acks": "all", "kafka.compression.type": "snappy"}
+
+
 def write_kafka(records: DataFrame, topic: str, bootstrap_servers: str,
                 options: dict[str, str] | None = None) -> None:
-    """K9 sink: publish ``key``/``value`` records (batch). Needs the Kafka package."""
+    """K9 sink: publish ``key``/``value`` records (batch). Needs the Kafka package.
+
+    Records keyed by session land in one broker partition per session, so a
+    session's events keep their order; ``options`` override the defaults.
+    """
     writer = (records.select("key", "value").write.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("topic", topic))
-    for k, v in (options or {}).items():
+    for k, v in {**PRODUCER_DEFAULTS, **(options or {})}.items():
         writer = writer.option(k, v)
     writer.save()
 
