@@ -1,10 +1,12 @@
-"""Silver daily job (J1, J3): read -> dedup -> null drop -> enrich ->
-session metrics -> fixed column order -> atomic day rewrite.
+"""Silver daily job (J1, J3): read -> dedup -> null drop -> session metrics
+-> enrich -> fixed column order -> atomic day rewrite.
 
-The plan has two full-row exchanges (dedup key, session key) plus one
-narrow exchange for the pre-aggregated session table, and exactly one
-action: the write. Stage row counts come from observations filled by that
-same action, instead of a ``count()`` per stage.
+Enrichment is row-local, so it runs after the session join and stays out of
+its shuffle; the output is the same as enriching first. The plan has two
+full-row exchanges (dedup key; session key + route), narrow ones for the
+pre-aggregated session stats, a bounded broadcast of the hot sessions, and
+exactly one action: the write. Stage row counts come from observations
+filled by that same action, instead of a ``count()`` per stage.
 """
 
 from __future__ import annotations
