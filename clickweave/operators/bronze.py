@@ -28,9 +28,10 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
     # barrier for predicate pushdown: F2/F3 below reference the generated
     # column, so Catalyst cannot inline the parser into the filter (which
     # would run it once per predicate term instead of once per row).
+    # (explode of a NULL array yields no row: no lambda-based array filter.)
     events = decoded.select(
         "partition", "offset",
-        F.explode(F.array_compact(F.array(F.col("event")))).alias("event"))
+        F.explode(F.when(F.col("event").isNotNull(), F.array(F.col("event")))).alias("event"))
     ev = F.col("event")
     ts = envelope.millis_to_ts(ev.getField("event_timestamp"))
     kept = events.where(ev.getField("event_id").isNotNull() & (ts > _floor_literal(floor)))
