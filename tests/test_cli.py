@@ -26,3 +26,17 @@ def test_silver_and_profile_commands(spark, capsys):
     assert "total_events" in out and "CITY_" in out
     assert cli.main(["quality", "--table", raw]) == 0
     assert "order_value_off_checkout" in capsys.readouterr().out
+
+
+def test_bronze_stream_command(spark, scratch):
+    import os
+
+    from clickweave.operators import bronze
+
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    records = testdata.envelope_view(spark, SF001)
+    records.select("key", "value", "topic", "partition", "offset").write.parquet(src)
+    assert cli.main(["bronze", "--source", "parquet", "--path", src, "--target", out,
+                     "--checkpoint", os.path.join(scratch, "ckpt"),
+                     "--trigger", "availableNow"]) == 0
+    assert spark.read.parquet(out).count() == bronze.transform(records).count()
