@@ -123,7 +123,7 @@ def silver_sessions(spark, sf_dir):
 
 
 def silver_sessions_window(spark, sf_dir):
-    return silver_ops.session_metrics(_clean(spark, sf_dir), "day", "window").select(*_SESSION_OUT)
+    return silver_ops.session_metrics(_clean(spark, sf_dir), "day", "split_window").select(*_SESSION_OUT)
 
 
 def silver_sessions_span(spark, sf_dir):

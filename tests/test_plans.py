@@ -53,7 +53,9 @@ def test_silver_session_join_shape(spark):
     assert "BroadcastExchange" in plan  # the bounded hot-session stats
     assert "ShuffledHashJoin" in plan and "BuildRight" in plan
     assert "Subquery" in plan  # the row total that bounds the hot set
-    assert window.count("Exchange hashpartitioning") == 2
+    # the registered window query windows over (session key, route) as well
+    assert re.search(r"hashpartitioning\(event_date#\d+, session_id#\d+, _route", window)
+    assert "Window [count(" in window
 
 
 def test_decode_parses_once(spark):
@@ -126,6 +128,7 @@ def test_hot_session_is_spread_over_tasks(spark):
             return per_task.agg(F.max("count")).first()[0]
 
         split, window = max_task_rows("split"), max_task_rows("window")
+        split_window = max_task_rows("split_window")
         hot = ops.session_metrics(df, "day", max_hot=10).where("session_id = 'hot'")
         stats = hot.agg(F.count("*"), F.min("session_event_count"), F.max("session_event_count")).first()
     finally:
@@ -133,6 +136,7 @@ def test_hot_session_is_spread_over_tasks(spark):
             spark.conf.set(k, v)
     assert window >= n // 3            # the window plan funnels the session into one task
     assert split < n // 6              # the split plan scatters it
+    assert split_window < n // 6       # and so does its window form
     assert tuple(stats) == (n // 3, n // 3, n // 3)  # and every hot row still gets exact stats
 
 

@@ -46,8 +46,9 @@ def test_session_count_invariant(spark, rows):
     clean = cleanse(_frame(spark, rows))
     for scope in ("day", "all"):
         agg = ops.session_metrics(clean, scope, "aggregate")
-        win = ops.session_metrics(clean, scope, "window")
-        assert agg.exceptAll(win.select(*agg.columns)).count() == 0
+        for other in ("window", "split", "split_window"):
+            alt = ops.session_metrics(clean, scope, other, max_hot=2)
+            assert agg.exceptAll(alt.select(*agg.columns)).count() == 0
         total = agg.agg(F.sum(1 / F.col("session_event_count"))).first()[0] or 0
         sessions = clean.select(*ops.session_keys(scope)).distinct().count()
         assert round(total, 9) == sessions

@@ -93,7 +93,7 @@ def test_calendar_independent_of_session_time_zone(spark):
     assert (r.hour_of_day, r.day_of_week, r.event_date) == (23, "Saturday", dt.date(2024, 1, 6))
 
 
-@pytest.mark.parametrize("strategy", ["split", "aggregate", "window"])
+@pytest.mark.parametrize("strategy", ["split", "split_window", "aggregate", "window"])
 def test_duration_floors_each_side(spark, strategy):
     df = bronze_rows(spark, [
         {"event_timestamp": "2024-01-10 10:00:00.900", "kafka_offset": 1},
@@ -105,7 +105,7 @@ def test_duration_floors_each_side(spark, strategy):
     assert {r.is_bounce for r in rows} == {False}
 
 
-@pytest.mark.parametrize("strategy", ["split", "aggregate", "window"])
+@pytest.mark.parametrize("strategy", ["split", "split_window", "aggregate", "window"])
 def test_bounce(spark, strategy):
     df = bronze_rows(spark, [
         {"session_id": "one", "kafka_offset": 1},
