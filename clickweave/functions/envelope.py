@@ -1,14 +1,14 @@
 """Wire envelope: 5-byte registry header + serialized event.
 
-All of it is Spark column expressions, so decoding and encoding run inside
-the scan's whole-stage-codegen span on the executors. Two payload formats
-share one interface:
+All of it is Spark column expressions, evaluated on the executors in the
+scan's stage with no shuffle (the JSON parser itself runs interpreted, the
+rest is code-generated). Two payload formats share one interface:
 
 * ``json`` -- the event as JSON, timestamps as epoch-millis numbers (the
   contract's ``timestamp-millis``). Decoded with ``from_json``.
 * ``avro`` -- the contract's Avro binary, decoded with Spark's ``from_avro``
   using the enum writer schema. Needs the spark-avro package on the
-  classpath; without it the call fails with a clear message.
+  classpath; without it Spark's own error names the missing Avro module.
 
 A payload that does not decode *whole* yields a null event. ``from_json``
 alone would return partial fields for truncated JSON (event_id included), so
