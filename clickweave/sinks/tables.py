@@ -1,8 +1,9 @@
 """Table creation and writes (K5-K8, K9 sink).
 
-Writes are single atomic commands: a day is replaced with a static
-``INSERT OVERWRITE ... PARTITION``, which also empties the day when the new
-result is empty (dynamic partition overwrite would leave stale rows there).
+Writes are single atomic commands: a day of a file-source table is replaced
+with a static ``INSERT OVERWRITE ... PARTITION``, which also empties the day
+when the new result is empty (dynamic partition overwrite would leave stale
+rows there); a v2 table (Iceberg, Delta) gets ``writeTo(t).overwrite(day)``.
 No ``coalesce(1)``: the final stage keeps its parallelism and AQE sizes the
 output files.
 """
@@ -13,6 +14,7 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave import schema
@@ -45,6 +47,17 @@ def create_silver_table(spark: SparkSession, name: str, location: str | None = N
     create_table(spark, name, schema.SILVER, location=location)
 
 
+FILE_PROVIDERS = {"parquet", "orc", "csv", "json", "avro", "text", "hive"}
+
+
+def provider(spark: SparkSession, table: str) -> str:
+    """The table's provider as the catalog reports it (``parquet``, ``iceberg``...)."""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row[0] == "Provider":
+            return str(row[1]).lower()
+    return "hive"
+
+
 def overwrite_day(df: DataFrame, table: str, day: str | dt.date | None,
                   partition_col: str = "event_date", rebalance: bool | None = None) -> None:
     """K5 (absorbing F7, the row-level delete): replace one day of ``table``
@@ -62,6 +75,15 @@ def overwrite_day(df: DataFrame, table: str, day: str | dt.date | None,
         rebalance = day is None
     if rebalance:
         df = df.hint("rebalance", partition_col)
+    if provider(spark, table) not in FILE_PROVIDERS:
+        # v2 tables (e.g. Iceberg, Delta): one atomic delete-matching-rows and
+        # append; an empty result still empties the day.
+        writer = df.select(*spark.table(table).columns).writeTo(table)
+        if day is None:
+            writer.overwritePartitions()
+        else:
+            writer.overwrite(F.col(partition_col) == F.lit(parse_day(day)))
+        return
     view = f"_clickweave_write_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     select_cols = ", ".join(f"`{c}`" for c in cols)

@@ -114,3 +114,10 @@ def test_batch_raw_load_and_path_read(spark, scratch):
     assert read_bronze(spark, path).count() == expected.count()
     day = read_bronze(spark, path, "2024-01-15")
     assert day.count() == expected.where(F.col("event_date") == dt.date(2024, 1, 15)).count() > 0
+
+
+def test_provider_detection(spark):
+    t = _name("silver_p")
+    sinks.create_silver_table(spark, t)
+    assert sinks.provider(spark, t) == "parquet"
+    assert sinks.provider(spark, t) in sinks.FILE_PROVIDERS
