@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--keep-good-copy", action="store_true",
                    help="drop incomplete rows before dedup")
     s.add_argument("--session-scope", default="day", choices=("day", "all"))
+    s.add_argument("--max-hot-sessions", type=int, default=100_000,
+                   help="sessions above total/this many rows take the broadcast path")
 
     b = sub.add_parser("bronze", help="run the raw stream job")
     b.add_argument("--source", default="kafka")
@@ -52,8 +54,10 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--payload-format", default="json", choices=("json", "avro"))
     b.add_argument("--tolerate-data-loss", action="store_true")
 
-    for name in ("profile", "quality"):
-        p = sub.add_parser(name)
+    for name, text in (("profile", "row counts: total, per event type, top cities"),
+                       ("quality", "contract checks: enums, required and conditional fields, "
+                                   "event mix, ingestion lag, signed-in share")):
+        p = sub.add_parser(name, help=text)
         p.add_argument("--table", required=True)
 
     args = ap.parse_args(argv)
@@ -65,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         day = None if args.day == "all" else args.day
         report = run_silver(spark, args.bronze, args.silver, day,
                             drop_nulls_first=args.keep_good_copy,
-                            session_scope=args.session_scope)
+                            session_scope=args.session_scope,
+                            max_hot_sessions=args.max_hot_sessions)
         print(json.dumps(report))
     elif args.cmd == "bronze":
         from clickweave.sources.stream import read_records
