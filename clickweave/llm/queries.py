@@ -4,8 +4,9 @@ version."""
 
 from __future__ import annotations
 
-from clickweave.llm import mixing, sharding, simhash
+from clickweave.llm import language, minhash, mixing, packing, repeats, sharding, simhash
 
 QUERIES = {f.__name__: f for f in (
-    simhash.op1_simhash, sharding.op7_sharding, mixing.op9_mixing)}
+    simhash.op1_simhash, minhash.op2_minhash, language.op3_language, packing.op6_packing, sharding.op7_sharding, mixing.op9_mixing,
+    repeats.op10_repeats)}
 ORACLE_SQL = {"op9_mixing": mixing.OP9_SQL}
