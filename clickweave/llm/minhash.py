@@ -16,7 +16,7 @@ start, and every candidate pair is verified by its exact Jaccard similarity.
 
 Defined results: a null text is an empty one; a text is its own next document
 if it is the only one; rows follow each other by (doc_id, text), null ids
-first; an empty table gives an empty result; other columns are ignored.
+first (ids are numbers); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -147,32 +147,42 @@ def with_next(docs: DataFrame) -> DataFrame:
     that every document meets its successor in one shuffle of the texts. The
     last slice is followed by the first one."""
     spark = docs.sparkSession
+    ship(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     parts = shuffle_parts(spark) * SLICES
     kind = docs.schema["doc_id"].dataType.simpleString()
     bounds = docs.select(F.percentile_approx(
-        "doc_id", F.array(*[F.lit(i / parts) for i in range(1, parts)]), 20 * parts)).first()[0] if parts > 1 else []
-    bounds = sorted(set(bounds or []))  # one value for each slice at most
-    edges = F.array(*[F.lit(b).cast(kind) for b in bounds]) if bounds else F.array().cast(f"array<{kind}>")
-    # slice 0 holds null ids and all up to the first bound
-    number = (F.lit(0) if not bounds else
-              F.coalesce(F.size(F.filter(edges, lambda b: F.col("doc_id") > b)), F.lit(0))).cast("int")
-    sliced = docs.withColumn("slice", number)
-    first = (sliced.groupBy("slice").agg(F.min("doc_id").alias("low"),
-                                         F.max(F.col("doc_id").isNull().cast("int")).alias("none")).collect())
-    first = sorted(first, key=lambda r: r["slice"])
-    before = {r["slice"]: first[i - 1]["slice"] for i, r in enumerate(first)}
-    opens = F.lit(False)
-    back = F.lit(None).cast("int")
-    for r in first:  # one row for each slice
-        hit = (F.col("slice") == r["slice"]) & (
-            F.col("doc_id").isNull() if r["none"] else F.col("doc_id") == F.lit(r["low"]).cast(kind))
-        opens, back = opens | hit, F.when(hit, F.lit(before[r["slice"]])).otherwise(back)
-    to = F.when(opens, F.array(F.struct(F.col("slice").alias("s"), F.lit(False).alias("ahead")),
-                               F.struct(back.alias("s"), F.lit(True).alias("ahead")))
-                ).otherwise(F.array(F.struct(F.col("slice").alias("s"), F.lit(False).alias("ahead"))))
-    return (sliced.withColumn("to", F.explode(to))
-            .select(F.col("to.s").alias("slice"), F.col("to.ahead").alias("ahead"), "doc_id", "text")
+        "doc_id", F.array(*[F.lit(i / parts) for i in range(1, parts + 1)]), 20 * parts)).first()[0]
+    bounds = np.array(sorted(set((bounds or [])[:-1])))  # one for each slice at most
+
+    def slices(ids: pa.Array) -> np.ndarray:
+        """Bounds below each id; null ids come first."""
+        values = ids.to_numpy(zero_copy_only=False)
+        missing = ids.is_null().to_numpy(zero_copy_only=False)
+        return np.where(missing, 0, np.searchsorted(bounds, np.where(missing, 0, values), side="left")).astype(np.int32)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(slices(batch.column(0))), batch.column(0)], ["slice", "doc_id"])
+
+    first = (docs.select("doc_id").mapInArrow(number, f"slice int, doc_id {kind}").groupBy("slice")
+             .agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("none"))
+             .orderBy("slice").collect())  # a row for each slice
+    opens = {r["slice"]: (None if r["none"] else r["low"], first[i - 1]["slice"]) for i, r in enumerate(first)}
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = slices(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.zeros(len(at), bool)), *batch.columns], names)
+            ids = batch.column(0).to_pylist()
+            ahead = [i for i, (s, x) in enumerate(zip(at.tolist(), ids, strict=True)) if x == opens[s][0]]
+            if ahead:
+                back = pa.array([opens[at[i]][1] for i in ahead], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [back, pa.array(np.ones(len(ahead), bool)), *batch.take(pa.array(ahead)).columns], names)
+
+    names = ["slice", "ahead", "doc_id", "text"]
+    return (docs.mapInArrow(route, f"slice int, ahead boolean, doc_id {kind}, text string")
             .repartition("slice").sortWithinPartitions("slice", "ahead", "doc_id", "text"))
 
 

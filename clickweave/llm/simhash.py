@@ -231,10 +231,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     found = near_duplicates(docs, **options)
     kept = found.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("d"), F.col("key").alias("k"))).alias("m"))
-    kept = kept.select("m.d", "m.k")
+    kept = kept.select(F.col("m.d").alias("_near_id"), F.col("m.k").alias("_near_text"))
     keyed = docs.withColumn("_near_key", text_key())
     one = Window.partitionBy("_near_key", "doc_id").orderBy(F.lit(1))
-    return (keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col("d")) & (keyed["_near_key"] == F.col("k")), "left_semi")
+    return (keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_near_id"]) & (keyed["_near_key"] == kept["_near_text"]),
+                       "left_semi")
             .withColumn("_near_row", F.row_number().over(one)).where("_near_row = 1")
             .select(*docs.columns))
 
