@@ -21,20 +21,23 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from clickweave import schema  # noqa: E402
+from clickweave.functions import columns  # noqa: E402
+from clickweave.operators import bronze as bronze_ops  # noqa: E402
 from clickweave.operators import silver as ops  # noqa: E402
 from clickweave.plans import catalog  # noqa: E402
-from clickweave.plans.silver import run_silver  # noqa: E402
+from clickweave.plans.silver import run_silver, silver  # noqa: E402
 from clickweave.session import build_session  # noqa: E402
 from clickweave.sinks import tables as sinks  # noqa: E402
-from clickweave.sources import testdata  # noqa: E402
+from clickweave.plans import fixture  # noqa: E402
 from clickweave.sources.tables import for_day  # noqa: E402
 
 HEADLINE = ("silver_full", "silver_dedup", "silver_sessions", "profile_event_types",
             "profile_top_cities")
-EXTRA = ("silver_sessions_window", "silver_day", "silver_audit", "bronze_flatten",
+EXTRA = ("silver_sessions_mixed", "silver_sessions_window", "silver_day", "silver_audit", "bronze_flatten",
          "profile_total", "dq_enum_domains", "dq_conditional_fields", "event_mix")
 
 
@@ -57,7 +60,7 @@ def silver_write(spark, sf_dir, table):
     """The Silver job as shipped: one action, observed stage counts, atomic
     overwrite of every day into a partitioned table (rebalanced by day)."""
     def run():
-        return run_silver(spark, testdata.bronze_view(spark, sf_dir), table, None,
+        return run_silver(spark, fixture.bronze_view(spark, sf_dir), table, None,
                           run_ts=catalog.RUN_TS)
     return run
 
@@ -73,14 +76,22 @@ def silver_day_from_table(spark, bronze_table, table):
 def silver_reference_shape(spark, sf_dir, out_dir):
     """Control with the original job's execution shape (not its defects)."""
     def run():
-        df = for_day(testdata.bronze_view(spark, sf_dir), None)
+        df = for_day(fixture.bronze_view(spark, sf_dir), None)
         df.count()
         before = df.count()
         d = ops.deduplicate(df)
         after = d.count()
         c = ops.drop_incomplete(d)
         before, after = d.count(), c.count()
-        s = ops.session_metrics(ops.enrich(c, catalog.RUN_TS), "day", "window")
+        w = Window.partitionBy("event_date", "session_id")
+        s = ops.enrich(c, catalog.RUN_TS).withColumns({
+            "session_event_count": F.count("event_id").over(w),
+            "session_start": F.min("event_timestamp").over(w),
+            "session_end": F.max("event_timestamp").over(w),
+        })
+        s = s.withColumns({
+            "session_duration_secs": columns.duration_secs("session_start", "session_end"),
+            "is_bounce": F.col("session_event_count") == 1})
         s = s.select(*schema.SILVER_COLUMNS)
         s.count()
         s.coalesce(1).write.mode("overwrite").parquet(out_dir)
@@ -88,6 +99,21 @@ def silver_reference_shape(spark, sf_dir, out_dir):
     return run
 
 
+def skewed(spark, sf_dir):
+    """The raw rows with one session that holds a third of them."""
+    return fixture.bronze_view(spark, sf_dir).withColumn(
+        "session_id", F.when(F.col("kafka_offset") % 3 == 0, F.lit("hot")).otherwise(F.col("session_id")))
+
+
+def many_files(spark, sf_dir, folder, files: int = 64):
+    """The raw rows and their broker records as ``files`` files each, so that
+    scans run in parallel and decoding is timed without encoding."""
+    raw, records = os.path.join(folder, "raw"), os.path.join(folder, "records")
+    fixture.bronze_view(spark, sf_dir).repartition(files).write.parquet(raw)
+    fixture.envelope_view(spark, sf_dir).repartition(files).write.parquet(records)
+    return spark.read.parquet(raw), spark.read.parquet(records)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -105,12 +131,19 @@ def main() -> None:
         results[name] = timed(lambda fn=fn: noop(fn(spark, sf_dir)), runs)
     results["silver_write"] = timed(silver_write(spark, sf_dir, "silver_bench"), runs)
     sinks.create_bronze_table(spark, "bronze_bench")
-    sinks.append(testdata.bronze_view(spark, sf_dir), "bronze_bench")
+    sinks.append(fixture.bronze_view(spark, sf_dir), "bronze_bench")
     results["silver_day_table"] = timed(
         silver_day_from_table(spark, "bronze_bench", "silver_bench_day"), runs)
     results["silver_reference_shape"] = timed(
         silver_reference_shape(spark, sf_dir, os.path.join(scratch, "b")), runs)
-    rows = testdata.load(spark, sf_dir, "events").agg(F.count(F.lit(1))).first()[0]
+    raw, records = many_files(spark, sf_dir, scratch)
+    results["files_decode"] = timed(lambda: noop(bronze_ops.transform(records)), runs)
+    results["files_silver_cold"] = timed(lambda: noop(silver(raw, None, run_ts=catalog.RUN_TS)), runs)
+    results["files_silver_mixed"] = timed(lambda: noop(
+        silver(raw, None, run_ts=catalog.RUN_TS, rows_per_task=catalog.MIXED_ROWS_PER_TASK)), runs)
+    hot = skewed(spark, sf_dir)
+    results["skew_silver_hot"] = timed(lambda: noop(silver(hot, None, run_ts=catalog.RUN_TS, session_scope="all", rows_per_task=1000)), runs)
+    rows = fixture.load(spark, sf_dir, "events").agg(F.count(F.lit(1))).first()[0]
     total = round(sum(results[q] for q in HEADLINE), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({

@@ -1,7 +1,8 @@
 """Command-line entry points.
 
     python -m clickweave.cli silver --bronze raw.events --silver clean.events [--day 2024-01-15|yesterday|all]
-    python -m clickweave.cli bronze --source kafka --topic t --servers host:9092 --target /lake/raw
+    python -m clickweave.cli bronze --source kafka --topic t --servers host:9092 --target raw.events
+    python -m clickweave.cli publish --table raw.events --topic t --servers host:9092
     python -m clickweave.cli profile --table raw.events
     python -m clickweave.cli quality --table raw.events
 
@@ -26,6 +27,14 @@ def _conf(pairs: list[str]) -> dict[str, str]:
     return out
 
 
+def print_all(frame) -> None:
+    """Every row, in the frame's order, partition by partition."""
+    print("\t".join(frame.columns))
+    for row in frame.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+    print()
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="clickweave")
     ap.add_argument("--conf", action="append", default=[], help="spark setting key=value")
@@ -38,22 +47,31 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--keep-good-copy", action="store_true",
                    help="drop incomplete rows before dedup")
     s.add_argument("--session-scope", default="day", choices=("day", "all"))
-    s.add_argument("--max-hot-sessions", type=int, default=100_000,
-                   help="sessions above total/this many rows take the broadcast path")
+    s.add_argument("--rows-per-task", type=int, default=1_000_000,
+                   help="larger sessions may take the broadcast path")
+    s.add_argument("--format", default="parquet", help="provider of a table that is created")
 
     b = sub.add_parser("bronze", help="run the raw stream job")
     b.add_argument("--source", default="kafka")
     b.add_argument("--topic")
     b.add_argument("--servers")
     b.add_argument("--path", help="input folder for a file-based source")
-    b.add_argument("--target", required=True, help="output path (or table with --to-table)")
-    b.add_argument("--to-table", action="store_true")
+    b.add_argument("--target", required=True, help="raw table (created if missing)")
+    b.add_argument("--format", default="parquet", help="provider of a table that is created")
     b.add_argument("--checkpoint")
     b.add_argument("--trigger", default="15 minutes", help="interval, 'availableNow' or 'once'")
-    b.add_argument("--max-per-trigger", type=int, default=100_000)
+    b.add_argument("--max-records-per-trigger", type=int, help="broker records per batch (default: no limit)")
+    b.add_argument("--max-files-per-trigger", type=int, help="files per batch of a file source (default: no limit)")
     b.add_argument("--payload-format", default="json", choices=("json", "avro"))
     b.add_argument("--tolerate-data-loss", action="store_true")
 
+    e = sub.add_parser("publish", help="encode a table's events and send them to the broker")
+    e.add_argument("--table", required=True)
+    e.add_argument("--topic", required=True)
+    e.add_argument("--servers", required=True)
+    e.add_argument("--schema-id", type=int, default=1)
+    e.add_argument("--payload-format", default="json", choices=("json", "avro"))
+
     for name, text in (("profile", "row counts: total, per event type, top cities"),
                        ("quality", "contract checks: enums, required and conditional fields, "
                                    "event mix, ingestion lag, signed-in share")):
@@ -70,7 +88,7 @@ def main(argv: list[str] | None = None) -> int:
         report = run_silver(spark, args.bronze, args.silver, day,
                             drop_nulls_first=args.keep_good_copy,
                             session_scope=args.session_scope,
-                            max_hot_sessions=args.max_hot_sessions)
+                            rows_per_task=args.rows_per_task, fmt=args.format)
         print(json.dumps(report))
     elif args.cmd == "bronze":
         from clickweave.sources.stream import read_records
@@ -78,29 +96,36 @@ def main(argv: list[str] | None = None) -> int:
 
         records = read_records(spark, args.source, topic=args.topic,
                                bootstrap_servers=args.servers, path=args.path,
-                               max_per_trigger=args.max_per_trigger,
+                               max_records_per_trigger=args.max_records_per_trigger,
+                               max_files_per_trigger=args.max_files_per_trigger,
                                fail_on_data_loss=not args.tolerate_data_loss)
         query = start_bronze_stream(records, args.target, checkpoint=args.checkpoint,
                                     trigger=args.trigger, payload_format=args.payload_format,
-                                    to_table=args.to_table, query_name="bronze")
+                                    fmt=args.format)
         try:
             query.awaitTermination()
         except KeyboardInterrupt:
             query.stop()
+    elif args.cmd == "publish":
+        from clickweave.functions.envelope import encode
+        from clickweave.sinks.tables import write_kafka
+        from clickweave.sources.tables import read_bronze
+
+        write_kafka(encode(read_bronze(spark, args.table), args.schema_id, args.payload_format),
+                    args.topic, args.servers)
     else:
         from clickweave.operators import profile, quality
         from clickweave.sources.tables import read_table
 
         df = read_table(spark, args.table)
         if args.cmd == "profile":
-            profile.total(df).show()
-            profile.counts_by(df, "event_type").show(50, truncate=False)
-            profile.top_values(df, "city", 10).show(truncate=False)
+            frames = (profile.total(df), profile.counts_by(df, "event_type"), profile.top_values(df, "city", 10))
         else:
-            for frame in (quality.enum_domains(df), quality.required_fields(df),
-                          quality.conditional_fields(df), quality.event_mix(df),
-                          quality.ingestion_lag(df), quality.auth_share(df)):
-                frame.show(100, truncate=False)
+            frames = (quality.enum_domains(df), quality.required_fields(df), quality.conditional_fields(df),
+                      quality.event_mix(df).orderBy("event_type"), quality.ingestion_lag(df).orderBy("event_date"),
+                      quality.auth_share(df).orderBy("event_date"))
+        for frame in frames:
+            print_all(frame)
     return 0
 
 

@@ -12,8 +12,9 @@ rest is code-generated). Two payload formats share one interface:
 
 A payload that does not decode *whole* yields a null event. ``from_json``
 alone would return partial fields for truncated JSON (event_id included), so
-the corrupt-record column is used to null the entire struct, the behaviour
-Avro's PERMISSIVE mode has.
+the corrupt-record column is used to null the entire struct. Avro's PERMISSIVE
+mode gives a struct of nulls instead. Under both formats an event without an
+id counts as not decoded.
 """
 
 from __future__ import annotations
@@ -72,11 +73,12 @@ def parse_payload(payload: Column, payload_format: str = "json") -> Column:
 
 def _event_from_parsed(parsed: Column, payload_format: str) -> Column:
     if payload_format == "json":
-        return F.when(parsed.isNotNull() & parsed.getField(_CORRUPT).isNull(),
+        return F.when(parsed.getField(_CORRUPT).isNull() & parsed.getField("event_id").isNotNull(),
                       parsed.dropFields(_CORRUPT))
     # Avro surfaces timestamp-millis as a timestamp; bring it back to millis
     # so both formats yield the same struct.
-    return F.when(parsed.isNotNull(), parsed.withField(
+    # A record that does not parse is a struct of nulls there: no id, no event.
+    return F.when(parsed.getField("event_id").isNotNull(), parsed.withField(
         "event_timestamp", F.unix_millis(parsed.getField("event_timestamp"))).withField(
         "ingestion_timestamp", F.unix_millis(parsed.getField("ingestion_timestamp"))))
 
@@ -125,6 +127,16 @@ def event_json() -> Column:
     return F.to_json(event_struct())
 
 
+def fits_contract() -> Column:
+    """Required fields present, enum fields within their domains."""
+    ok = F.lit(True)
+    for c in schema.REQUIRED_FIELDS:
+        ok = ok & F.col(c).isNotNull()
+    for c, domain in schema.ENUM_DOMAINS:
+        ok = ok & (F.col(c).isNull() | F.col(c).isin(*domain))
+    return ok
+
+
 def encode(rows: DataFrame, schema_id: int = 1, payload_format: str = "json",
            keep: tuple[str, ...] = ()) -> DataFrame:
     """K9: flat events -> broker records keyed by session_id.
@@ -137,8 +149,10 @@ def encode(rows: DataFrame, schema_id: int = 1, payload_format: str = "json",
     elif payload_format == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        s = event_struct()
-        payload = to_avro(s, schema.avro_schema_json())
+        # required fields and enum symbols are part of the writer's schema: an
+        # event that breaks them cannot be written and is left out
+        rows = rows.where(fits_contract())
+        payload = to_avro(event_struct(), schema.avro_schema_json())
     else:
         raise ValueError(f"unknown payload format: {payload_format!r}")
     return rows.select(

@@ -1,22 +1,22 @@
 """Per-stage row audit of the Silver job (A4, A5).
 
-Two forms:
-
 * ``stage_counts`` -- a query: one row per (event_date, stage) with rows in,
   out and removed, computed in ONE scan. Rows are grouped by
   ``(event_date, event_id)`` with a partial aggregate (so a key with a
   third of all rows is combined on the map side); ``min_by`` picks the
   copy the dedup keeps and whether it survives the null drop.
-* ``StageObserver`` -- named ``Observation``s attached to the pipeline's
-  intermediate frames, filled by the job's single write action instead of
-  one ``count()`` per stage.
+* ``run_report`` -- the same totals for one run of the job, with the rows its
+  write counted. The stages are counted beside the write, from the few columns
+  they need, not by observing its frames: an observation keeps filters from
+  reaching the scan, and a frame that several branches of the plan read is
+  counted by each of them or, where a branch is dropped at run time, by none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave import schema
@@ -54,36 +54,29 @@ def stage_counts(bronze: DataFrame, required: Sequence[str] = schema.SILVER_REQU
     )))
 
 
-class StageObserver:
-    """Collects row counts of named pipeline stages during one action."""
-
-    def __init__(self) -> None:
-        self._obs: dict[str, Observation] = {}
-
-    def tap(self, df: DataFrame, stage: str) -> DataFrame:
-        obs = Observation(stage)
-        self._obs[stage] = obs
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    @staticmethod
-    def _rows(obs: Observation) -> int:
-        try:
-            return int(obs.get.get("rows", 0))
-        except Exception:
-            # Catalyst removed the observed node (the input folded to an empty
-            # relation), so the observation carries no fields: zero rows.
-            return 0
-
-    def counts(self) -> dict[str, int]:
-        """Stage -> rows; call after the action that consumed the frames."""
-        return {name: self._rows(o) for name, o in self._obs.items()}
-
-    def report(self) -> list[dict]:
-        c = self.counts()
-        out, prev = [], None
-        for name in c:
-            rows_in = c[name] if prev is None else prev
-            out.append({"stage": name, "rows_in": rows_in, "rows_out": c[name],
-                        "rows_removed": rows_in - c[name]})
-            prev = c[name]
-        return out
+def _good_first_counts(bronze: DataFrame, required: Sequence[str]) -> DataFrame:
+    complete = F.lit(True)
+    for c in required:
+        complete = complete & F.col(c).isNotNull()
+    per_key = bronze.groupBy("event_date", "event_id").agg(
+        F.count(F.lit(1)).alias("copies"), F.count_if(complete).alias("good"))
+    return per_key.agg(F.sum("copies").alias("read"), F.sum("good").alias("null_drop"),
+                       F.count_if(F.col("good") > 0).alias("dedup"))
+
+
+def run_report(bronze: DataFrame, written: int, drop_nulls_first: bool = False,
+               required: Sequence[str] = schema.SILVER_REQUIRED) -> list[dict]:
+    """Stage, rows in, out and removed of one run over ``bronze``."""
+    if drop_nulls_first:
+        r = _good_first_counts(bronze, required).first()
+        rows = {s: r[s] or 0 for s in ("read", "null_drop", "dedup")}
+    else:
+        totals = stage_counts(bronze, required).groupBy("stage").agg(F.sum("rows_out").alias("n")).collect()
+        found = {r["stage"]: r["n"] for r in totals}
+        rows = {s: found.get(s, 0) for s in ("read", "dedup", "null_drop")}
+    out, before = [], None
+    for stage, n in {**rows, "write": written}.items():
+        rows_in = n if before is None else before
+        out.append({"stage": stage, "rows_in": rows_in, "rows_out": n, "rows_removed": rows_in - n})
+        before = n
+    return out

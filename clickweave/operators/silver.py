@@ -9,25 +9,16 @@ Scale notes
   turns that filter into a *partial* ``WindowGroupLimit`` before the shuffle,
   so however many copies one event has, each map task ships at most one row
   per key: a replay storm cannot pile up in one reducer.
-* Session metrics (``strategy='split'``, the default) never route a whole
-  session through one task. Per-session stats are pre-aggregated (partial
-  then final aggregate). A scalar subquery gives the total row count N; a
-  session holding more than N/``max_hot`` rows is *hot* -- at most
-  ``max_hot`` sessions can be, whatever the data size, so their stats are
-  broadcast with a proven bound. Every row then goes through one shuffle
-  join on (session key, route): cold rows (route 0) meet their session's
-  stats; hot rows (and null keys) carry a never-matching route spread by a
-  row hash, so a hot session is scattered over all tasks and no task holds
-  more than N/``max_hot`` rows of one session. Hot rows then read their stats
-  from the broadcast, map-side. Only the route crosses the shuffle.
-* ``strategy='split_window'`` is the same routing with a window over
-  (session key, route) in place of the stats join: cold sessions are bounded
-  by N/``max_hot`` rows per group, hot rows keep their broadcast stats.
-* ``strategy='aggregate'`` is the plain stats-join-back (relies on AQE,
-  whose skew-join split does not apply when the stats side is an aggregate);
-  ``strategy='window'`` is the original's plan (one exchange, one sort) and
-  funnels each session into one task. Both are kept only for comparison
-  (the benchmark's reference-shaped control) and are not registered queries.
+* Session metrics never route a large session through one task. Per-session
+  stats are pre-aggregated (partial then final aggregate). A session is *hot*
+  if it holds more than ``ROWS_PER_TASK`` rows and more than 1/``MAX_HOT`` of
+  all rows: the first keeps ordinary sessions on the ordinary path at every
+  size, the second bounds the hot sessions (at most ``MAX_HOT`` of them,
+  whatever the data size), so their stats are broadcast with a proven bound
+  and their rows are never shuffled by session. The other rows meet their
+  stats in a join on the session key; a session there has at most
+  max(ROWS_PER_TASK, N/MAX_HOT) rows. It is a sort-merge join, which spills.
+  Rows whose session key is null meet nothing and are not shuffled either.
 """
 
 from __future__ import annotations
@@ -102,9 +93,10 @@ def session_keys(scope: str) -> list[str]:
     raise ValueError(f"session scope must be 'day' or 'all', not {scope!r}")
 
 
-# At most this many sessions take the broadcast path; any other session has
-# at most 1/MAX_HOT_SESSIONS of all rows.
-MAX_HOT_SESSIONS = 100_000
+# A session with more rows than this is too large for the task of its key...
+ROWS_PER_TASK = 1_000_000
+# ...and takes the broadcast path if it also has over 1/MAX_HOT of all rows.
+MAX_HOT = 100_000
 
 _STATS = ("session_event_count", "session_start", "session_end")
 
@@ -118,100 +110,45 @@ def session_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _route(df: DataFrame, keys: list[str], max_hot: int) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
-    """Tag rows of hot sessions and give every row a routing key.
-
-    Returns (routed rows with the broadcast hot stats ``_h_*`` and a
-    ``_route`` column, the per-session stats, the bounded hot broadcast, and
-    the hot predicate over the stats).
-    """
-    stats = session_stats(df, keys)
-    # N = rows that count towards a session (what the stats sum to). The
-    # zero term references the stats' other input columns, so column pruning
-    # gives this subquery the same input as the stats aggregate and both read
-    # one exchange, instead of a second, narrower dedup pass for the count.
-    zero = F.least(*[F.count(c) for c in (*keys, "event_timestamp")], F.lit(0))
-    total = F.coalesce(df.select(F.count("event_id") + zero).scalar(), F.lit(0))
-    is_hot = F.col("session_event_count") * F.lit(max_hot) > total
-    # <= max_hot rows by construction: safe to broadcast at any data size
-    hot = F.broadcast(
-        stats.where(is_hot).select(*keys, *[F.col(c).alias(f"_h_{c}") for c in _STATS]))
-    # Route 0 for cold rows (they meet their session's rows or stats by key);
-    # hot rows get a never-matching route spread by a row hash, so a hot
-    # session is scattered over all tasks. Rows with a null key can never
-    # match either and are spread the same way instead of all hashing to one
-    # partition. All three hot columns are referenced (a hot row has a count,
-    # so this is just "is hot"): every use then reads one identical broadcast.
-    spread = F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(1 << 62))
-    no_partner = F.lit(False)
-    for c in _STATS:
-        no_partner = no_partner | F.col(f"_h_{c}").isNotNull()
-    for k in keys:
-        no_partner = no_partner | F.col(k).isNull()
-    routed = (df.join(hot, on=keys, how="left")
-                .withColumn("_route", F.when(no_partner, spread + 1)
-                                       .otherwise(F.lit(0).cast("long"))))
-    return routed, stats, hot, is_hot
-
-
-def _split_join(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
-    routed, stats, hot, is_hot = _route(df, keys, max_hot)
-    routed = routed.drop(*[f"_h_{c}" for c in _STATS])
-    # derived from a column, not a literal: a literal route would be folded
-    # into a post-join filter and the shuffle would be on the session alone
-    cold = (stats.where(~is_hot)
-                 .withColumn("_route", F.least(F.col("session_event_count"), F.lit(0)).cast("long")))
-    # Hash join building the stats side: per task it holds at most one row per
-    # cold session routed there (each has >= 1 streamed row in the same task),
-    # so it is bounded by the task's own input; the big side is streamed, never
-    # sorted. Only the route crosses the shuffle; hot rows then read their
-    # stats from the same bounded broadcast, map-side.
-    joined = (routed.join(cold.hint("shuffle_hash"), on=[*keys, "_route"], how="left")
-                    .join(hot, on=keys, how="left"))
-    return joined.select(
-        *df.columns,
-        *[F.coalesce(F.col(f"_h_{c}"), F.col(c)).alias(c) for c in _STATS])
-
-
-def _split_window(df: DataFrame, keys: list[str], max_hot: int) -> DataFrame:
-    """Window form of the split plan: cold sessions get their metrics from a
-    window over (session key, route) -- each such group holds at most
-    N/max_hot rows -- and hot rows keep the broadcast stats they carry."""
-    routed, _, _, _ = _route(df, keys, max_hot)
-    w = Window.partitionBy(*keys, "_route")
-    cold = F.col("_route") == 0
-    over = {"session_event_count": F.count("event_id").over(w),
-            "session_start": F.min("event_timestamp").over(w),
-            "session_end": F.max("event_timestamp").over(w)}
-    return routed.select(
-        *df.columns,
-        *[F.coalesce(F.col(f"_h_{c}"), F.when(cold, over[c])).alias(c) for c in _STATS])
-
-
-def session_metrics(df: DataFrame, scope: str = "day", strategy: str = "split",
-                    max_hot: int = MAX_HOT_SESSIONS) -> DataFrame:
+def session_metrics(df: DataFrame, scope: str = "day", rows_per_task: int = ROWS_PER_TASK,
+                    max_hot: int = MAX_HOT, cold: str = "join") -> DataFrame:
     """W2 count, W3 start (min), W4 end (max), E7 duration, E8 bounce, per row.
 
     ``scope='day'`` scopes a session to one ``event_date`` (what a daily job
     sees); ``scope='all'`` lets sessions span midnight. Rows whose session
-    key is null get null metrics (Silver has none after F6).
+    key is null get null metrics (Silver has none after F6). ``cold`` says how
+    the sessions that are not hot get their metrics: ``join`` with their
+    pre-aggregated stats, or a ``window`` over the session (one exchange less,
+    but a task holds the rows of a whole session and sorts them all).
     """
     keys = session_keys(scope)
-    if strategy == "window":
+    stats = session_stats(df, keys)
+    total = F.coalesce(stats.agg(F.sum("session_event_count")).scalar(), F.lit(0))
+    count = F.col("session_event_count")
+    is_hot = (count > rows_per_task) & (count * max_hot > total)
+    # fewer than max_hot rows by construction: safe to broadcast at any size
+    hot = F.broadcast(stats.where(is_hot))
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    of_hot = df.join(hot, keys)
+    of_cold = df.where(keyed).join(F.broadcast(stats.where(is_hot).select(*keys)), keys, "left_anti")
+    if cold == "join":
+        of_cold = of_cold.join(stats.where(~is_hot), keys, "left")
+    elif cold == "window":
         w = Window.partitionBy(*keys)
-        out = df.withColumns({
+        of_cold = of_cold.withColumns({
             "session_event_count": F.count("event_id").over(w),
             "session_start": F.min("event_timestamp").over(w),
             "session_end": F.max("event_timestamp").over(w),
         })
-    elif strategy == "aggregate":
-        out = df.join(session_stats(df, keys), on=keys, how="left")
-    elif strategy == "split":
-        out = _split_join(df, keys, max_hot)
-    elif strategy == "split_window":
-        out = _split_window(df, keys, max_hot)
     else:
-        raise ValueError(f"unknown session strategy: {strategy!r}")
+        raise ValueError(f"cold must be 'join' or 'window', not {cold!r}")
+    of_none = df.where(~keyed).withColumns(
+        {c: F.lit(None).cast(stats.schema[c].dataType) for c in _STATS})
+    columns_out = [*df.columns, *_STATS]
+    out = (of_hot.select(*columns_out).unionByName(of_cold.select(*columns_out))
+                 .unionByName(of_none.select(*columns_out)))
     return out.withColumns({
         "session_duration_secs": columns.duration_secs("session_start", "session_end"),
         "is_bounce": F.col("session_event_count") == 1,

@@ -19,8 +19,9 @@ def bronze_batch(records: DataFrame, payload_format: str = "json",
 
 
 def load_bronze(records: DataFrame, table: str, payload_format: str = "json",
-                floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> None:
-    """Append decoded records to the raw table (creating it if missing)."""
+                floor: str = schema.DEFAULT_TIMESTAMP_FLOOR, load_id: str | None = None, fmt: str = "parquet") -> None:
+    """Append decoded records to the raw table (creating it if missing); a
+    retry with the same ``load_id`` replaces the load."""
     spark = records.sparkSession
-    sinks.create_bronze_table(spark, table)
-    sinks.append(bronze_batch(records, payload_format, floor), table)
+    sinks.create_bronze_table(spark, table, fmt=fmt)
+    sinks.append(bronze_batch(records, payload_format, floor), table, load_id)

@@ -17,7 +17,7 @@ from clickweave.functions import envelope
 from clickweave.operators import audit, bronze, profile, quality
 from clickweave.operators import silver as silver_ops
 from clickweave.plans.silver import cleanse, silver
-from clickweave.sources import testdata
+from clickweave.plans import fixture
 from clickweave.sources.tables import for_day
 
 # Parameters of the registered queries (fixed so results are reproducible).
@@ -25,11 +25,16 @@ SAMPLE_DAY = "2024-01-15"
 LATE_FLOOR = "2024-01-15 00:00:00"
 RUN_TS = "2024-02-01 02:00:00"
 
+# Sessions with more events than this are hot in the *_mixed queries, so that
+# both paths of the session plan run on small data.
+MIXED_ROWS_PER_TASK = 3
+_TIMES = ("event_timestamp", "ingestion_timestamp")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.bronze_view(spark, sf_dir)
+    return fixture.bronze_view(spark, sf_dir)
 
 
 def _clean(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
@@ -50,25 +55,17 @@ def bronze_floor(spark, sf_dir):
 
 
 def decode_envelope(spark, sf_dir):
-    decoded = envelope.decode(testdata.envelope_view(spark, sf_dir))
+    decoded = envelope.decode(fixture.envelope_view(spark, sf_dir))
     ev = F.col("event")
+    fields = []
+    for flat, path in schema.FLAT_PATHS:
+        c = F.col(f"event.{path}")
+        fields.append((envelope.millis_to_ts(c) if flat in _TIMES else c).alias(flat))
     return decoded.select(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         ev.isNotNull().alias("decoded"),
-        ev.getField("event_id").alias("event_id"),
-        ev.getField("event_type").alias("event_type"),
-        envelope.millis_to_ts(ev.getField("event_timestamp")).alias("event_timestamp"),
-        envelope.millis_to_ts(ev.getField("ingestion_timestamp")).alias("ingestion_timestamp"),
-        ev.getField("session_id").alias("session_id"),
-        ev.getField("device").getField("device_type").alias("device_type"),
-        ev.getField("device").getField("browser").alias("browser"),
-        ev.getField("geo").getField("country").alias("country"),
-        ev.getField("page").getField("url").alias("page_url"),
-        ev.getField("properties").getField("price").alias("price"),
-        ev.getField("properties").getField("scroll_depth_pct").alias("scroll_depth_pct"),
-        ev.getField("properties").getField("order_value").alias("order_value"),
-        ev.getField("source").alias("source"),
+        *fields,
     )
 
 
@@ -80,22 +77,23 @@ def encode_envelope(spark, sf_dir):
     def field(path: str):
         return F.get_json_object(payload, path)
 
+    fields = []
+    for flat, path in schema.FLAT_PATHS:
+        c = field(f"$.{path}")
+        if flat in _TIMES:
+            fields.append(c.cast("long").alias(f"{flat}_ms"))
+        else:
+            fields.append(c.cast(schema.BRONZE[flat].dataType).alias(flat))
     return records.select(
         "kafka_offset",
         F.col("key").cast("string").alias("key"),
         F.hex(F.substring("value", 1, schema.ENVELOPE_HEADER_BYTES)).alias("header_hex"),
-        field("$.event_id").alias("event_id"),
-        field("$.event_type").alias("event_type"),
-        field("$.event_timestamp").cast("long").alias("event_timestamp_ms"),
-        field("$.device.device_type").alias("device_type"),
-        field("$.geo.country").alias("country"),
-        field("$.page.path").alias("page_path"),
-        field("$.properties.price").cast("double").alias("price"),
+        *fields,
     )
 
 
 def bronze_flatten(spark, sf_dir):
-    return bronze.transform(testdata.envelope_view(spark, sf_dir))
+    return bronze.transform(fixture.envelope_view(spark, sf_dir))
 
 
 # -- silver layer -----------------------------------------------------------
@@ -122,14 +120,24 @@ def silver_sessions(spark, sf_dir):
     return silver_ops.session_metrics(_clean(spark, sf_dir), "day").select(*_SESSION_OUT)
 
 
+def silver_sessions_mixed(spark, sf_dir):
+    return silver_ops.session_metrics(
+        _clean(spark, sf_dir), "day", rows_per_task=MIXED_ROWS_PER_TASK).select(*_SESSION_OUT)
+
+
 def silver_sessions_window(spark, sf_dir):
-    return silver_ops.session_metrics(_clean(spark, sf_dir), "day", "split_window").select(*_SESSION_OUT)
+    return silver_ops.session_metrics(_clean(spark, sf_dir), "day", cold="window").select(*_SESSION_OUT)
 
 
 def silver_sessions_span(spark, sf_dir):
     return silver_ops.session_metrics(_clean(spark, sf_dir), "all").select(*_SESSION_OUT)
 
 
+def silver_sessions_span_mixed(spark, sf_dir):
+    return silver_ops.session_metrics(
+        _clean(spark, sf_dir), "all", rows_per_task=MIXED_ROWS_PER_TASK).select(*_SESSION_OUT)
+
+
 def silver_full(spark, sf_dir):
     return silver(_bronze(spark, sf_dir), None, run_ts=RUN_TS)
 
@@ -138,6 +146,10 @@ def silver_day(spark, sf_dir):
     return silver(_bronze(spark, sf_dir), SAMPLE_DAY, run_ts=RUN_TS)
 
 
+def silver_day_mixed(spark, sf_dir):
+    return silver(_bronze(spark, sf_dir), SAMPLE_DAY, run_ts=RUN_TS, rows_per_task=MIXED_ROWS_PER_TASK)
+
+
 def silver_audit(spark, sf_dir):
     return audit.stage_counts(for_day(_bronze(spark, sf_dir), None))
 
@@ -184,7 +196,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         bronze_all, bronze_day, bronze_floor, decode_envelope, encode_envelope, bronze_flatten,
         silver_dedup, silver_not_null, silver_keep_good_copy, silver_enrich, silver_sessions,
-        silver_sessions_window, silver_sessions_span, silver_full, silver_day, silver_audit,
+        silver_sessions_window, silver_sessions_mixed, silver_sessions_span,
+        silver_sessions_span_mixed, silver_full, silver_day, silver_day_mixed, silver_audit,
         profile_total, profile_event_types, profile_top_cities,
         dq_enum_domains, dq_conditional_fields, dq_required_fields,
         event_mix, ingestion_lag, auth_share,

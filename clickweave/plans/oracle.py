@@ -1,7 +1,7 @@
 """DuckDB twins of the registered queries (correctness oracle).
 
 Each string is self-contained SQL over the pre-registered ``events`` view.
-``BRONZE_CTE`` is the SQL form of ``clickweave.sources.testdata``; the
+``BRONZE_CTE`` is the SQL form of ``clickweave.plans.fixture``; the
 per-query SQL restates the Spark semantics independently (window dedup with
 ``NULLS FIRST``, ``dayname``, Sunday = 0 in ``dayofweek``, ``date_diff``
 counting second boundaries).
@@ -142,28 +142,21 @@ def _ms(col: str) -> str:
 
 _CORRUPT = "id % 101 IN (0, 1)"
 
+_TIMES = ("event_timestamp", "ingestion_timestamp")
+_DECODED = ",\n  ".join(
+    f"CASE WHEN {_CORRUPT} THEN NULL ELSE {_ms(flat) if flat in _TIMES else flat} END AS {flat}"
+    for flat, _ in schema.FLAT_PATHS)
 _DECODE = _with(BRONZE_CTE, f"""
 SELECT kafka_partition, kafka_offset,
   NOT ({_CORRUPT}) AS decoded,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE event_id END AS event_id,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE event_type END AS event_type,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE {_ms('event_timestamp')} END AS event_timestamp,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE {_ms('ingestion_timestamp')} END AS ingestion_timestamp,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE session_id END AS session_id,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE device_type END AS device_type,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE browser END AS browser,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE country END AS country,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE page_url END AS page_url,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE price END AS price,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE scroll_depth_pct END AS scroll_depth_pct,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE order_value END AS order_value,
-  CASE WHEN {_CORRUPT} THEN NULL ELSE source END AS source
+  {_DECODED}
 FROM bronze_id""")
 
-_ENCODE = _with(BRONZE_CTE, """
+_ENCODED = ", ".join(
+    f"epoch_us({flat}) // 1000 AS {flat}_ms" if flat in _TIMES else flat for flat, _ in schema.FLAT_PATHS)
+_ENCODE = _with(BRONZE_CTE, f"""
 SELECT kafka_offset, session_id AS key, '0000000001' AS header_hex,
-  event_id, event_type, epoch_us(event_timestamp) // 1000 AS event_timestamp_ms,
-  device_type, country, page_path, price
+  {_ENCODED}
 FROM bronze_id""")
 
 _FLAT_COLS = ", ".join(
@@ -272,6 +265,10 @@ ORACLE_SQL: dict[str, str] = {
                                          f"{_sessions('event_date, session_id')})"),
     "silver_sessions_window": _with(SILVER_CTE, f"SELECT {_SESSION_OUT} FROM ("
                                                 f"{_sessions('event_date, session_id')})"),
+    "silver_sessions_mixed": _with(SILVER_CTE, f"SELECT {_SESSION_OUT} FROM ("
+                                               f"{_sessions('event_date, session_id')})"),
+    "silver_sessions_span_mixed": _with(SILVER_CTE, f"SELECT {_SESSION_OUT} FROM ("
+                                                    f"{_sessions('session_id')})"),
     "silver_sessions_span": _with(SILVER_CTE, f"SELECT {_SESSION_OUT} FROM ("
                                               f"{_sessions('session_id')})"),
     "silver_full": _with(SILVER_CTE, f"SELECT {_SILVER_OUT} FROM ("
@@ -279,6 +276,9 @@ ORACLE_SQL: dict[str, str] = {
     "silver_day": _with(SILVER_CTE, f"SELECT {_SILVER_OUT} FROM ("
                                     f"{_sessions('event_date, session_id')}) "
                                     f"WHERE event_date = DATE '{SAMPLE_DAY}'"),
+    "silver_day_mixed": _with(SILVER_CTE, f"SELECT {_SILVER_OUT} FROM ("
+                                          f"{_sessions('event_date, session_id')}) "
+                                          f"WHERE event_date = DATE '{SAMPLE_DAY}'"),
     "silver_audit": _AUDIT,
     "profile_total": _with(BRONZE_CTE, "SELECT count(*) AS total_events FROM bronze"),
     "profile_event_types": _with(BRONZE_CTE, "SELECT event_type, count(*) AS event_count "

@@ -17,8 +17,9 @@ TS = T.TimestampNTZType()
 # Fixed values of the event contract. They must equal the contract for right
 # results: enum symbols in contract order, the simulator's event-type weights,
 # the default schema version, the envelope header size, the stated
-# ingestion-lag and authenticated-share rules, and the Avro type names (Avro
-# resolves records and enums by name).
+# ingestion-lag and authenticated-share rules, the Avro type names (Avro
+# resolves records and enums by name), required fields, wire structs, the raw
+# layout and its paths into the event. They end before ENRICH_COLUMNS.
 # --------------------------------------------------------------------------
 EVENT_TYPES = (
     "page_view", "click", "scroll", "search", "add_to_cart", "remove_from_cart",
@@ -43,7 +44,6 @@ AVRO_EVENT_RECORD = "ClickstreamEvent"
 AVRO_RECORD_NAMES = {"device": "Device", "geo": "Geo", "page": "Page",
                      "properties": "EventProperties"}
 AVRO_ENUM_NAMES = {"event_type": "EventType", "device_type": "DeviceType", "source": "Source"}
-# --------------------------------------------------------------------------
 
 # Fields that must be present on every event (non-union types in the contract).
 REQUIRED_FIELDS = (
@@ -141,6 +141,8 @@ FLAT_PATHS = (
     ("source", "source"), ("schema_version", "schema_version"),
 )
 
+# -- end of the fixed contract lists (the Silver layout is built from them) -----
+
 ENRICH_COLUMNS = ("hour_of_day", "day_of_week", "is_weekend", "is_indian_user", "device_category")
 SESSION_COLUMNS = (
     "session_event_count", "session_duration_secs", "is_bounce", "session_start", "session_end",
@@ -172,10 +174,8 @@ def ddl(schema: T.StructType) -> str:
 # Avro writer schema: enums are real Avro enums (the raw job in the original
 # pipeline decoded them as strings, which misreads every non-first symbol).
 _ENUM_FIELDS = {field: (AVRO_ENUM_NAMES[field], domain) for field, domain in ENUM_DOMAINS}
-_REQUIRED_WIRE = {"event_id", "event_type", "event_timestamp", "ingestion_timestamp",
-                  "session_id", "anonymous_id", "device_type", "os", "country",
-                  "timezone", "url", "path", "source", "schema_version",
-                  "device", "geo", "page", "properties"}
+_REQUIRED_WIRE = {path.rpartition(".")[2] for flat, path in FLAT_PATHS if flat in REQUIRED_FIELDS} | {
+    f.name for f in EVENT.fields if isinstance(f.dataType, T.StructType)}
 
 
 def _avro_type(field: T.StructField):

@@ -7,9 +7,12 @@ mapping (from their own config or environment) and it is applied verbatim.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+import re
+import tempfile
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults every job relies on. Calendar fields are computed on UTC wall-clock
 # timestamps, ANSI stays on (bad literals fail instead of matching nothing),
@@ -54,10 +57,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # an application of one process; local-cluster counts as a cluster
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        import tempfile
-
         base = tempfile.mkdtemp(prefix="clickweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -65,3 +67,31 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, *parts) if parts else base
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_TARGET_BYTES = 128 << 20
+
+
+def initial_partitions(size: int, least: int, target: int = SHUFFLE_TARGET_BYTES) -> int:
+    """Shuffle partitions so that one holds ``target`` bytes of ``size``."""
+    return max(least, min(200_000, -(-size // target)))
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[int]:
+    """Run a job with as many initial shuffle partitions as the size of its
+    input asks for. AQE merges small partitions, but it does not split large
+    ones of an aggregate or a window, so the start must be high enough."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = initial_partitions(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    try:
+        yield n
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

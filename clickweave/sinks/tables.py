@@ -1,10 +1,18 @@
-"""Table creation and writes (K5-K8, K9 sink).
+"""Table creation and writes (K1, K5-K8, K9 sink).
 
-Writes are single atomic commands: a day of a file-source table is replaced
-with a static ``INSERT OVERWRITE ... PARTITION``, which also empties the day
-when the new result is empty (dynamic partition overwrite would leave stale
-rows there); a v2 table (Iceberg, Delta) gets ``writeTo(t).overwrite(day)``.
-No ``coalesce(1)``: the final stage keeps its parallelism and AQE sizes the
+A day of a file table is never overwritten in place: Spark deletes the old
+files before it writes the new ones, so a failed job would lose the day. The
+new rows go to a folder of their own first, and only when that job has
+committed is the day's partition switched to it in the catalog; a day without
+rows switches to an empty folder or is dropped. A reader sees the old files or
+the new ones, a failed run leaves the old ones, a rerun gives the same result.
+Old folders stay until ``remove_unreferenced``, so running readers finish.
+
+Appends carry a load id: loading the same id again replaces that load, so a
+stream's batch and a batch job can be retried, and both write the same table.
+
+A v2 table (Iceberg, Delta) does both in its own atomic commits. No
+``coalesce(1)``: the final stage keeps its parallelism and AQE sizes the
 output files.
 """
 
@@ -39,12 +47,17 @@ def create_table(spark: SparkSession, name: str, table_schema: T.StructType,
     """)
 
 
-def create_bronze_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    create_table(spark, name, schema.BRONZE, location=location)
+LOAD_ID = "load_id"
+
 
+def create_bronze_table(spark: SparkSession, name: str, location: str | None = None, fmt: str = "parquet") -> None:
+    """The raw table: its contract columns, by day and load."""
+    loads = T.StructType([*schema.BRONZE.fields, T.StructField(LOAD_ID, T.StringType())])
+    create_table(spark, name, loads, partition_by=f"event_date, {LOAD_ID}", location=location, fmt=fmt)
 
-def create_silver_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    create_table(spark, name, schema.SILVER, location=location)
+
+def create_silver_table(spark: SparkSession, name: str, location: str | None = None, fmt: str = "parquet") -> None:
+    create_table(spark, name, schema.SILVER, location=location, fmt=fmt)
 
 
 FILE_PROVIDERS = {"parquet", "orc", "csv", "json", "avro", "text", "hive"}
@@ -58,19 +71,29 @@ def provider(spark: SparkSession, table: str) -> str:
     return "hive"
 
 
+def _detail(spark: SparkSession, table: str, name: str) -> str:
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row[0] == name:
+            return str(row[1])
+    raise ValueError(f"{table} has no {name}")
+
+
 def overwrite_day(df: DataFrame, table: str, day: str | dt.date | None,
                   partition_col: str = "event_date", rebalance: bool | None = None) -> None:
     """K5 (absorbing F7, the row-level delete): replace one day of ``table``
-    with ``df`` atomically.
+    with ``df``, or with ``day=None`` all days: afterwards the table holds
+    ``df`` and nothing else.
 
-    ``day=None`` replaces every day present in ``df`` (dynamic overwrite;
-    days absent from ``df`` are left untouched). K6: instead of a single-file
-    ``coalesce(1)``, ``rebalance`` (default: only
+    K6: instead of a single-file ``coalesce(1)``, ``rebalance`` (default: only
     for multi-day writes) adds a ``REBALANCE`` by day so each day is written
     as a few AQE-sized files instead of one file per task per day.
     """
     spark = df.sparkSession
-    cols = [c for c in spark.table(table).columns if c != partition_col]
+    cols = spark.table(table).columns
+    if day is not None:
+        day = parse_day(day)
+        df = df.where(F.col(partition_col) == F.lit(day))
+    df = df.select(*cols)
     if rebalance is None:
         rebalance = day is None
     if rebalance:
@@ -78,36 +101,67 @@ def overwrite_day(df: DataFrame, table: str, day: str | dt.date | None,
     if provider(spark, table) not in FILE_PROVIDERS:
         # v2 tables (e.g. Iceberg, Delta): one atomic delete-matching-rows and
         # append; an empty result still empties the day.
-        writer = df.select(*spark.table(table).columns).writeTo(table)
-        if day is None:
-            writer.overwritePartitions()
-        else:
-            writer.overwrite(F.col(partition_col) == F.lit(parse_day(day)))
+        df.writeTo(table).overwrite(F.lit(True) if day is None else F.col(partition_col) == F.lit(day))
+        return
+    base = _detail(spark, table, "Location").rstrip("/")
+    folder = f"{base}/{RUN_PREFIX}{uuid.uuid4().hex}"
+    df.write.format(provider(spark, table)).partitionBy(partition_col).save(folder)
+    # the job has committed; one value for each day written
+    found = spark.read.format(provider(spark, table)).schema(df.schema).load(folder)
+    written = {r[0] for r in found.select(partition_col).distinct().collect()}
+    have = {p[0].split("=", 1)[1] for p in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for d in sorted(written, key=str):
+        spec = f"PARTITION ({partition_col} = DATE'{d}')"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}/{partition_col}={d}'")
+    gone = have - {str(d) for d in written} if day is None else {str(day)} & have - {str(d) for d in written}
+    for d in sorted(gone):
+        # switched to an empty folder first: dropping a managed partition
+        # deletes its folder, and readers may still hold the old files
+        spec = f"PARTITION ({partition_col} = DATE'{d}')"
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}/empty-{d}'")
+        spark.sql(f"ALTER TABLE {table} DROP {spec}")
+    spark.catalog.refreshTable(table)
+
+
+RUN_PREFIX = "_run-"
+
+
+def remove_unreferenced(spark: SparkSession, table: str) -> list[str]:
+    """Delete the run folders of ``table`` that no partition points to; run it
+    when no reader or writer is at work. Returns the folders deleted."""
+    base = _detail(spark, table, "Location").rstrip("/")
+    used = set()
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        key, value = spec.split("=", 1)
+        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({key} = '{value}')").collect():
+            if row[0] == "Location":
+                used.add(str(row[1]).rstrip("/").split("/")[-2])
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(RUN_PREFIX) and name not in used:
+            fs.delete(status.getPath(), True)
+            out.append(name)
+    return out
+
+
+def append(df: DataFrame, table: str, load_id: str | None = None) -> None:
+    """Add ``df`` to a raw table as one load; a load with the same id replaces
+    the one before, so a retry adds nothing twice. Both the stream and the
+    batch job write this way."""
+    spark = df.sparkSession
+    load = load_id or uuid.uuid4().hex
+    cols = spark.table(table).columns
+    rows = df.drop(LOAD_ID).withColumn(LOAD_ID, F.lit(load)).select(*cols).hint("rebalance", "event_date")
+    if provider(spark, table) not in FILE_PROVIDERS:
+        rows.writeTo(table).overwrite(F.col(LOAD_ID) == F.lit(load))
         return
-    view = f"_clickweave_write_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    select_cols = ", ".join(f"`{c}`" for c in cols)
-    try:
-        if day is None:
-            prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            try:
-                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col}) "
-                          f"SELECT {select_cols}, `{partition_col}` FROM {view}")
-            finally:
-                spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        else:
-            d = parse_day(day).isoformat()
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = DATE'{d}') "
-                      f"SELECT {select_cols} FROM {view} WHERE `{partition_col}` = DATE'{d}'")
-    finally:
-        spark.catalog.dropTempView(view)
-
-
-def append(df: DataFrame, table: str) -> None:
-    """Plain append by column name (used by the batch variant of the raw job)."""
-    cols = df.sparkSession.table(table).columns
-    df.select(*cols).write.insertInto(table)
+    # staged by the dynamic mode: only (day, load) partitions of this load change
+    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
 # Producer settings of the original publisher: wait for all replicas, snappy.

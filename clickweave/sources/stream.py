@@ -12,9 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickweave import schema
 
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 100_000
-
-
 def read_records(
     spark: SparkSession,
     source: str = "kafka",
@@ -23,14 +20,16 @@ def read_records(
     bootstrap_servers: str | None = None,
     path: str | None = None,
     starting_offsets: str = "earliest",
-    max_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
+    max_records_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = None,
     fail_on_data_loss: bool = True,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """An unbounded frame of envelope records.
 
-    S1 subscribe, S2 ``startingOffsets`` (earliest by default), S3 rate limit,
-    S4 ``failOnDataLoss`` -- on by default; pass ``False`` to tolerate offsets
+    S1 subscribe, S2 ``startingOffsets`` (earliest by default), S3 rate limit
+    (none by default, so a busy topic never falls behind; records for the
+    broker, files for a file source), S4 ``failOnDataLoss`` -- on by default; pass ``False`` to tolerate offsets
     lost to retention, as the original did.
     """
     reader = spark.readStream.format(source)
@@ -41,14 +40,18 @@ def read_records(
                         .option("subscribe", topic)
                         .option("startingOffsets", starting_offsets)
                         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", int(max_per_trigger))
+        if max_files_per_trigger:
+            raise ValueError("max_files_per_trigger is for file sources")
+        if max_records_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", int(max_records_per_trigger))
     else:
         if not path:
             raise ValueError(f"{source} source needs a path")
         reader = reader.schema(schema.ENVELOPE)
-        if max_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", int(max_per_trigger))
+        if max_records_per_trigger:
+            raise ValueError("max_records_per_trigger is for the broker source")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     try:

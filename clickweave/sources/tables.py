@@ -44,5 +44,5 @@ def for_day(df: DataFrame, day: str | dt.date | None) -> DataFrame:
 
 def read_bronze(spark: SparkSession, source: str | DataFrame,
                 day: str | dt.date | None = None) -> DataFrame:
-    """The raw table, optionally one day of it."""
-    return for_day(read_table(spark, source), day)
+    """The raw table, optionally one day of it; the load id is left out."""
+    return for_day(read_table(spark, source), day).drop("load_id")

@@ -1,40 +1,27 @@
 """Raw-layer stream job.
 
-``records -> bronze.transform -> sink``. The default sink is Spark's native
-file sink (parquet, partitioned by ``event_date``): its commit log in the
-checkpoint makes every micro-batch exactly-once, so a restarted or retried
-batch never appends twice. ``foreachBatch`` is offered for targets the file
-sink cannot reach; that path skips empty batches and is at-least-once unless
-the target itself is idempotent per ``batch_id``.
+``records -> bronze.transform -> raw table``. Every micro-batch is one load of
+the raw table, named after the query and the batch: a batch that is run again
+after a failure replaces itself, and batch jobs append to the same table by
+the same rule (``sinks.tables.append``). The table may be a file table or a v2
+one (Iceberg, Delta); it is created first. Empty batches are skipped (K2).
+There is no log of all files for the driver to read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickweave import schema
 from clickweave.operators import bronze
 from clickweave.session import shared_dir
+from clickweave.sinks import tables as sinks
 
 DEFAULT_TRIGGER = "15 minutes"
-BATCH_METRIC = "bronze_batch"
-
-
-def _observed(rows: DataFrame) -> DataFrame:
-    """A4: rows per micro-batch, reported in the query progress
-    (``observedMetrics``) by the batch's own write -- no extra job."""
-    return rows.observe(BATCH_METRIC, F.count(F.lit(1)).alias("rows"))
-
-
-def batch_rows(query: StreamingQuery) -> int | None:
-    """Rows written by the query's last micro-batch, from its progress."""
-    progress = query.lastProgress or {}
-    metric = (progress.get("observedMetrics") or {}).get(BATCH_METRIC)
-    return None if metric is None else int(metric["rows"])
 
 
 def _trigger(writer, trigger: str | None):
@@ -49,26 +36,32 @@ def _trigger(writer, trigger: str | None):
 
 def start_bronze_stream(
     records: DataFrame,
-    target: str,
+    table: str,
     *,
     checkpoint: str | None = None,
     trigger: str | None = DEFAULT_TRIGGER,
     payload_format: str = "json",
     floor: str = schema.DEFAULT_TIMESTAMP_FLOOR,
-    to_table: bool = False,
-    query_name: str | None = None,
+    query_name: str = "bronze",
+    fmt: str = "parquet",
+    on_batch: Callable[[int, int], None] | None = None,
 ) -> StreamingQuery:
-    """K1 append with K3 trigger and K4 checkpoint; ``target`` is a path or,
-    with ``to_table=True``, a catalog table."""
+    """K1 append into a catalog table with K3 trigger and K4 checkpoint. The
+    checkpoint and ``query_name`` belong together: both name the batches.
+    ``on_batch(batch_id, rows)`` gets the rows of each batch (A4), counted by
+    the batch's own write."""
     spark = records.sparkSession
-    ckpt = checkpoint or shared_dir(spark, "streams", query_name or "bronze")
-    rows = _observed(bronze.transform(records, payload_format, floor))
-    writer = (rows.writeStream.format("parquet").outputMode("append")
-              .partitionBy("event_date").option("checkpointLocation", ckpt))
-    if query_name:
-        writer = writer.queryName(query_name)
-    writer = _trigger(writer, trigger)
-    return writer.toTable(target) if to_table else writer.start(target)
+    sinks.create_bronze_table(spark, table, fmt=fmt)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        sinks.append(batch.observe(seen, F.count(F.lit(1)).alias("rows")), table, f"{query_name}-{batch_id}")
+        if on_batch:
+            on_batch(batch_id, int(seen.get["rows"]))
+
+    return start_bronze_foreach_batch(
+        records, load, checkpoint=checkpoint or shared_dir(spark, "streams", query_name), trigger=trigger,
+        payload_format=payload_format, floor=floor, query_name=query_name)
 
 
 def start_bronze_foreach_batch(
@@ -81,7 +74,8 @@ def start_bronze_foreach_batch(
     floor: str = schema.DEFAULT_TIMESTAMP_FLOOR,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """K1 through a user callback; K2: empty micro-batches are skipped."""
+    """K1 through a callback; K2: empty micro-batches are skipped. Exactly-once
+    if the callback is idempotent per ``batch_id``."""
     spark = records.sparkSession
     ckpt = checkpoint or shared_dir(spark, "streams", query_name or "bronze-fb")
     rows = bronze.transform(records, payload_format, floor)

@@ -10,7 +10,7 @@ from conftest import SF001, bronze_rows
 from clickweave import schema
 from clickweave.functions import envelope
 from clickweave.operators import bronze
-from clickweave.sources import testdata
+from clickweave.plans import fixture
 
 
 def _records(spark, payloads):
@@ -77,7 +77,7 @@ def test_floor_on_flat_rows(spark):
 
 
 def test_round_trip_equals_source(spark):
-    src = testdata.bronze_view(spark, SF001)
+    src = fixture.bronze_view(spark, SF001)
     recs = envelope.encode(src, keep=("kafka_partition", "kafka_offset")).select(
         "key", "value", "kafka_partition", "kafka_offset"
     ).withColumnRenamed("kafka_partition", "partition").withColumnRenamed("kafka_offset", "offset")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
 import uuid
+from contextlib import contextmanager
 
 from conftest import SF001, bronze_rows
 
 from clickweave.plans import catalog
 from clickweave.sinks import tables as sinks
-from clickweave.sources import testdata
+from clickweave.plans import fixture
 from clickweave.sources.tables import read_bronze
 
 
@@ -24,7 +24,7 @@ def _optimized(df) -> str:
 def test_day_read_prunes_partitions(spark):
     t = f"raw_{uuid.uuid4().hex[:8]}"
     sinks.create_bronze_table(spark, t)
-    sinks.append(testdata.bronze_view(spark, SF001), t)
+    sinks.append(fixture.bronze_view(spark, SF001), t)
     df = read_bronze(spark, t, "2024-01-15")
     plan = _plan(df)
     assert "PartitionFilters: [isnotnull(event_date" in plan
@@ -44,24 +44,50 @@ def test_silver_session_join_shape(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = _plan(catalog.silver_full(spark, SF001))
-        window = _plan(catalog.silver_sessions_window(spark, SF001))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert "partial_count" in plan  # sessions pre-aggregated map-side
-    # both join sides shuffled on (session key, route): hot rows are spread
-    assert len(re.findall(r"hashpartitioning\(event_date#\d+, session_id#\d+, _route", plan)) == 2
+    assert "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan  # a join that spills
     assert "BroadcastExchange" in plan  # the bounded hot-session stats
-    assert "ShuffledHashJoin" in plan and "BuildRight" in plan
     assert "Subquery" in plan  # the row total that bounds the hot set
-    # the registered window query windows over (session key, route) as well
-    assert re.search(r"hashpartitioning\(event_date#\d+, session_id#\d+, _route", window)
-    assert "Window [count(" in window
+
+
+def test_the_job_writes_the_tested_plan(spark, monkeypatch):
+    """The frame that run_silver writes has the registered query's plan, with
+    the null-id filter at the scan."""
+    from clickweave.plans import silver as plans
+
+    written = []
+    monkeypatch.setattr(plans.sinks, "overwrite_day", lambda df, table, day: (written.append(df), df.count()))
+    t = f"raw_{uuid.uuid4().hex[:8]}"
+    sinks.create_bronze_table(spark, t)
+    sinks.append(fixture.bronze_view(spark, SF001), t)
+    plans.run_silver(spark, t, f"silver_{uuid.uuid4().hex[:8]}", "2024-01-15", run_ts=catalog.RUN_TS)
+    plan = _plan(written[0])
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans and all("IsNotNull(event_id)" in s and "= 2024-01-15" in s for s in scans)
+    assert plan.count("CollectMetrics") == 1
+    query = _plan(plans.silver(read_bronze(spark, t), "2024-01-15", run_ts=catalog.RUN_TS))
+    count = lambda p: {w: p.count(w) for w in ("Exchange", "WindowGroupLimit", "SortMergeJoin", "HashAggregate", "FileScan")}
+    assert count(plan) == count(query)
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    from clickweave.session import INITIAL_PARTITIONS, initial_partitions, sized_shuffles
+
+    assert initial_partitions(100 << 40, 200) == 200_000 and initial_partitions(1 << 40, 200) == 8192
+    assert initial_partitions(1 << 20, 8) == 8
+    big = spark.range(1 << 33)  # 64 GB by its statistics
+    with sized_shuffles(big) as n:
+        assert n == 512 and spark.conf.get(INITIAL_PARTITIONS) == "512"
+        assert ", 512)" in _plan(big.groupBy((big["id"] % 7).alias("k")).count())
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
 
 
 def test_decode_parses_once(spark):
     from clickweave.operators import bronze
 
-    df = bronze.transform(testdata.envelope_view(spark, SF001))
+    df = bronze.transform(fixture.envelope_view(spark, SF001))
     assert _optimized(df).count("from_json") == 1
 
 
@@ -103,41 +129,52 @@ def _skewed(spark, n):
     ).withColumn("event_date", F.to_date("event_timestamp")))
 
 
-def test_hot_session_is_spread_over_tasks(spark):
-    """One session holds a third of all rows; no task may receive it whole."""
+def _per_task(spark, out):
     from pyspark.sql import functions as F
 
-    from clickweave.operators import silver as ops
+    return out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
-    n = 60_000
-    df = _skewed(spark, n)
-    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+@contextmanager
+def _settings(spark, **settings):
+    keys = {f"spark.sql.{k.replace('_', '.')}": v for k, v in settings.items()}
     prev = {k: spark.conf.get(k) for k in keys}
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
-
-        def max_task_rows(strategy):
-            # max_hot=10: only sessions above N/10 rows are hot, so just the one
-            # big session takes the broadcast path and the rest use the join
-            out = ops.session_metrics(df, "day", strategy, max_hot=10)
-            # filter on a computed stat so the session step cannot be pruned
-            out = out.where(F.col("session_event_count") > 0)
-            per_task = out.groupBy(F.spark_partition_id()).count()
-            return per_task.agg(F.max("count")).first()[0]
-
-        split, window = max_task_rows("split"), max_task_rows("window")
-        split_window = max_task_rows("split_window")
-        hot = ops.session_metrics(df, "day", max_hot=10).where("session_id = 'hot'")
-        stats = hot.agg(F.count("*"), F.min("session_event_count"), F.max("session_event_count")).first()
+        yield
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
-    assert window >= n // 3            # the window plan funnels the session into one task
-    assert split < n // 6              # the split plan scatters it
-    assert split_window < n // 6       # and so does its window form
-    assert tuple(stats) == (n // 3, n // 3, n // 3)  # and every hot row still gets exact stats
+
+
+def test_hot_session_is_spread_over_tasks(spark):
+    """One session holds a third of all rows; no task may receive it whole."""
+    from pyspark.sql import functions as F
+
+    from clickweave.operators import silver as ops
+
+    n = 60_000
+    df = _skewed(spark, n)
+    with _settings(spark, autoBroadcastJoinThreshold="-1", adaptive_coalescePartitions_enabled="false"):
+        out = ops.session_metrics(df, "day", rows_per_task=100)
+        # filter on a computed stat so the session step cannot be pruned
+        assert _per_task(spark, out.where(F.col("session_event_count") > 0)) < n // 6
+        hot = out.where("session_id = 'hot'")
+        stats = hot.agg(F.count("*"), F.min("session_event_count"), F.max("session_event_count")).first()
+        cold = ops.session_metrics(df, "day")  # below ROWS_PER_TASK: the ordinary path
+        assert out.exceptAll(cold.select(*out.columns)).count() == 0
+    assert tuple(stats) == (n // 3, n // 3, n // 3)  # every hot row still gets exact stats
+
+
+def test_hot_rows_skip_the_session_exchange(spark):
+    from clickweave.operators import silver as ops
+
+    n = 60_000
+    df = _skewed(spark, n)
+    with _settings(spark, autoBroadcastJoinThreshold="-1", adaptive_coalescePartitions_enabled="false"):
+        written = _shuffle_records_written(ops.session_metrics(df, "day", rows_per_task=100))
+    assert max(written) == n - n // 3
 
 
 def test_null_session_keys_are_spread(spark):
@@ -148,20 +185,11 @@ def test_null_session_keys_are_spread(spark):
     n = 30_000
     df = _skewed(spark, n).withColumn(
         "session_id", F.when(F.col("session_id") == "hot", F.lit(None)).otherwise(F.col("session_id")))
-    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    prev = {k: spark.conf.get(k) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        out = ops.session_metrics(df, "day", max_hot=10).where(
+    with _settings(spark, autoBroadcastJoinThreshold="-1", adaptive_coalescePartitions_enabled="false"):
+        out = ops.session_metrics(df, "day").where(
             F.col("session_event_count").isNull() | (F.col("session_event_count") > 0))
-        per_task = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-        nulls = out.where(F.col("session_id").isNull())
-        got = nulls.agg(F.count("*"), F.count("session_event_count")).first()
-    finally:
-        for k, v in prev.items():
-            spark.conf.set(k, v)
+        per_task = _per_task(spark, out)
+        got = out.where(F.col("session_id").isNull()).agg(F.count("*"), F.count("session_event_count")).first()
     assert per_task < n // 6
     assert tuple(got) == (n // 3, 0)  # kept, with null metrics
 

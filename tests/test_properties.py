@@ -45,10 +45,12 @@ def test_dedup_unique_and_idempotent(spark, rows):
 def test_session_count_invariant(spark, rows):
     clean = cleanse(_frame(spark, rows))
     for scope in ("day", "all"):
-        agg = ops.session_metrics(clean, scope, "aggregate")
-        for other in ("window", "split", "split_window"):
-            alt = ops.session_metrics(clean, scope, other, max_hot=2)
+        keys = ops.session_keys(scope)
+        agg = clean.join(ops.session_stats(clean, keys), keys)
+        for options in ({}, {"rows_per_task": 0}, {"rows_per_task": 1}, {"rows_per_task": 1, "max_hot": 2}, {"cold": "window"}):
+            alt = ops.session_metrics(clean, scope, **options)
             assert agg.exceptAll(alt.select(*agg.columns)).count() == 0
+            assert alt.count() == agg.count()
         total = agg.agg(F.sum(1 / F.col("session_event_count"))).first()[0] or 0
         sessions = clean.select(*ops.session_keys(scope)).distinct().count()
         assert round(total, 9) == sessions

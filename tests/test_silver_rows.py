@@ -93,27 +93,27 @@ def test_calendar_independent_of_session_time_zone(spark):
     assert (r.hour_of_day, r.day_of_week, r.event_date) == (23, "Saturday", dt.date(2024, 1, 6))
 
 
-@pytest.mark.parametrize("strategy", ["split", "split_window", "aggregate", "window"])
-def test_duration_floors_each_side(spark, strategy):
+@pytest.mark.parametrize("options", [{}, {"rows_per_task": 0}, {"cold": "window"}])
+def test_duration_floors_each_side(spark, options):
     df = bronze_rows(spark, [
         {"event_timestamp": "2024-01-10 10:00:00.900", "kafka_offset": 1},
         {"event_timestamp": "2024-01-10 10:00:01.100", "kafka_offset": 2},
     ])
-    rows = ops.session_metrics(df, "day", strategy).collect()
+    rows = ops.session_metrics(df, "day", **options).collect()
     assert {r.session_duration_secs for r in rows} == {1}
     assert {r.session_event_count for r in rows} == {2}
     assert {r.is_bounce for r in rows} == {False}
 
 
-@pytest.mark.parametrize("strategy", ["split", "split_window", "aggregate", "window"])
-def test_bounce(spark, strategy):
+@pytest.mark.parametrize("options", [{}, {"rows_per_task": 0}, {"cold": "window"}])
+def test_bounce(spark, options):
     df = bronze_rows(spark, [
         {"session_id": "one", "kafka_offset": 1},
         {"session_id": "two", "kafka_offset": 2},
         {"session_id": "two", "kafka_offset": 3, "event_timestamp": "2024-01-10 10:05:00"},
     ])
     got = {(r.session_id, r.is_bounce, r.session_duration_secs)
-           for r in ops.session_metrics(df, "day", strategy).collect()}
+           for r in ops.session_metrics(df, "day", **options).collect()}
     assert got == {("one", True, 0), ("two", False, 300)}
 
 

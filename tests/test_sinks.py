@@ -13,7 +13,7 @@ from clickweave import schema
 from clickweave.operators import audit
 from clickweave.plans.silver import run_silver
 from clickweave.sinks import tables as sinks
-from clickweave.sources import testdata
+from clickweave.plans import fixture
 
 
 def _name(prefix):
@@ -24,9 +24,9 @@ def test_create_tables_from_schema(spark):
     b, s = _name("raw"), _name("silver")
     sinks.create_bronze_table(spark, b)
     sinks.create_silver_table(spark, s)
-    assert tuple(spark.table(b).columns[:-1]) == tuple(c for c in schema.BRONZE_COLUMNS
+    assert tuple(spark.table(b).columns[:-2]) == tuple(c for c in schema.BRONZE_COLUMNS
                                                         if c != "event_date")
-    assert spark.table(b).columns[-1] == "event_date"  # partition column last
+    assert spark.table(b).columns[-2:] == ["event_date", "load_id"]  # partition columns last
     assert set(spark.table(s).columns) == set(schema.SILVER_COLUMNS)
     sinks.create_silver_table(spark, s)  # IF NOT EXISTS
 
@@ -34,7 +34,7 @@ def test_create_tables_from_schema(spark):
 def test_daily_rewrite_is_idempotent(spark):
     bronze_t, silver_t = _name("raw"), _name("silver")
     sinks.create_bronze_table(spark, bronze_t)
-    sinks.append(testdata.bronze_view(spark, SF001), bronze_t)
+    sinks.append(fixture.bronze_view(spark, SF001), bronze_t)
     day = dt.date(2024, 1, 15)
     report = run_silver(spark, bronze_t, silver_t, day, run_ts="2024-02-01 02:00:00")
     first = spark.table(silver_t).where(F.col("event_date") == day)
@@ -60,7 +60,7 @@ def test_daily_rewrite_is_idempotent(spark):
 
 def test_observed_counts_match_audit_query(spark):
     silver_t = _name("silver")
-    view = testdata.bronze_view(spark, SF001)
+    view = fixture.bronze_view(spark, SF001)
     report = run_silver(spark, view, silver_t, None, run_ts="2024-02-01 02:00:00")
     by_stage = {r["stage"]: r for r in report}
     q = audit.stage_counts(view.where(F.col("event_date").isNotNull()))
@@ -102,7 +102,7 @@ def test_batch_raw_load_and_path_read(spark, scratch):
     from clickweave.sources.tables import read_bronze
 
     t = _name("raw_batch")
-    records = testdata.envelope_view(spark, SF001)
+    records = fixture.envelope_view(spark, SF001)
     load_bronze(records, t)
     expected = bronze.transform(records)
     got = spark.table(t).select(*expected.columns)
@@ -121,3 +121,49 @@ def test_provider_detection(spark):
     sinks.create_silver_table(spark, t)
     assert sinks.provider(spark, t) == "parquet"
     assert sinks.provider(spark, t) in sinks.FILE_PROVIDERS
+
+
+def _day_table(spark):
+    t = _name("silver")
+    run_silver(spark, fixture.bronze_view(spark, SF001), t, None, run_ts="2024-02-01 02:00:00")
+    return t, spark.table(t)
+
+
+def _days(spark, t):
+    return {str(r[0]): r[1] for r in spark.table(t).groupBy("event_date").count().collect()}
+
+
+@pytest.mark.parametrize("day", ["2024-01-15", None])
+def test_a_failed_rewrite_loses_nothing(spark, day):
+    t, rows = _day_table(spark)
+    before = _days(spark, t)
+    broken = rows.withColumn("city", F.when(F.col("event_date") >= "2024-01-15", F.raise_error(F.lit("boom"))).otherwise(F.col("city")))
+    with pytest.raises(Exception, match="boom"):
+        sinks.overwrite_day(broken, t, day)
+    assert before["2024-01-15"] > 0 and _days(spark, t) == before
+
+
+def test_a_day_that_turns_empty_is_gone(spark):
+    t, rows = _day_table(spark)
+    before = _days(spark, t)
+    keep = rows.where("event_date <> DATE'2024-01-15'")
+    sinks.overwrite_day(keep, t, "2024-01-15")
+    assert _days(spark, t) == {d: n for d, n in before.items() if d != "2024-01-15"}
+    sinks.overwrite_day(rows.where("event_date > DATE'2024-01-17'"), t, None)  # all days: the result and nothing else
+    assert _days(spark, t) == {d: n for d, n in before.items() if d > "2024-01-17"}
+    sinks.overwrite_day(rows.limit(0), t, None)
+    assert _days(spark, t) == {}
+
+
+def test_a_reader_of_the_old_day_finishes(spark):
+    t, rows = _day_table(spark)
+    n = rows.where("event_date = DATE'2024-01-15'").count()
+    old = spark.table(t).where("event_date = DATE'2024-01-15'")
+    files = old.inputFiles()  # planned before the rewrite
+    sinks.overwrite_day(spark.table(t).where("event_date = DATE'2024-01-15'").limit(1), t, "2024-01-15")
+    assert spark.read.parquet(*files).count() == n  # its files are still there
+    assert spark.table(t).where("event_date = DATE'2024-01-15'").count() == 1
+    assert sinks.remove_unreferenced(spark, t) == []  # the first run still holds the other days
+    sinks.overwrite_day(spark.table(t), t, None)
+    assert len(sinks.remove_unreferenced(spark, t)) == 2
+    assert spark.table(t).where("event_date = DATE'2024-01-15'").count() == 1

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from conftest import SF001
 from pyspark.sql import functions as F
 
 from clickweave.operators import bronze
-from clickweave.sources import stream, testdata
+from clickweave.plans import fixture
+from clickweave.sources import stream
+from clickweave.plans.bronze import load_bronze
+from clickweave.sinks import tables as sinks
+from clickweave.sources.tables import read_bronze
 from clickweave.streaming import ingest
 
 
@@ -16,36 +21,49 @@ def _write_records(spark, path, df):
     df.select("key", "value", "topic", "partition", "offset").write.mode("append").parquet(path)
 
 
-def test_restart_is_exactly_once(spark, scratch):
-    src = os.path.join(scratch, "in")
-    out = os.path.join(scratch, "out")
-    ckpt = os.path.join(scratch, "ckpt")
-    records = testdata.envelope_view(spark, SF001)
-    seen_batches = []
-    first = records.where(F.col("offset") < 500)
+def _table():
+    return f"raw_{uuid.uuid4().hex[:8]}"
+
+
+def test_restart_and_batch_append_hold_every_row_once(spark, scratch):
+    src, ckpt, table = os.path.join(scratch, "in"), os.path.join(scratch, "ckpt"), _table()
+    records = fixture.envelope_view(spark, SF001)
+    batches = []
+    first = records.where(F.col("offset") < 400)
     _write_records(spark, src, first)
 
     def run():
         q = ingest.start_bronze_stream(
-            stream.read_records(spark, "parquet", path=src, max_per_trigger=1),
-            out, checkpoint=ckpt, trigger="availableNow")
+            stream.read_records(spark, "parquet", path=src, max_files_per_trigger=1), table,
+            checkpoint=ckpt, trigger="availableNow", on_batch=lambda i, rows: batches.append(rows))
         q.awaitTermination(120)
-        seen_batches.append(ingest.batch_rows(q))
-        return spark.read.parquet(out).count()
-
-    n1 = run()
-    expected1 = bronze.transform(first).count()
-    assert n1 == expected1 > 0
-    assert seen_batches[-1] is not None and seen_batches[-1] > 0  # A4 from progress
-    assert run() == expected1  # restart: nothing reprocessed
-    rest = records.where(F.col("offset") >= 500)
-    _write_records(spark, src, rest)
-    n3 = run()
-    assert n3 == bronze.transform(records).count()
-    # stream result == batch result
+        return spark.table(table).count()
+
+    expected = bronze.transform(first).count()
+    assert run() == expected > 0
+    assert sum(batches) == expected  # A4
+    assert run() == expected  # restart: nothing reprocessed
+    _write_records(spark, src, records.where((F.col("offset") >= 400) & (F.col("offset") < 700)))
+    run()
+    late = records.where(F.col("offset") >= 700)
+    for _ in range(2):  # a retried batch load replaces itself
+        load_bronze(late, table, load_id="late")
     batch = bronze.transform(records)
-    got = spark.read.parquet(out).select(*batch.columns)
+    got = read_bronze(spark, table).select(*batch.columns)
+    assert got.count() == batch.count()
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+    location = [r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location"][0]
+    assert not os.path.exists(os.path.join(location.removeprefix("file:"), "_spark_metadata"))
+
+
+def test_a_batch_run_again_replaces_itself(spark):
+    table = _table()
+    sinks.create_bronze_table(spark, table)
+    rows = bronze.transform(fixture.envelope_view(spark, SF001))
+    sinks.append(rows, table, "bronze-0")
+    sinks.append(rows, table, "bronze-0")
+    sinks.append(rows.limit(7), table, "bronze-1")
+    assert spark.table(table).count() == rows.count() + 7
 
 
 def test_foreach_batch_skips_empty(spark, scratch):
@@ -58,7 +76,7 @@ def test_foreach_batch_skips_empty(spark, scratch):
         checkpoint=os.path.join(scratch, "ckpt"), trigger="availableNow")
     q.awaitTermination(60)
     assert seen == []
-    _write_records(spark, src, testdata.envelope_view(spark, SF001).limit(20))
+    _write_records(spark, src, fixture.envelope_view(spark, SF001).limit(20))
     q = ingest.start_bronze_foreach_batch(
         stream.read_records(spark, "parquet", path=src),
         lambda df, bid: seen.append((bid, df.count())),
@@ -74,23 +92,13 @@ def test_kafka_source_needs_settings(spark):
         stream.read_records(spark, "kafka")
 
 
-def test_stream_into_catalog_table(spark, scratch):
-    import uuid
-
-    src = os.path.join(scratch, "in")
-    _write_records(spark, src, testdata.envelope_view(spark, SF001))
-    table = f"raw_stream_{uuid.uuid4().hex[:8]}"
-    from clickweave.sinks import tables as sinks
+def test_limits_belong_to_their_sources(spark):
+    import pytest
 
-    sinks.create_bronze_table(spark, table)
-    q = ingest.start_bronze_stream(
-        stream.read_records(spark, "parquet", path=src), table,
-        checkpoint=os.path.join(scratch, "ckpt"), trigger="availableNow", to_table=True)
-    q.awaitTermination(120)
-    expected = bronze.transform(testdata.envelope_view(spark, SF001))
-    got = spark.table(table).select(*expected.columns)
-    assert got.count() == expected.count()
-    assert got.exceptAll(expected).count() == 0
+    with pytest.raises(ValueError):
+        stream.read_records(spark, "parquet", path="/x", max_records_per_trigger=5)
+    with pytest.raises(ValueError):
+        stream.read_records(spark, topic="t", bootstrap_servers="h:1", max_files_per_trigger=5)
 
 
 def test_default_checkpoint_under_shared_dir(spark):
