@@ -19,6 +19,7 @@ output files.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,22 +104,34 @@ def overwrite_day(df: DataFrame, table: str, day: str | dt.date | None,
         # append; an empty result still empties the day.
         df.writeTo(table).overwrite(F.lit(True) if day is None else F.col(partition_col) == F.lit(day))
         return
+    _switch(df, table, partition_col, {}, None if day is None else str(day))
+
+
+def _switch(df: DataFrame, table: str, partition_col: str, fixed: dict[str, str], day: str | None) -> None:
+    """Write ``df`` to a folder of its own and, once that job has committed,
+    point its days' partitions to it. ``fixed``: the other partition columns'
+    values; days that these hold already but ``df`` lacks are dropped (with
+    ``day``, only that day)."""
+    spark = df.sparkSession
     base = _detail(spark, table, "Location").rstrip("/")
     folder = f"{base}/{RUN_PREFIX}{uuid.uuid4().hex}"
+    df = df.drop(*fixed)
     df.write.format(provider(spark, table)).partitionBy(partition_col).save(folder)
-    # the job has committed; one value for each day written
+    # one value for each day written
     found = spark.read.format(provider(spark, table)).schema(df.schema).load(folder)
-    written = {r[0] for r in found.select(partition_col).distinct().collect()}
-    have = {p[0].split("=", 1)[1] for p in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for d in sorted(written, key=str):
-        spec = f"PARTITION ({partition_col} = DATE'{d}')"
+    written = {str(r[0]) for r in found.select(partition_col).distinct().collect()}
+    others = "".join(f", {c} = '{v}'" for c, v in fixed.items())
+    held = spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({others[2:]})" if fixed else "")).collect()
+    have = {part.split("=", 1)[1] for (spec,) in held for part in spec.split("/") if part.startswith(f"{partition_col}=")}
+    for d in sorted(written):
+        spec = f"PARTITION ({partition_col} = DATE'{d}'{others})"
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
         spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}/{partition_col}={d}'")
-    gone = have - {str(d) for d in written} if day is None else {str(day)} & have - {str(d) for d in written}
+    gone = have - written if day is None else {day} & (have - written)
     for d in sorted(gone):
         # switched to an empty folder first: dropping a managed partition
         # deletes its folder, and readers may still hold the old files
-        spec = f"PARTITION ({partition_col} = DATE'{d}')"
+        spec = f"PARTITION ({partition_col} = DATE'{d}'{others})"
         spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}/empty-{d}'")
         spark.sql(f"ALTER TABLE {table} DROP {spec}")
     spark.catalog.refreshTable(table)
@@ -133,8 +146,8 @@ def remove_unreferenced(spark: SparkSession, table: str) -> list[str]:
     base = _detail(spark, table, "Location").rstrip("/")
     used = set()
     for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        key, value = spec.split("=", 1)
-        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({key} = '{value}')").collect():
+        parts = ", ".join("{} = '{}'".format(*part.split("=", 1)) for part in spec.split("/"))
+        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({parts})").collect():
             if row[0] == "Location":
                 used.add(str(row[1]).rstrip("/").split("/")[-2])
     jvm = spark.sparkContext._jvm
@@ -155,13 +168,14 @@ def append(df: DataFrame, table: str, load_id: str | None = None) -> None:
     batch job write this way."""
     spark = df.sparkSession
     load = load_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load):
+        raise ValueError(f"a load id has letters, digits, '_', '.' and '-' only, not {load!r}")
     cols = spark.table(table).columns
     rows = df.drop(LOAD_ID).withColumn(LOAD_ID, F.lit(load)).select(*cols).hint("rebalance", "event_date")
     if provider(spark, table) not in FILE_PROVIDERS:
         rows.writeTo(table).overwrite(F.col(LOAD_ID) == F.lit(load))
         return
-    # staged by the dynamic mode: only (day, load) partitions of this load change
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    _switch(rows, table, "event_date", {LOAD_ID: load}, None)
 
 
 # Producer settings of the original publisher: wait for all replicas, snappy.

@@ -17,7 +17,7 @@ def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = entry.oracle_sql().get(name)
     assert sql is not None, "every registered query has an oracle"
