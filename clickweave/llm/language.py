@@ -42,7 +42,7 @@ GRAMS = 40_000       # of each order
 ORDERS = (5, 4, 3, 2, 1)
 LONGEST_WORD = 40    # longer runs of letters are not learned as words
 SMOOTHING = 0.5
-CACHE = 200_000      # unseen words whose scores a task remembers
+CACHE = 50_000       # unseen words whose scores a task remembers
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -95,7 +95,8 @@ def fit(docs: DataFrame) -> dict:
               labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
     langs = sorted(shares)
-    model: dict = {"langs": langs, "prior": np.zeros(0), "words": {}, "grams": {}}
+    nothing = ({}, np.zeros((0, len(langs)), np.float32))
+    model: dict = {"langs": langs, "prior": np.zeros(0), "words": nothing, "grams": dict.fromkeys(ORDERS, nothing)}
     if not langs:
         return model
     model["prior"] = np.log(np.array([shares[x] for x in langs]) / sum(shares.values()))
@@ -107,14 +108,19 @@ def fit(docs: DataFrame) -> dict:
     words = checkpointed(words)
     at = {x: i for i, x in enumerate(langs)}
 
-    def table(rows) -> dict[str, np.ndarray]:
-        counts: dict[str, np.ndarray] = {}
+    def table(rows) -> tuple[dict[str, int], np.ndarray]:
+        """Row numbers of the items, and their log frequencies by language."""
+        row: dict[str, int] = {}
+        seen: list[tuple[int, int, int]] = []
         total = np.ones(len(langs))
         for lang, item, n, all_n in rows:
-            counts.setdefault(item, np.zeros(len(langs), np.float32))[at[lang]] = n
+            seen.append((row.setdefault(item, len(row)), at[lang], n))
             total[at[lang]] = all_n
-        floor = total + SMOOTHING * max(1, len(counts))
-        return {k: np.log((v + SMOOTHING) / floor).astype(np.float32) for k, v in counts.items()}
+        counts = np.zeros((len(row), len(langs)), np.float32)
+        if seen:
+            where = np.array(seen, dtype=np.int64)
+            counts[where[:, 0], where[:, 1]] = where[:, 2]
+        return row, np.log((counts + SMOOTHING) / (total + SMOOTHING * max(1, len(row)))).astype(np.float32)
 
     def rows(df: DataFrame, *names: str) -> Iterator[tuple]:
         got = df.select(*names).toArrow()
@@ -137,19 +143,19 @@ class Scorer(dict):
 
     def __init__(self, model: dict):
         self.model, self.width = model, len(model["langs"])
-        super().__init__({w: i for i, w in enumerate(model["words"])})
-        self.known = len(self)
-        self.scores = np.zeros((self.known + 1024, self.width))
-        if self.known:
-            self.scores[:self.known] = np.stack(list(model["words"].values()))
+        known, scores = model["words"]
+        super().__init__(known)
+        self.known = len(known)
+        self.scores = np.concatenate([scores, np.zeros((1024, self.width), np.float32)])
         self.letters = np.ones(len(self.scores), dtype=bool)
         self.extra: list[str] = []
 
     def __missing__(self, word: str) -> int:
         at = self.known + len(self.extra)
         if at == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.letters = np.concatenate([self.letters, np.ones_like(self.letters)])
+            more = max(1024, len(self.extra))
+            self.scores = np.concatenate([self.scores, np.zeros((more, self.width), np.float32)])
+            self.letters = np.concatenate([self.letters, np.ones(more, dtype=bool)])
         self.extra.append(word)
         self[word] = at
         self.letters[at] = any(map(str.isalpha, word))
@@ -158,10 +164,10 @@ class Scorer(dict):
 
     def back_off(self, word: str) -> np.ndarray:
         for n in ORDERS:
-            table = self.model["grams"].get(n) or {}
-            found = [table[g] for g in grams_of(word, n) if g in table]
+            row, scores = self.model["grams"][n]
+            found = [row[g] for g in grams_of(word, n) if g in row]
             if found:
-                return np.mean(found, axis=0)
+                return scores[found].mean(axis=0)
         return np.zeros(self.width)
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -175,7 +181,7 @@ class Scorer(dict):
         rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if not len(rows) or not self.letters[rows].any():
             return UNKNOWN, 0.0
-        total = self.model["prior"] + self.scores[rows].sum(axis=0)
+        total = self.model["prior"] + self.scores[rows].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))
         return self.model["langs"][best], float(min(1.0, 1.0 / np.exp(total - total[best]).sum()))
 

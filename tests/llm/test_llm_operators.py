@@ -179,10 +179,10 @@ def test_language_awkward_rows(docs, empty):
 
 def test_language_backs_off_to_shorter_grams():
     log = lambda *p: np.log(np.array(p))
-    grams = {n: {} for n in language.ORDERS}
-    grams[3] = {"cde": log(0.9, 0.1)}
-    grams[1] = {"z": log(0.2, 0.8)}
-    s = language.Scorer({"langs": ["a", "b"], "prior": log(0.5, 0.5), "words": {"known": log(0.1, 0.9)}, "grams": grams})
+    grams = {n: ({}, np.zeros((0, 2))) for n in language.ORDERS}
+    grams[3] = ({"cde": 0}, log(0.9, 0.1)[None])
+    grams[1] = ({"z": 0}, log(0.2, 0.8)[None])
+    s = language.Scorer({"langs": ["a", "b"], "prior": log(0.5, 0.5), "words": ({"known": 0}, log(0.1, 0.9)[None]), "grams": grams})
     assert s.predict("known")[0] == "b" and s.predict("abcdef")[0] == "a" and s.predict("zz")[0] == "b"
     assert s.predict("qq") == ("a", 0.5)  # nothing known: the first of equals
 
@@ -417,9 +417,12 @@ def test_repeats_on_awkward_rows(docs, empty):
     assert repeats.report(empty).count() == 0
 
 
-def test_repeats_on_edited_copies(spark):
+@pytest.mark.parametrize("together", [2_000, 5])
+def test_repeats_on_edited_copies(spark, monkeypatch, together):
     """Many copies, each with its own edits: overlapping matches with several
-    documents, shifted passages and periodic text."""
+    documents, shifted passages and periodic text; also with anchors whose
+    regions are dealt to several parts."""
+    monkeypatch.setattr(repeats, "SHARD_REGIONS", together)
     r = np.random.default_rng(4)
     base = H.prose(11, 60)
     rows = []
