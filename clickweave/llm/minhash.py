@@ -36,7 +36,7 @@ PERMUTATIONS = 128
 BANDS = 32
 THRESHOLD = 0.8
 SEED = 20_240_101
-CHUNK = 1 << 20  # bytes that are hashed at once
+CHUNK = 1 << 18  # bytes that are hashed at once
 SLICES = 4       # id ranges per shuffle partition
 
 _BLANK = np.zeros(256, dtype=bool)
@@ -213,7 +213,7 @@ def compare_edited(docs: DataFrame, width: int = SHINGLE, count: int = PERMUTATI
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 waiting.append(row)
                 size += len(row[3])
-                if size > 4 * CHUNK:
+                if size > 16 * CHUNK:
                     yield pa.RecordBatch.from_pylist(
                         [dict(zip(out.names, r, strict=True)) for r in results(waiting, permutations)], schema=out)
                     waiting, size = waiting[-1:], 0

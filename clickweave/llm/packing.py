@@ -44,8 +44,8 @@ CAPACITY = 1024
 END = 2
 SALTS = 128
 VOCABULARY = "byte_bpe_50k.json"
-CHUNK = 1 << 20          # code points that are split at once
-REMEMBERED = 400_000     # pre-tokens a Python worker keeps
+CHUNK = 1 << 18          # code points that are split at once
+REMEMBERED = 200_000     # pre-tokens a Python worker keeps
 _OTHER, _LETTER, _NUMBER, _SPACE, _STRANGE = range(5)
 
 

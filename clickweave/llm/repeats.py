@@ -18,8 +18,9 @@ shuffle. Here the array is split by content instead:
 2. *Equal regions.* Per anchor, equal regions are one entry with all its
    occurrences; all but those of the smallest document are covered.
 3. *Common-prefix interval tree.* Anchors with two or more different regions
-   go on: their regions' bytes are brought together and sorted as an enhanced
-   suffix array (all suffixes that start a string, with their common-prefix
+   go on: their regions' bytes are brought together (those of an anchor with
+   very many regions in parts, by the hash of the strings) and sorted as an
+   enhanced suffix array (all suffixes that start a string, with their common-prefix
    lengths). A stack scan yields its intervals of depth ``LENGTH`` or more;
    those whose occurrences differ in the byte to the left are maximal repeats,
    and each is given out with all its occurrences. All that are not in the
@@ -56,7 +57,8 @@ GRAM = 20
 LONGEST = 64                 # strings in a region at most
 BUCKET_BYTES = 8 << 20       # text whose anchors meet in one task
 BUCKETS = 100_000
-PART_BYTES = 16 << 20        # text whose equal regions are settled before the shuffle
+SHARD_REGIONS = 2_000        # different regions of one anchor that are scanned together
+PART_BYTES = 8 << 20         # text whose equal regions are settled before the shuffle
 _U = np.uint64
 _ANCHOR_BASE = 0x9E3779B97F4A7C15
 _ANCHOR_MASK, _REGION_MASK = _U((1 << 40) - 1), _U((1 << 48) - 1)
@@ -241,16 +243,16 @@ def _merged(doc, copy, start, stop) -> tuple[np.ndarray, ...]:
     return doc[first], copy[first], start[first], reach[last]
 
 
-_SPANS = "anchor long, doc_id long, copy int, start long, stop long"
+_SPANS = "anchor long, parts int, doc_id long, copy int, start long, stop long"
 
 
-def _match_regions(pdf: pd.DataFrame) -> pd.DataFrame:
+def _match_regions(pdf: pd.DataFrame, together: int) -> pd.DataFrame:
     """Per bucket: spans covered by equal regions, and (with an anchor) the
     regions whose bytes are asked for, as they differ from others with the
     same anchor. Spans settled before are passed on."""
     bucket = int(pdf["bucket"].iloc[0])
     done = pdf[pdf["blob"].isna()]
-    out = [pd.DataFrame({"anchor": pd.array([None] * len(done), "Int64"), **{
+    out = [pd.DataFrame({"anchor": pd.array([None] * len(done), "Int64"), "parts": 1, **{
         c: done[c].astype("int64") for c in ("doc_id", "copy", "start", "stop")}})]
     parts = [_unpack(b) for b in pdf["blob"].dropna()]
     if parts:
@@ -259,50 +261,70 @@ def _match_regions(pdf: pd.DataFrame) -> pd.DataFrame:
         order, covered, new = _settle(doc, anchor, region)
         a = anchor[order]
         number = np.cumsum(np.concatenate(([True], a[1:] != a[:-1]))) - 1
-        different = np.bincount(number, weights=new)[number] > 1
+        regions_of = np.bincount(number, weights=new)[number]
+        different = regions_of > 1
         known, ask = order[covered], order[~covered & different]
         d, c, s, e = _merged(doc[known], copy[known], start[known], start[known] + strings[known] + LENGTH - 1)
-        out.append(pd.DataFrame({"anchor": pd.array([None] * len(d), "Int64"), "doc_id": d, "copy": c, "start": s, "stop": e}))
+        out.append(pd.DataFrame({"anchor": pd.array([None] * len(d), "Int64"), "parts": 1, "doc_id": d, "copy": c, "start": s, "stop": e}))
         full = anchor[ask] | (_U(bucket & 0x7FFFFF) << _U(40))
-        out.append(pd.DataFrame({"anchor": pd.array(full.astype(np.int64), "Int64"), "doc_id": doc[ask], "copy": copy[ask],
+        chunks = np.ceil(regions_of[~covered & different] / together).astype(np.int64)
+        out.append(pd.DataFrame({"anchor": pd.array(full.astype(np.int64), "Int64"), "parts": chunks, "doc_id": doc[ask], "copy": copy[ask],
                                  "start": start[ask], "stop": start[ask] + strings[ask] + LENGTH - 1}))
     return pd.concat(out)
 
 
+def _string_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hash of each data[at:at + length]."""
+    power, inverse = _power(len(data), _ANCHOR_BASE)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + _U(1)) * power[:len(data)], out=total[1:])
+    return _mix((total[at + length] - total[at]) * inverse[at])
+
+
 def _cut_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes asked for, from rows (doc_id, copy, text, items)."""
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("copy", pa.int32()), ("start", pa.int64()), ("bytes", pa.binary())])
+    """The bytes asked for, from rows (doc_id, copy, text, items). Regions of
+    an anchor with very many are dealt to several parts by the hash of their
+    strings: equal strings meet, and no part grows with the anchor."""
+    schema = pa.schema([("anchor", pa.int64()), ("parts", pa.int32()), ("part", pa.int32()), ("doc_id", pa.int64()), ("copy", pa.int32()),
+                        ("start", pa.int64()), ("bytes", pa.binary())])
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[] for _ in schema]
         for doc, copy, text, items in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "copy", "text", "items")], strict=True):
             data = text.encode()
             for x in items:
-                if x["anchor"] is not None and x["copy"] == copy:
-                    for column, value in zip(out, (x["anchor"], doc, copy, x["start"], data[x["start"]:x["stop"]]), strict=True):
+                if x["anchor"] is None or x["copy"] != copy:
+                    continue
+                region, parts = data[x["start"]:x["stop"]], x["parts"]
+                meets = [0]
+                if parts > 1:
+                    strings = _string_hashes(np.frombuffer(region, np.uint8), np.arange(len(region) - LENGTH + 1), LENGTH)
+                    meets = np.unique(strings % _U(parts)).tolist()
+                for part in meets:
+                    for column, value in zip(out, (x["anchor"], parts, part, doc, copy, x["start"], region), strict=True):
                         column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
 
 # -- the enhanced suffix array ------------------------------------------------
-def _shared(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
-    """Which strings of ``length`` bytes, by hash, two documents hold."""
-    power, inverse = _power(len(data), _ANCHOR_BASE)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + _U(1)) * power[:len(data)], out=total[1:])
-    h = (total[at + length] - total[at]) * inverse[at]
+def _shared(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which strings, by their hashes, two documents hold."""
+    if not len(h):
+        return np.empty(0, bool)
     order = np.argsort(h)
     first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
     d = doc[order]
     several = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first)
-    out = np.zeros(len(at), dtype=bool)
-    out[order] = np.repeat(several, np.diff(np.append(first, len(at))))
+    out = np.zeros(len(h), dtype=bool)
+    out[order] = np.repeat(several, np.diff(np.append(first, len(h))))
     return out
 
 
-def suffixes(parts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+def suffixes(parts: list[bytes], docs: np.ndarray, length: int = LENGTH, dealt: np.ndarray | None = None,
+             share: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Enhanced suffix array of the parts' suffixes of ``length`` bytes or more
     whose first ``length`` bytes two documents hold: (part, place in the part,
-    common prefix with the suffix before, left byte or -1)."""
+    common prefix with the suffix before, left byte or -1). Of a part that is
+    dealt out to several shares, only the suffixes of this share."""
     lengths = np.array([len(p) for p in parts])
     count = np.maximum(lengths - length + 1, 0)
     part = np.repeat(np.arange(len(parts)), count)
@@ -312,7 +334,11 @@ def suffixes(parts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> tupl
     words = -(-int(lengths.max()) // 8)
     data = np.frombuffer(b"".join(parts) + bytes(8 * words + 8), dtype=np.uint8)
     at = (np.cumsum(lengths) - lengths)[part] + place
-    keep = _shared(data, at, docs[part], length)
+    h = _string_hashes(data, at, length)
+    if dealt is not None and (dealt > 1).any():
+        own = h % dealt[part].astype(np.uint64) == share[part].astype(np.uint64)
+        part, place, at, h = part[own], place[own], at[own], h[own]
+    keep = _shared(h, docs[part])
     part, place, at = part[keep], place[keep], at[keep]
     rest = lengths[part] - place
     keys = []
@@ -358,7 +384,7 @@ def maximal_repeats(common: np.ndarray, left: np.ndarray, length: int = LENGTH)
 def _scan(pdf: pd.DataFrame) -> pd.DataFrame:
     """Spans covered by the maximal repeats of one shard's regions."""
     docs, copies, starts = (pdf[c].to_numpy() for c in ("doc_id", "copy", "start"))
-    part, place, common, left = suffixes(list(pdf["bytes"]), docs)
+    part, place, common, left = suffixes(list(pdf["bytes"]), docs, LENGTH, pdf["parts"].to_numpy(), pdf["part"].to_numpy())
     doc = docs[part]
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for depth, first, last in maximal_repeats(common, left):
@@ -393,12 +419,13 @@ def spans(docs: DataFrame) -> DataFrame:
     buckets = int(min(BUCKETS, max(8, size // BUCKET_BYTES)))
     base = _base(docs)
     found = base.mapInArrow(_find_anchors(buckets), "bucket int, blob binary, doc_id long, copy int, start long, stop long")
-    equal = found.groupBy("bucket").applyInPandas(_match_regions, _SPANS)
-    items = equal.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "anchor", "start", "stop")).alias("items"))
+    together = SHARD_REGIONS
+    equal = found.groupBy("bucket").applyInPandas(lambda pdf: _match_regions(pdf, together), _SPANS)
+    items = equal.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "anchor", "parts", "start", "stop")).alias("items"))
     asked = items.where(F.exists("items", lambda x: x["anchor"].isNotNull()))
     cut = (asked.join(base, "doc_id").select("doc_id", "copy", "text", "rest", "items")
-           .mapInArrow(_cut_bytes, "anchor long, doc_id long, copy int, start long, bytes binary"))
-    scanned = (cut.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+           .mapInArrow(_cut_bytes, "anchor long, parts int, part int, doc_id long, copy int, start long, bytes binary"))
+    scanned = (cut.withColumn("shard", F.pmod(F.xxhash64("anchor", "part"), F.lit(buckets)))
                .groupBy("shard").applyInPandas(_scan, "doc_id long, copy int, start long, stop long")
                .groupBy("doc_id").agg(F.collect_list(F.struct("copy", "start", "stop")).alias("scanned")))
     return base.join(items, "doc_id", "left").join(scanned, "doc_id", "left")
