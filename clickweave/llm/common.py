@@ -15,15 +15,23 @@ from clickweave.session import shared_dir
 # A word is a run of anything but space and the ASCII control blanks.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+# Texts go to Python in batches of about so many bytes: Spark's own limit counts
+# rows, and 10,000 long texts would fill a worker.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, as
-    ``spark-submit --py-files`` would; Python workers import it from there."""
+    """Make the session fit for Python workers over texts: batches limited by
+    bytes, and this package sent to the executors once per application, as
+    ``spark-submit --py-files`` would."""
     sc = spark.sparkContext
+    if sc.getConf().get(_BATCH_SETTING) is None:  # a configured limit stays
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     if getattr(sc, "_clickweave_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
