@@ -45,7 +45,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -209,13 +208,16 @@ def _find_anchors(buckets: int):
             yield _rows(schema, bucket=(d % buckets).astype(np.int32), doc_id=d, copy=c.astype(np.int32), start=a, stop=b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            sizes = np.cumsum(pa.compute.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
-            at = 0
-            while at < batch.num_rows:  # by bytes of text
-                stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + PART_BYTES, side="right")))
-                yield from settle(batch.slice(at, stop - at))
-                at = stop
+            waiting.append(batch)
+            size += batch.nbytes
+            if size >= PART_BYTES:
+                yield from settle(pa.concat_batches(waiting))
+                waiting, size = [], 0
+        if waiting:
+            yield from settle(pa.concat_batches(waiting))
 
     return run
 
