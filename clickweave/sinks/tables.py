@@ -117,23 +117,25 @@ def _switch(df: DataFrame, table: str, partition_col: str, fixed: dict[str, str]
     folder = f"{base}/{RUN_PREFIX}{uuid.uuid4().hex}"
     df = df.drop(*fixed)
     df.write.format(provider(spark, table)).partitionBy(partition_col).save(folder)
-    # one value for each day written
-    found = spark.read.format(provider(spark, table)).schema(df.schema).load(folder)
-    written = {str(r[0]) for r in found.select(partition_col).distinct().collect()}
+    written = {name.split("=", 1)[1] for name in _children(spark, folder) if name.startswith(f"{partition_col}=")}
     others = "".join(f", {c} = '{v}'" for c, v in fixed.items())
     held = spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({others[2:]})" if fixed else "")).collect()
     have = {part.split("=", 1)[1] for (spec,) in held for part in spec.split("/") if part.startswith(f"{partition_col}=")}
-    for d in sorted(written):
-        spec = f"PARTITION ({partition_col} = DATE'{d}'{others})"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
-        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}/{partition_col}={d}'")
+
+    def spec(d: str) -> str:
+        return f"PARTITION ({partition_col} = DATE'{d}'{others})"
+
+    if new := sorted(written - have):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS "
+                  + " ".join(f"{spec(d)} LOCATION '{folder}/{partition_col}={d}'" for d in new))
+    for d in sorted(written & have):
+        spark.sql(f"ALTER TABLE {table} {spec(d)} SET LOCATION '{folder}/{partition_col}={d}'")
     gone = have - written if day is None else {day} & (have - written)
     for d in sorted(gone):
         # switched to an empty folder first: dropping a managed partition
         # deletes its folder, and readers may still hold the old files
-        spec = f"PARTITION ({partition_col} = DATE'{d}'{others})"
-        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}/empty-{d}'")
-        spark.sql(f"ALTER TABLE {table} DROP {spec}")
+        spark.sql(f"ALTER TABLE {table} {spec(d)} SET LOCATION '{folder}/empty-{d}'")
+        spark.sql(f"ALTER TABLE {table} DROP {spec(d)}")
     spark.catalog.refreshTable(table)
 
 
@@ -150,18 +152,23 @@ def remove_unreferenced(spark: SparkSession, table: str) -> list[str]:
         for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({parts})").collect():
             if row[0] == "Location":
                 used.add(str(row[1]).rstrip("/").split("/")[-2])
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith(RUN_PREFIX) and name not in used:
-            fs.delete(status.getPath(), True)
-            out.append(name)
+    out = [name for name in _children(spark, base) if name.startswith(RUN_PREFIX) and name not in used]
+    for name in out:
+        path, fs = _path(spark, f"{base}/{name}")
+        fs.delete(path, True)
     return out
 
 
+def _path(spark: SparkSession, location: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, location: str) -> list[str]:
+    path, fs = _path(spark, location)
+    return [status.getPath().getName() for status in fs.listStatus(path)]
+
+
 def append(df: DataFrame, table: str, load_id: str | None = None) -> None:
     """Add ``df`` to a raw table as one load; a load with the same id replaces
     the one before, so a retry adds nothing twice. Both the stream and the
