@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -46,6 +47,27 @@ def ship(spark: SparkSession) -> None:
     sc._clickweave_shipped = True
 
 
+def release() -> None:
+    """Give freed memory back to the system. Python workers are kept for later
+    tasks, and what one of them holds on to is missing to the executor."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def releasing(run):
+    """``run`` (batches -> batches), followed by ``release``."""
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpointed, read_table, ship
+from clickweave.llm.common import checkpointed, read_table, release, ship
 
 DOCS_PER_LANGUAGE = 4_000
 LANGUAGES = 256      # the most frequent ones are learned
@@ -196,6 +196,8 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> Column:
         scorer = Scorer(shared.value)
         for texts in parts:
             yield pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang_pred", "score"])
+        del scorer
+        release()
 
     return run(F.col(text))
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpointed, prefix_sums, read_table, ship
+from clickweave.llm.common import checkpointed, prefix_sums, read_table, releasing, ship
 
 CAPACITY = 1024
 END = 2
@@ -266,7 +266,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), schema)
 
 
 def best_two_fit(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[list[int], int]]:

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import read_table, ship
+from clickweave.llm.common import read_table, release, releasing, ship
 from clickweave.llm.minhash import CHUNK, _mix, _power
 
 LENGTH = 50
@@ -57,7 +57,7 @@ LONGEST = 64                 # strings in a region at most
 BUCKET_BYTES = 8 << 20       # text whose anchors meet in one task
 BUCKETS = 100_000
 SHARD_REGIONS = 2_000        # different regions of one anchor that are scanned together
-PART_BYTES = 8 << 20         # text whose equal regions are settled before the shuffle
+PART_BYTES = 4 << 20         # text whose equal regions are settled before the shuffle
 _U = np.uint64
 _ANCHOR_BASE = 0x9E3779B97F4A7C15
 _ANCHOR_MASK, _REGION_MASK = _U((1 << 40) - 1), _U((1 << 48) - 1)
@@ -272,6 +272,7 @@ def _match_regions(pdf: pd.DataFrame, together: int) -> pd.DataFrame:
         chunks = np.ceil(regions_of[~covered & different] / together).astype(np.int64)
         out.append(pd.DataFrame({"anchor": pd.array(full.astype(np.int64), "Int64"), "parts": chunks, "doc_id": doc[ask], "copy": copy[ask],
                                  "start": start[ask], "stop": start[ask] + strings[ask] + LENGTH - 1}))
+    release()
     return pd.concat(out)
 
 
@@ -399,6 +400,7 @@ def _scan(pdf: pd.DataFrame) -> pd.DataFrame:
     rows, depth = (np.concatenate(x) for x in zip(*found, strict=True))
     begin = starts[part[rows]] + place[rows]
     d, c, s, e = _merged(doc[rows], copies[part[rows]].astype(np.int64), begin, begin + depth)
+    release()
     return pd.DataFrame({"doc_id": d, "copy": c.astype(np.int32), "start": s, "stop": e})
 
 
@@ -420,13 +422,13 @@ def spans(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(BUCKETS, max(8, size // BUCKET_BYTES)))
     base = _base(docs)
-    found = base.mapInArrow(_find_anchors(buckets), "bucket int, blob binary, doc_id long, copy int, start long, stop long")
+    found = base.mapInArrow(releasing(_find_anchors(buckets)), "bucket int, blob binary, doc_id long, copy int, start long, stop long")
     together = SHARD_REGIONS
     equal = found.groupBy("bucket").applyInPandas(lambda pdf: _match_regions(pdf, together), _SPANS)
     items = equal.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "anchor", "parts", "start", "stop")).alias("items"))
     asked = items.where(F.exists("items", lambda x: x["anchor"].isNotNull()))
     cut = (asked.join(base, "doc_id").select("doc_id", "copy", "text", "rest", "items")
-           .mapInArrow(_cut_bytes, "anchor long, parts int, part int, doc_id long, copy int, start long, bytes binary"))
+           .mapInArrow(releasing(_cut_bytes), "anchor long, parts int, part int, doc_id long, copy int, start long, bytes binary"))
     scanned = (cut.withColumn("shard", F.pmod(F.xxhash64("anchor", "part"), F.lit(buckets)))
                .groupBy("shard").applyInPandas(_scan, "doc_id long, copy int, start long, stop long")
                .groupBy("doc_id").agg(F.collect_list(F.struct("copy", "start", "stop")).alias("scanned")))
@@ -494,7 +496,7 @@ def report(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), zero.alias("n_removed"),
         zero.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"),
         F.array().cast("array<struct<start: long, stop: long>>").alias("removed"))
-    return spans(docs).mapInArrow(run, schema).unionByName(without_id)
+    return spans(docs).mapInArrow(releasing(run), schema).unionByName(without_id)
 
 
 def cut(docs: DataFrame) -> DataFrame:
@@ -519,7 +521,7 @@ def cut(docs: DataFrame) -> DataFrame:
     names = {c: F.col("rest").getField(c) for c in others}
     if "n_chars" in names:
         names["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    done = found.mapInArrow(run, f"doc_id long, text string, rest {rest}")
+    done = found.mapInArrow(releasing(run), f"doc_id long, text string, rest {rest}")
     return done.select(*[(names[c] if c in names else F.col(c).cast(docs.schema[c].dataType)).alias(c) for c in docs.columns]
                        ).unionByName(nulls)
 

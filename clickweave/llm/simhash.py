@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpointed, components, read_table, ship, text_key
+from clickweave.llm.common import checkpointed, components, read_table, release, releasing, ship, text_key
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(run, f"doc_id {kind}, key long, fp long")
+    return docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(releasing(run), f"doc_id {kind}, key long, fp long")
 
 
 class Tree:
@@ -194,7 +194,7 @@ def link(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                     [pa.array(leaf * BLOCKS + i, pa.int64()), pa.array(fp[rows]), pa.array(home)],
                     ["shard", "fp", "member"])
 
-    routed = nodes.repartition("fp").mapInArrow(route, "shard long, fp long, member boolean")
+    routed = nodes.repartition("fp").mapInArrow(releasing(route), "shard long, fp long, member boolean")
     routed = checkpointed(routed)
     # shards over the bound are cut into chunks that meet pairwise
     large = (routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_ROWS)
@@ -209,6 +209,7 @@ def link(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         fp = pdf["fp"].to_numpy()
         a, b = forest(fp.view(np.uint64), pdf["member"].to_numpy(), max_bits)
+        release()
         return pd.DataFrame({"a": fp[a], "b": fp[b]})
 
     return checkpointed(chunked.groupBy("shard", "c1", "c2").applyInPandas(compare, "a long, b long").distinct())
