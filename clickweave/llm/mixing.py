@@ -9,17 +9,21 @@ certain; for the rest documents are ranked by
 
     random odds / inclusion odds = (U / (1 - U)) / (p / (1 - p)),  p = e - floor(e),
 
-and the first of them are taken while they fit the source's remaining words (a
-sample of fixed size in words). The last place goes to the document, of those
-left, whose size fills the rest best, if that brings the total nearer. U comes from an MD5 of the document id
-and a seed, so reruns agree.
+and taken in that order (a sample of fixed size in words); a document longer
+than the words still free is passed over, and the order goes on behind it. The
+last place goes to the document, of those left, whose size fills the rest best,
+if that brings the total nearer. U comes from an MD5 of the document id and a
+seed, so reruns agree.
 
 Native: DataFrame functions only. The order of a source's documents is cut
 into ``ORDER_BUCKETS`` slices of the Pareto rank; word sums per slice are
 pre-aggregated and summed up over the slices, and the running sum inside a
 slice is a window over that slice alone, so a source with a third of all rows
-is spread over the slices and never meets in one task. The per-source rows
-meet the documents through a salted join.
+is spread over the slices and never meets in one task. The first pass takes all
+documents before the first that does not fit, which leaves less room than that
+one document has words; ``fill`` halves the room with every further pass, so
+their number grows with the logarithm of the longest document. The per-source
+rows meet the documents through a salted join.
 
 Defined results: null text has size 0, and takes 0 words; a null source is a
 source of its own, last in code-point order; rows equal in id, text and source
@@ -79,6 +83,45 @@ def uniform(doc_id, seed: str = SEED):
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def fill(left: DataFrame, room: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """Take ``left`` (source_no, _slice, _at, _words) in the order of _at, each
+    document if it fits what is left of the source's ``room`` (source_no,
+    _rest); returns (the rows taken, the room after them).
+
+    A pass with room R: documents of R/2 or less ("small") all fit until their
+    sum exceeds R/2; a longer one fits if its words and the small ones before
+    it do. The first document of either kind ends the pass (_stop): all before
+    it are settled, and at most R/2 is left for those behind it. Without such
+    a document all small ones are taken and the source is done."""
+    half = F.col("_rest") / 2
+    small = F.when(F.col("_words") <= half, F.col("_words")).otherwise(F.lit(0))
+    upto = Window.partitionBy("source_no", "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = None
+    while True:
+        rest = room.select("source_no", "_rest")
+        left = checkpointed(left.join(rest, "source_no").where(F.col("_words") <= F.col("_rest")))
+        if left.isEmpty():
+            return taken, room
+        slices = prefix_sums(left.groupBy("source_no", "_slice").agg(F.sum(small).alias("_small")),
+                             ["source_no"], "_slice", "_small", "_before")
+        near = (left.join(slices, ["source_no", "_slice"]).where(F.col("_before") <= half)
+                .withColumn("_upto", F.col("_before") + F.sum(small).over(upto)))
+        ends = F.when(F.col("_words") <= half, F.col("_upto") > half).otherwise(F.col("_upto") + F.col("_words") <= F.col("_rest"))
+        near = checkpointed(near.withColumn("_ends", ends))
+        stop = near.where("_ends").groupBy("source_no").agg(F.min(F.struct("_slice", "_at")).alias("_stop"))
+        at = F.struct("_slice", "_at")
+        stopped = near.join(stop, "source_no", "left")
+        new = checkpointed(
+            stopped.where((at == F.col("_stop")) | ((F.col("_words") <= half) & (F.col("_stop").isNull() | (at < F.col("_stop")))))
+            .select("source_no", "_slice", "_at", "_words"))
+        taken = new if taken is None else taken.unionByName(new)
+        used = new.groupBy("source_no").agg(F.sum("_words").alias("_used"))
+        room = checkpointed(room.join(used, "source_no", "left")
+                            .select("source_no", (F.col("_rest") - F.coalesce("_used", F.lit(0))).alias("_rest")))
+        # a source without a stop is done: all its rows left are longer than its room
+        left = left.drop("_rest").join(stop, "source_no").where(at > F.col("_stop")).drop("_stop")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
         doc_weight: str | None = None) -> DataFrame:
     """One row per distinct (doc_id, text, source): doc_id, _key, source, n_rows,
@@ -126,9 +169,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
         .withColumn("_room", F.col("target") - F.col("_certain"))
         .withColumn("_taken", (F.col("_whole") < cap) & (F.col("size") > 0) & (F.col("_upto") <= F.col("_room"))))
 
+    # behind the first document that does not fit: those that do
+    room = checkpointed(placed.groupBy("source_no").agg(
+        (F.max("_room") - F.coalesce(F.max(F.when(F.col("_taken"), F.col("_upto"))), F.lit(0))).alias("_rest")))
+    at = F.struct(F.coalesce("_rank", F.lit(float("inf"))).alias("rank"), F.col("doc_id").isNull().alias("no_id"),
+                  F.col("doc_id").alias("d"), F.col("_key").alias("k"))
+    left = (placed.where(~F.col("_taken") & (F.col("_whole") < cap) & (F.col("size") > 0))
+            .select("source_no", "_slice", at.alias("_at"), "_words"))
+    filled, rest = fill(left, room)
+    if filled is not None:
+        filled = filled.select("source_no", "_slice", F.col("_at.d").alias("_d"), F.col("_at.k").alias("_k"), F.lit(True).alias("_filled"))
+        same = ((placed["source_no"] == filled["source_no"]) & (placed["_slice"] == filled["_slice"])
+                & placed["doc_id"].eqNullSafe(filled["_d"]) & (placed["_key"] == filled["_k"]))
+        placed = checkpointed(
+            placed.join(filled, same, "left")
+            .select(*[placed[c] for c in placed.columns if c != "_taken"],
+                    (placed["_taken"] | F.col("_filled").isNotNull()).alias("_taken")))
+
     # the last document: of those left, the one whose words fill the rest best
-    rest = placed.groupBy("source_no").agg(
-        (F.max("_room") - F.coalesce(F.max(F.when(F.col("_taken"), F.col("_upto"))), F.lit(0))).alias("_rest"))
     rest = slices.select("source_no", "_slice").join(rest, "source_no")
     off = F.abs(F.col("_rest") - F.col("_words"))
     last = (placed.where(~F.col("_taken") & (F.col("_whole") < cap) & (F.col("size") > 0))

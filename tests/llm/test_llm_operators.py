@@ -403,6 +403,40 @@ def test_mix_meets_targets(docs, empty):
     assert mixing.mix(empty).count() == 0 and mixing.apply_mix(empty).count() == 0
 
 
+def greedy_mix(rows, target, seed=mixing.SEED):
+    """copies by doc_id of a source's distinct rows (doc_id, size)."""
+    e = target / sum(size for _, size in rows)
+    whole, p = int(e), e - int(e)
+    order = []
+    for i, size in rows:
+        u = (int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        order.append(((u / (1 - u)) / (p / (1 - p)), i, size))
+    rest, out = target - whole * sum(size for _, size in rows), dict.fromkeys([i for i, _ in rows], whole)
+    for _, i, size in sorted(order):
+        if 0 < size <= rest:
+            rest -= size
+            out[i] += 1
+    left = [(abs(rest - size), rank, i) for rank, i, size in order if size and out[i] == whole]
+    if left and min(left)[0] < rest:
+        out[min(left)[2]] += 1
+    return out
+
+
+def test_mix_passes_over_documents_that_do_not_fit(spark):
+    """One document of 5,000 words among many short ones, a target of 2,000:
+    the order goes on behind what does not fit."""
+    r = np.random.default_rng(7)
+    sizes = {f"a{s}": [5000, 0, 700, *r.integers(1, 20, 500)] for s in range(8)} | {"b": [1000] * 80}
+    rows = {s: [(1000 * k + i, int(x)) for i, x in enumerate(v)] for k, (s, v) in enumerate(sizes.items())}
+    df = spark.createDataFrame([(i, "w " * n, s) for s, v in rows.items() for i, n in v], "doc_id long, text string, source string")
+    mixed = mixing.mix(df, weights=(1,) * 8 + (72,)).collect()
+    for s, v in rows.items():
+        mine = [x for x in mixed if x.source == s]
+        target = mine[0].target
+        assert {x.doc_id: x.copies for x in mine} == greedy_mix(v, target)
+        assert s == "b" or abs(target - sum(x.size * x.copies for x in mine)) <= 0.005 * target
+
+
 def test_mix_prefers_documents_by_weight(spark):
     df = spark.createDataFrame([(i, "w " * 10, "ab"[i % 2], float(1 + 8 * (i % 4 < 2))) for i in range(4000)], "doc_id long, text string, source string, w double")
     got = {r.w: r.c for r in mixing.mix(df.drop("w").join(df.select("doc_id", "w"), "doc_id"), weights=(1, 3), doc_weight="w")
