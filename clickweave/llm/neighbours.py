@@ -16,16 +16,18 @@ CONFIDENCE. First every query searches the cell it lies in; that gives d, and
 only cells whose box fails the test are visited next.
 
 Equal vectors are one entry with its k + 1 smallest ids (no further id can be
-among k nearest, ties going to the smaller id), so a very common vector is
-neither a large group nor a large result. Cells hold ``CELL`` vectors or so,
+among k nearest, ties going to the smaller id, and one may be the query's own).
+A query searches k places and one for each vector of its own id. So a very common
+vector is neither a large group nor a large result. Cells hold ``CELL`` vectors or so,
 and the queries that visit a cell are cut into blocks, so that no group grows
 with the data.
 
 Defined results: vectors that are null, empty, zero, of another length than
 most, or that hold nulls or non-finite numbers take no part, as queries or
-candidates; a query with fewer candidates than k gets them all; rows that
-repeat an id are candidates once each and queries once; an empty table gives
-an empty result; other columns are ignored.
+candidates; a query with fewer candidates than k gets them all; rows equal in
+id and vector are one candidate and one query; an id with several vectors is a
+candidate and a query with each, and never among its own neighbours; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpointed, read_table, ship
+from clickweave.llm.common import checkpointed, global_index, read_table, ship
 
 K = 20
 PROJECTED = 8        # even, so that the chi-square distribution has a short form
@@ -129,9 +131,9 @@ def _box_distance(low: np.ndarray, high: np.ndarray, point: np.ndarray) -> np.nd
 
 
 def search(vectors: np.ndarray, projected: np.ndarray, queries: np.ndarray, query_points: np.ndarray, worst: np.ndarray,
-           k: int, top: float, bound: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, rows, scores) of the up to k best rows for each query; ``worst``
-    is a score below which a row is of no use, ``top`` the squared largest
+           places: np.ndarray, top: float, bound: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, rows, scores) of the best rows for each query, ``places`` at
+    most; ``worst`` is a score below which a row is of no use, ``top`` the squared largest
     norm, ``bound`` the chi-square value at which the search ends."""
     leaves = split(projected, LEAF)
     low = np.stack([projected[x].min(axis=0) for x in leaves])
@@ -139,6 +141,7 @@ def search(vectors: np.ndarray, projected: np.ndarray, queries: np.ndarray, quer
     for q in range(len(queries)):
         distance = _box_distance(low, high, query_points[q])
         base = top + float(queries[q] @ queries[q])
+        k = int(places[q])
         rows, scores, least = np.empty(0, np.int64), np.empty(0), float(worst[q])
         order = np.argsort(distance)
         at = 0
@@ -176,13 +179,17 @@ def nearest(rows: DataFrame, is_query, k: int = K, confidence: float = CONFIDENC
     which ``is_query`` (a condition on vec_id) holds."""
     spark = rows.sparkSession
     ship(spark)
-    valid = checkpointed(usable(rows, vector))
+    valid = checkpointed(usable(rows, vector).dropDuplicates(["vec_id", "v"]))
     first = Window.partitionBy("v").orderBy("vec_id")
     ids = (valid.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
            .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    distinct = checkpointed(ids.withColumn("vid", F.element_at("ids", 1)).select("vid", "ids", "v"))
-    asked = checkpointed(valid.where(is_query).select("vec_id", "v").distinct()
-                         .join(distinct.select("v", "vid"), "v").select(F.col("vec_id").alias("query_id"), "vid"))
+    # numbered in the order of the smallest ids, which can repeat
+    numbered, _ = global_index(ids.withColumn("low", F.element_at("ids", 1)), ["low", "v"], "vid")
+    distinct = checkpointed(numbered.select("vid", "ids", "v"))
+    asked = valid.where(is_query)
+    own = asked.groupBy("vec_id").agg((F.count(F.lit(1)) + k).cast("int").alias("places"))
+    asked = checkpointed(asked.join(own, "vec_id").join(distinct.select("v", "vid"), "v")
+                         .select(F.col("vec_id").alias("query_id"), "vid", "places"))
     facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("top"),
                          F.max(F.size("v")).alias("d")).first()
     total, top, width = facts["n"], facts["top"] or 0.0, facts["d"] or 1
@@ -218,7 +225,8 @@ def nearest(rows: DataFrame, is_query, k: int = K, confidence: float = CONFIDENC
             if len(pdf):
                 p = project(np.stack(pdf["v"].to_list()), False)
                 at = [int(numbers[np.argmin(_box_distance(low, high, x))]) for x in p]
-                yield pd.DataFrame({"vid": pdf["vid"], "v": pdf["v"], "cell": np.array(at, np.int32), "worst": -math.inf})
+                yield pd.DataFrame({"vid": pdf["vid"], "v": pdf["v"], "cell": np.array(at, np.int32), "worst": -math.inf,
+                                    "places": pdf["places"]})
 
     def further_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -230,7 +238,8 @@ def nearest(rows: DataFrame, is_query, k: int = K, confidence: float = CONFIDENC
                 limit = bound * max(top + float(v[i] @ v[i]) - 2 * worst, 0.0) if worst > -math.inf else math.inf
                 visit = numbers[(_box_distance(low, high, p[i]) < limit) & (numbers != home)]
                 if len(visit):
-                    yield pd.DataFrame({"vid": pdf["vid"].iloc[i], "v": [pdf["v"].iloc[i]] * len(visit), "cell": visit, "worst": worst})
+                    yield pd.DataFrame({"vid": pdf["vid"].iloc[i], "v": [pdf["v"].iloc[i]] * len(visit), "cell": visit, "worst": worst,
+                                        "places": pdf["places"].iloc[i]})
 
     def verify(key, candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
@@ -239,7 +248,7 @@ def nearest(rows: DataFrame, is_query, k: int = K, confidence: float = CONFIDENC
             q = np.stack(queries["v"].to_list())
             asking = queries["vid"].to_numpy()
             for i, rows_, scores in search(vectors, np.stack(candidates["p"].to_list()), q, project(q, False),
-                                           queries["worst"].to_numpy(), k + 1, top, bound):
+                                           queries["worst"].to_numpy(), queries["places"].to_numpy(), top, bound):
                 out.append(pd.DataFrame({"qid": asking[i], "vid": vids[rows_], "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"qid": np.empty(0, np.int64), "vid": np.empty(0, np.int64), "score": np.empty(0)})
 
@@ -251,25 +260,28 @@ def nearest(rows: DataFrame, is_query, k: int = K, confidence: float = CONFIDENC
         queries = (queries.join(F.broadcast(blocks), "cell")
                    .withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int")))
         return checkpointed(held.select("cell", "block", "vid", "v", "p").groupBy("cell", "block")
-                            .cogroup(queries.select("cell", "block", "vid", "v", "worst").groupBy("cell", "block"))
+                            .cogroup(queries.select("cell", "block", "vid", "v", "worst", "places").groupBy("cell", "block"))
                             .applyInPandas(verify, "qid long, vid long, score double"))
 
-    schema = "vid long, v array<double>, cell int, worst double"
-    wanted = distinct.join(asked.select("vid").distinct(), "vid").select("vid", "v")
+    schema = "vid long, v array<double>, cell int, worst double, places int"
+    places = checkpointed(asked.groupBy("vid").agg(F.max("places").alias("places")))
+    wanted = distinct.join(places, "vid").select("vid", "v", "places")
     home = checkpointed(wanted.mapInPandas(nearest_cell, schema))
     near = visit(home)
-    worst = near.groupBy(F.col("qid").alias("vid")).agg(
-        F.when(F.count(F.lit(1)) > k, F.min("score")).otherwise(float("-inf")).alias("worst"))
-    again = checkpointed(home.drop("worst").join(worst, "vid").select("vid", "v", "cell", "worst")
+    worst = near.groupBy(F.col("qid").alias("vid")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+    worst = worst.join(places.select("vid", F.col("places").alias("p")), "vid").select(
+        "vid", F.when(F.col("n") >= F.col("p"), F.col("least")).otherwise(float("-inf")).alias("worst"))
+    again = checkpointed(home.drop("worst").join(worst, "vid").select("vid", "v", "cell", "worst", "places")
                          .mapInPandas(further_cells, schema))
     every = near.unionByName(visit(again))
 
     best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vid")
-    lists = (every.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+    limits = places.select(F.col("vid").alias("qid"), "places")
+    lists = (every.withColumn("r", F.row_number().over(best)).join(limits, "qid").where(F.col("r") <= F.col("places"))
              .join(distinct.select("vid", "ids"), "vid")
              .withColumn("vec_id", F.explode("ids")))
     ranked = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id")
-    lists = (lists.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1)
+    lists = (lists.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= F.col("places"))
              .groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("found"))
              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     answered = (asked.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))

@@ -363,6 +363,23 @@ def test_neighbours_of_few_rows(spark):
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_rows_and_ids(spark):
+    r = np.random.default_rng(12)
+    data = {i: r.integers(-9, 10, 6).astype(float).tolist() for i in range(200)}
+    rows = list(data.items()) + [(0, data[0])] * 24 + [(7, data[7])] * 3
+    several = [(20, r.integers(-9, 10, 6).astype(float).tolist()) for _ in range(25)]  # one id, 26 vectors
+    df = spark.createDataFrame(rows + several, "vec_id long, embedding array<float>")
+    found = {}
+    for q, rank, i, s in rows_of(neighbours.nearest(df, F.col("vec_id").isin(0, 7, 40)), "query_id", "rank", "vec_id", "score"):
+        found.setdefault(q, []).append((rank, i, s))
+    entries = {(i, tuple(v)) for i, v in rows + several}
+    for q in (0, 7, 40):
+        score = sorted((-sum(a * b for a, b in zip(v, data[q], strict=True)), i) for i, v in entries if i != q)[:20]
+        assert [(i, -s) for s, i in score] == [(i, s) for _, i, s in sorted(found[q])]
+    own = rows_of(neighbours.nearest(df, F.col("vec_id") == 20), "query_id", "rank", "vec_id")
+    assert len(own) == 26 * 20 and all(i != 20 for _, _, i in own)
+
+
 def test_chi_square():
     assert abs(float(neighbours.chi_square(15.507, 8)) - 0.95) < 1e-4
     assert abs(neighbours.chi_square_bound(0.99) - 20.090) < 1e-2
