@@ -86,7 +86,8 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     held = F.aggregate("hits", F.lit(0.0), lambda a, t: a + weight[t] * weight[t])
     units = (units.where(F.size("hits") > 0).withColumn("held", held)
              .withColumn("square", F.col("held") + (F.size("all") - F.size("hits")) * (unseen * unseen))
-             .where(F.col("held") >= threshold * threshold * F.col("square")))
+             .where(F.col("held") >= threshold * threshold * F.col("square"))
+             .dropDuplicates(["key", "at"]))  # equal rows share a key: scored once
     weights = spark.createDataFrame(list(zip(vocabulary, idf, strict=True)) or [("", 0.0)], "term string, w double")
     weighted = vectors.join(F.broadcast(weights), "term")  # the templates: fixed and small
     lengths = weighted.groupBy("licence").agg(F.sum(F.col("w") * F.col("w")).alias("template_square"))

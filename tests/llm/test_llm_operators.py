@@ -207,6 +207,16 @@ def test_licences_are_scored_and_inherited(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def test_licences_of_repeated_rows_score_as_one(spark):
+    files = [(1, "a/LICENSE", "MIT License"), (1, "a/LICENSE", "MIT License"), (2, "a/x.c", "int x;")] + [
+        (3, "b/LICENSE", "Released under the MIT License.")] * 3
+    files += [(i, f"c/{i}.c", H.prose(i, 20)) for i in range(10, 40)]
+    rows = licences.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()
+    got = {r.doc_id: (r.licence, r.own_score) for r in rows}
+    assert len(rows) == len(files)
+    assert got[1] == got[2] == (None, None) and got[3] == ("MIT", 1.0)
+
+
 # -- 5 ------------------------------------------------------------------------
 def test_url_filter_is_as_of_the_fetch(spark):
     entries = spark.createDataFrame([
