@@ -17,7 +17,8 @@ Tokenising: texts are cut into pre-tokens for a whole batch at once in numpy
 (the vocabulary's published split pattern, as rules on character classes), and
 each distinct pre-token is given to the tokenizer once and remembered, up to a
 bound. Texts with characters outside ``_plain`` (where Unicode tables of
-different versions could disagree) go to the tokenizer whole.
+different versions could disagree), or that hold the content of one of the
+vocabulary's added tokens, go to the tokenizer whole.
 
 Defined results: null text is an empty one (a piece of one id, END); repeated
 rows are packed once each; an empty table gives an empty result; other columns
@@ -75,7 +76,7 @@ class Splitter:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.classes = _classes()
         odd = np.uint64(0x9E3779B97F4A7C15)
         inverse = np.uint64(pow(int(odd), -1, 1 << 64))
@@ -93,7 +94,7 @@ class Splitter:
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        special = set(self.added)
         ranks = {bytes(byte[c] for c in word): i for word, i in self.tokenizer.get_vocab().items() if word not in special}
         fast = tiktoken.Encoding("pretokens", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         trial = ["thattionble", " retitioning", "%%%", " êeaux", "\n\n", "'ll", " 2024", "naïveté", "----", " Überraschung", "  "]
@@ -202,7 +203,7 @@ class Splitter:
         yield from map(self._checked, waiting, self._chunk(waiting))
 
     def _checked(self, text: str, ids: np.ndarray | None) -> np.ndarray:
-        if ids is None:
+        if ids is None or any(content in text for content in self.added):
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return ids
 

@@ -285,6 +285,16 @@ def test_splitter_equals_the_tokenizer():
         assert ids.tolist() == s.tokenizer.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_splitter_keeps_added_tokens():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.vocabulary_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "a <|endoftext| > b", "no token", "<|endoftext|>" + "word " * 100_000]
+    got = [ids.tolist() for ids in packing.splitter(packing.vocabulary_path()).encode(texts)]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert got[0] == [64, 220, 50256, 275]
+
+
 def test_best_two_fit_uses_all_and_wastes_little():
     r = np.random.default_rng(2)
     counts = np.zeros(1025, dtype=np.int64)
