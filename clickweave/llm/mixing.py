@@ -3,32 +3,39 @@
 Every source has a target number of words: the total is shared by weight,
 no target exceeds ``cap`` times its source's words, and what is cut off is
 shared again by weight (water filling, in closed form over one row per
-source). A document's expected number of copies is e = target / source words,
-times its share of an optional weight column. The whole part of e is taken for
-certain; for the rest documents are ranked by
-
-    random odds / inclusion odds = (U / (1 - U)) / (p / (1 - p)),  p = e - floor(e),
-
-and taken in that order (a sample of fixed size in words); a document longer
-than the words still free is passed over, and the order goes on behind it. The
-last place goes to the document, of those left, whose size fills the rest best,
-if that brings the total nearer. U comes from an MD5 of the document id and a
-seed, so reruns agree.
-
-Native: DataFrame functions only. The order of a source's documents is cut
-into ``ORDER_BUCKETS`` slices of the Pareto rank; word sums per slice are
-pre-aggregated and summed up over the slices, and the running sum inside a
-slice is a window over that slice alone, so a source with a third of all rows
-is spread over the slices and never meets in one task. The first pass takes all
-documents before the first that does not fit, which leaves less room than that
-one document has words; ``fill`` halves the room with every further pass, so
-their number grows with the logarithm of the longest document. The per-source
-rows meet the documents through a salted join.
-
-Defined results: null text has size 0, and takes 0 words; a null source is a
-source of its own, last in code-point order; rows equal in id, text and source
-share one decision (as one unit with all their words); an empty table gives an
-empty result. Other columns are ignored by ``mix`` and kept by ``apply_mix``.
+source). A row's expected number of copies is e = target / source words, times
+its share of an optional weight column. Rows equal in id, text and source form
+a unit of n rows, whose expected copies are n times e. The whole part of that
+is taken for certain; for the rest p = E - floor(E) the units are ranked by
+
+    random odds / inclusion odds = (U / (1 - U)) / (p / (1 - p)),
+
+and each that is drawn gives one more copy (a sample of fixed size in words).
+U comes from an MD5 of the document id and a seed, so reruns agree. The draw
+ends with three steps:
+
+1. in the order of the rank, all units before the first that does not fit;
+2. of those left that would fit the room, by size class (powers of two, largest
+   class first), in the order of the rank all before the first of the class
+   that does not fit the room still free;
+3. of all that are left the one whose size fills the rest best, if that brings
+   the total nearer to the target.
+
+Native: DataFrame functions only, in one pass of jobs without a loop. The order
+of a source's units is cut into ``ORDER_BUCKETS`` slices of the Pareto rank;
+word sums per slice are pre-aggregated and summed up over the slices, and the
+running sum inside a slice is a window over that slice alone, so a source with
+a third of all rows is spread over the slices and never meets in one task.
+Rows about a source reach its units through a salted join or by slice. Step 2
+sees, of each class, units of at most the room in words; the room is less than
+the unit that did not fit in step 1 has, so the array over which it goes holds
+at most two numbers per word of the longest document, for each source.
+
+Defined results: null text has size 0, and takes 0 words; very long texts are
+counted whole; a null source is a source of its own, last in code-point order;
+the copies of a unit are dealt evenly to its rows; a tie in the rank goes to
+the smaller id; an empty table gives an empty result. Other columns, whatever
+their names, are ignored by ``mix`` and kept by ``apply_mix``.
 """
 
 from __future__ import annotations
@@ -83,60 +90,28 @@ def uniform(doc_id, seed: str = SEED):
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def fill(left: DataFrame, room: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """Take ``left`` (source_no, _slice, _at, _words) in the order of _at, each
-    document if it fits what is left of the source's ``room`` (source_no,
-    _rest); returns (the rows taken, the room after them).
-
-    A pass with room R: documents of R/2 or less ("small") all fit until their
-    sum exceeds R/2; a longer one fits if its words and the small ones before
-    it do. The first document of either kind ends the pass (_stop): all before
-    it are settled, and at most R/2 is left for those behind it. Without such
-    a document all small ones are taken and the source is done."""
-    half = F.col("_rest") / 2
-    small = F.when(F.col("_words") <= half, F.col("_words")).otherwise(F.lit(0))
-    upto = Window.partitionBy("source_no", "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    taken = None
-    while True:
-        rest = room.select("source_no", "_rest")
-        left = checkpointed(left.join(rest, "source_no").where(F.col("_words") <= F.col("_rest")))
-        if left.isEmpty():
-            return taken, room
-        slices = prefix_sums(left.groupBy("source_no", "_slice").agg(F.sum(small).alias("_small")),
-                             ["source_no"], "_slice", "_small", "_before")
-        near = (left.join(slices, ["source_no", "_slice"]).where(F.col("_before") <= half)
-                .withColumn("_upto", F.col("_before") + F.sum(small).over(upto)))
-        ends = F.when(F.col("_words") <= half, F.col("_upto") > half).otherwise(F.col("_upto") + F.col("_words") <= F.col("_rest"))
-        near = checkpointed(near.withColumn("_ends", ends))
-        stop = near.where("_ends").groupBy("source_no").agg(F.min(F.struct("_slice", "_at")).alias("_stop"))
-        at = F.struct("_slice", "_at")
-        stopped = near.join(stop, "source_no", "left")
-        new = checkpointed(
-            stopped.where((at == F.col("_stop")) | ((F.col("_words") <= half) & (F.col("_stop").isNull() | (at < F.col("_stop")))))
-            .select("source_no", "_slice", "_at", "_words"))
-        taken = new if taken is None else taken.unionByName(new)
-        used = new.groupBy("source_no").agg(F.sum("_words").alias("_used"))
-        room = checkpointed(room.join(used, "source_no", "left")
-                            .select("source_no", (F.col("_rest") - F.coalesce("_used", F.lit(0))).alias("_rest")))
-        # a source without a stop is done: all its rows left are longer than its room
-        left = left.drop("_rest").join(stop, "source_no").where(at > F.col("_stop")).drop("_stop")
+def _spread(rows: DataFrame, slices: DataFrame, per_source: DataFrame) -> DataFrame:
+    """Join rows about a source to its units: through one row per slice, so
+    that the key is (source, slice) and a large source stays spread."""
+    return rows.join(slices.select("source_no", "_slice").join(per_source, "source_no"), ["source_no", "_slice"])
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
         doc_weight: str | None = None) -> DataFrame:
     """One row per distinct (doc_id, text, source): doc_id, _key, source, n_rows,
-    size, source_size, target, copies (how often each of its rows is taken).
-    ``doc_weight`` names a positive column that scales a document's expected
-    copies within its source (null or non-positive counts as 1)."""
+    size (of one row), source_size, target, copies (how often its rows are taken
+    in all, ``cap`` times n_rows at most). ``doc_weight`` names a positive column
+    that scales a document's expected copies within its source (null or
+    non-positive counts as 1)."""
     w = F.lit(1.0) if doc_weight is None else F.when(F.col(doc_weight) > 0, F.col(doc_weight).cast("double")).otherwise(1.0)
     units = checkpointed(
         docs.select("doc_id", text_key().alias("_key"), "source", word_count(F.col("text")).alias("size"), w.alias("_w"))
         .groupBy("doc_id", "_key", "source").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.max("size").alias("size"), F.max("_w").alias("_w"))
-        .withColumn("_words", F.col("size") * F.col("n_rows")))
-    per_source = targets(
-        units.groupBy("source").agg(F.sum("_words").alias("source_size"),
-                                    F.sum(F.col("_words") * F.col("_w")).alias("_weighted")), weights, cap)
+            F.count(F.lit(1)).alias("n_rows"), F.max("size").alias("size"), F.max("_w").alias("_w")))
+    all_words = F.col("size") * F.col("n_rows")
+    per_source = checkpointed(targets(
+        units.groupBy("source").agg(F.sum(all_words).alias("source_size"),
+                                    F.sum(all_words * F.col("_w")).alias("_weighted")), weights, cap))
 
     # salted: a source with a third of all rows is spread over SALTS keys
     spread = per_source.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -145,54 +120,78 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
                       F.least(F.lit(float(cap)), F.col("target") * F.col("_w") / F.col("_weighted"))).otherwise(0.0)
     rows = (u.join(spread.alias("t"), F.col("u._salt").eqNullSafe(F.col("t._salt"))
                    & F.col("u.source").eqNullSafe(F.col("t.source")))
-            .select("u.doc_id", "u._key", "u.source", "u.n_rows", "u.size", "u._words",
-                    "t.source_no", "t.source_size", "t.target", expected.alias("_e"),
-                    uniform(F.col("u.doc_id"), seed).alias("_u")))
+            .select("u.doc_id", "u._key", "u.source", "u.n_rows", "u.size", "t.source_no", "t.source_size", "t.target",
+                    (expected * F.col("u.n_rows")).alias("_e"), uniform(F.col("u.doc_id"), seed).alias("_u")))
     p = F.col("_e") - F.floor("_e")
     rows = (rows.withColumn("_whole", F.floor("_e").cast("long"))
-            .withColumn("_rank", F.when(p > 0, (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))))
-            # documents with no fractional part come last in the order
-            .withColumn("_slice", F.when(F.col("_rank").isNull(), F.lit(ORDER_BUCKETS)).otherwise(
-                F.floor(F.col("_rank") / (1 + F.col("_rank")) * ORDER_BUCKETS)).cast("long")))
-    slices = (rows.groupBy("source_no", "_slice")
-              .agg(F.sum(F.when(F.col("_whole") < cap, F.col("_words")).otherwise(0)).alias("_open"),
-                   F.sum(F.col("_words") * F.col("_whole")).alias("_certain")))
-    slices = prefix_sums(slices, ["source_no"], "_slice", "_open", "_before")
-    slices = slices.withColumn("_certain", F.sum("_certain").over(Window.partitionBy("source_no")))
-    order = (Window.partitionBy("source_no", "_slice")
-             .orderBy(F.col("_rank").asc_nulls_last(), F.col("doc_id").asc_nulls_last(), "_key")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    open_words = F.when(F.col("_whole") < cap, F.col("_words")).otherwise(F.lit(0))
+            .withColumn("_open", (F.col("_whole") < F.col("n_rows") * cap) & (F.col("size") > 0))
+            # units with no fractional part come last in the order
+            .withColumn("_rank", F.when(p > 0, (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))).otherwise(float("inf")))
+            .withColumn("_slice", F.when(p > 0, F.floor(F.col("_rank") / (1 + F.col("_rank")) * ORDER_BUCKETS))
+                        .otherwise(ORDER_BUCKETS).cast("long")))
+    order = [F.col("_rank"), F.col("doc_id").asc_nulls_last(), F.col("_key")]
+    running = lambda *keys: (Window.partitionBy("source_no", "_slice", *keys).orderBy(*order)
+                             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    # step 1: all before the first that does not fit
+    open_words = F.when(F.col("_open"), F.col("size")).otherwise(F.lit(0))
+    slices = rows.groupBy("source_no", "_slice").agg(
+        F.sum(open_words).alias("_words"), F.sum(F.col("size") * F.col("_whole")).alias("_certain"))
+    slices = checkpointed(prefix_sums(slices, ["source_no"], "_slice", "_words", "_before")
+                          .withColumn("_certain", F.sum("_certain").over(Window.partitionBy("source_no"))))
     placed = checkpointed(
-        rows.join(slices, ["source_no", "_slice"])
-        .withColumn("_upto", F.col("_before") + F.coalesce(F.sum(open_words).over(order), F.lit(0)) + open_words)
+        rows.join(slices.drop("_words"), ["source_no", "_slice"])
+        .withColumn("_upto", F.col("_before") + F.sum(open_words).over(running()))
         .withColumn("_room", F.col("target") - F.col("_certain"))
-        .withColumn("_taken", (F.col("_whole") < cap) & (F.col("size") > 0) & (F.col("_upto") <= F.col("_room"))))
-
-    # behind the first document that does not fit: those that do
-    room = checkpointed(placed.groupBy("source_no").agg(
-        (F.max("_room") - F.coalesce(F.max(F.when(F.col("_taken"), F.col("_upto"))), F.lit(0))).alias("_rest")))
-    at = F.struct(F.coalesce("_rank", F.lit(float("inf"))).alias("rank"), F.col("doc_id").isNull().alias("no_id"),
-                  F.col("doc_id").alias("d"), F.col("_key").alias("k"))
-    left = (placed.where(~F.col("_taken") & (F.col("_whole") < cap) & (F.col("size") > 0))
-            .select("source_no", "_slice", at.alias("_at"), "_words"))
-    filled, rest = fill(left, room)
-    if filled is not None:
-        filled = filled.select("source_no", "_slice", F.col("_at.d").alias("_d"), F.col("_at.k").alias("_k"), F.lit(True).alias("_filled"))
-        same = ((placed["source_no"] == filled["source_no"]) & (placed["_slice"] == filled["_slice"])
-                & placed["doc_id"].eqNullSafe(filled["_d"]) & (placed["_key"] == filled["_k"]))
-        placed = checkpointed(
-            placed.join(filled, same, "left")
-            .select(*[placed[c] for c in placed.columns if c != "_taken"],
-                    (placed["_taken"] | F.col("_filled").isNotNull()).alias("_taken")))
-
-    # the last document: of those left, the one whose words fill the rest best
-    rest = slices.select("source_no", "_slice").join(rest, "source_no")
-    off = F.abs(F.col("_rest") - F.col("_words"))
-    last = (placed.where(~F.col("_taken") & (F.col("_whole") < cap) & (F.col("size") > 0))
-            .join(rest, ["source_no", "_slice"]).where(off < F.col("_rest"))
+        .withColumn("_taken", F.col("_open") & (F.col("_upto") <= F.col("_room")))
+        .drop("_e", "_u", "_before", "_certain"))
+    room = placed.groupBy("source_no").agg(
+        (F.max("_room") - F.coalesce(F.max(F.when(F.col("_taken"), F.col("_upto"))), F.lit(0))).alias("_rest"))
+
+    # step 2: by size class, each as far as it fits
+    left = (_spread(placed.where(F.col("_open") & ~F.col("_taken")), slices, room)
+            .where(F.col("size") <= F.col("_rest"))
+            .select("source_no", "_slice", "doc_id", "_key", "_rank", "size", "_rest",
+                    (F.length(F.bin("size")) - 1).alias("_class")))
+    classes = checkpointed(prefix_sums(
+        left.groupBy("source_no", "_class", "_slice").agg(F.sum("size").alias("_words"), F.max("_rest").alias("_rest")),
+        ["source_no", "_class"], "_slice", "_words", "_before").where(F.col("_before") < F.col("_rest")))
+    near = checkpointed(
+        left.join(classes.drop("_rest", "_words"), ["source_no", "_class", "_slice"])
+        .withColumn("_sum", F.col("_before") + F.sum("size").over(running("_class")))
+        .where(F.col("_sum") <= F.col("_rest"))
+        .select("source_no", "_class", "_slice", "doc_id", "_key", "_sum"))
+    steps = (near.groupBy("source_no", "_class").agg(F.collect_list("_sum").alias("sums"))
+             .groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct(F.col("_class").alias("k"), "sums")), False).alias("steps")))
+    best = lambda acc, x: F.coalesce(F.array_max(F.filter(x["sums"], lambda s: s <= acc["rest"])), F.lit(0).cast("long"))
+    cut = lambda k, upto: F.struct(k.alias("_class"), upto.alias("_cut"))
+    none = F.filter(F.array(cut(F.lit(0), F.lit(0).cast("long"))), lambda _: F.lit(False))
+    ends = checkpointed(
+        room.join(steps, "source_no", "left")
+        .select("source_no", F.aggregate(
+            F.coalesce("steps", F.filter(F.array(F.struct(F.lit(0).alias("k"), F.array(F.lit(0).cast("long")).alias("sums"))),
+                                         lambda _: F.lit(False))),
+            F.struct(F.col("_rest").alias("rest"), none.alias("cuts")),
+            lambda acc, x: F.struct((acc["rest"] - best(acc, x)).alias("rest"),
+                                    F.concat(acc["cuts"], F.array(cut(x["k"], best(acc, x)))).alias("cuts"))).alias("_end"))
+        .select("source_no", F.col("_end.rest").alias("_rest"), F.col("_end.cuts").alias("_cuts")))
+    cuts = (classes.select("source_no", "_class", "_slice")
+            .join(ends.select("source_no", F.inline("_cuts")).where("_cut > 0"), ["source_no", "_class"]))
+    filled = (near.join(cuts, ["source_no", "_class", "_slice"]).where(F.col("_sum") <= F.col("_cut"))
+              .select("source_no", "_slice", F.col("doc_id").alias("_d"), F.col("_key").alias("_k"), F.lit(True).alias("_filled")))
+    same = ((placed["source_no"] == filled["source_no"]) & (placed["_slice"] == filled["_slice"])
+            & placed["doc_id"].eqNullSafe(filled["_d"]) & (placed["_key"] == filled["_k"]))
+    placed = checkpointed(
+        placed.join(filled, same, "left")
+        .select(*[placed[c] for c in placed.columns if c not in ("_taken", "_upto", "_room")],
+                (placed["_taken"] | F.col("_filled").isNotNull()).alias("_taken")))
+
+    # step 3: the one that fills the rest best
+    off = F.abs(F.col("_rest") - F.col("size"))
+    last = (_spread(placed.where(F.col("_open") & ~F.col("_taken")), slices, ends.select("source_no", "_rest"))
+            .where(off < F.col("_rest"))
             .groupBy("source_no").agg(F.min(F.struct(
-                off.alias("off"), F.coalesce("_rank", F.lit(float("inf"))).alias("rank"),
+                off.alias("off"), F.col("_rank").alias("rank"), F.col("doc_id").isNull().alias("no_id"),
                 F.col("doc_id").alias("d"), F.col("_key").alias("k"), F.col("_slice").alias("s"))).alias("_l"))
             .select("source_no", F.col("_l.s").alias("_slice"), F.col("_l.d").alias("_d"), F.col("_l.k").alias("_k")))
     extra = F.col("_taken") | (F.col("_k").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_d"))
@@ -202,59 +201,100 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
         (F.col("_whole") + F.when(extra, 1).otherwise(0)).alias("copies"))
 
 
+def share(copies, n_rows, index):
+    """Copies of row ``index`` (from 0) of a unit: all get the whole part of
+    copies / rows, the first ones one more."""
+    return F.floor(copies / n_rows) + F.when(index < copies % n_rows, 1).otherwise(0)
+
+
 def op9_mixing(spark, sf_dir):
     """The mix of all documents, one row per document."""
     from clickweave.llm.common import read_table
 
     rows = mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return (rows.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n_rows"))))
+    return (rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rows") - 1)))
+            .withColumn("copies", share(F.col("copies"), F.col("n_rows"), F.col("_i")))
             .select("doc_id", F.col("size"), "source_size", "target",
                     (F.col("size") * F.col("copies")).alias("taken"), "source", "copies"))
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: each document as often as the mix takes it, all
-    columns kept. Documents of size 0 carry no words and follow the whole
-    copies of their source."""
-    decided = mix(docs, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_d"), F.col("_key").alias("_k"), F.col("source").alias("_s"), "copies")
-    decided = decided.withColumnRenamed("copies", "_copies")
-    keyed = docs.withColumn("_mix_key", text_key())
-    out = keyed.join(decided, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["_mix_key"] == F.col("_k"))
-                     & keyed["source"].eqNullSafe(F.col("_s")))
-    return (out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*[keyed[c] for c in docs.columns]))
+    """The mixed corpus: each row as often as the mix takes it, all columns
+    kept. Documents of size 0 carry no words and follow the whole copies of
+    their source. Rows of a unit of several are numbered in ``SALTS`` shares,
+    so that one with very many rows is spread too."""
+    names = docs.columns
+    whole = F.struct(*[docs[c] for c in names]).alias("_row")  # columns of any name stay apart
+    keyed = docs.select(whole).select(
+        "_row", F.col("_row.doc_id").alias("_d"), text_key(F.col("_row.text")).alias("_k"), F.col("_row.source").alias("_s"))
+    decided = checkpointed(mix(docs, **options).where("copies > 0").select(
+        F.col("doc_id").alias("_d2"), F.col("_key").alias("_k2"), F.col("source").alias("_s2"), "n_rows", "copies"))
+
+    def of(units: DataFrame) -> DataFrame:
+        return keyed.join(units, keyed["_d"].eqNullSafe(F.col("_d2")) & (keyed["_k"] == F.col("_k2"))
+                          & keyed["_s"].eqNullSafe(F.col("_s2"))).drop("_d2", "_k2", "_s2")
+
+    single = of(decided.where("n_rows = 1")).withColumn("_copies", F.col("copies"))
+    out = single
+    if not decided.where("n_rows > 1").isEmpty():
+        unit = ["_d", "_k", "_s"]
+        many = checkpointed(of(decided.where("n_rows > 1")).withColumn("_salt", F.floor(F.rand(7) * SALTS)))
+        shares = prefix_sums(many.groupBy(*unit, "_salt").agg(F.count(F.lit(1)).alias("_n")), unit, "_salt", "_n", "_before")
+        shares = shares.select(*[F.col(c).alias(f"{c}2") for c in (*unit, "_salt")], "_before")
+        index = F.col("_before") + F.row_number().over(Window.partitionBy(*unit, "_salt").orderBy("_salt")) - 1
+        joined = many.join(shares, many["_d"].eqNullSafe(F.col("_d2")) & (many["_k"] == F.col("_k2"))
+                           & many["_s"].eqNullSafe(F.col("_s2")) & (many["_salt"] == F.col("_salt2")))
+        numbered = joined.withColumn("_copies", share(F.col("copies"), F.col("n_rows"), index))
+        out = single.select("_row", "_copies").unionByName(numbered.select("_row", "_copies"))
+    return (out.where("_copies > 0")
+            .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+            .select(*[F.col("_row").getField(c).alias(c) for c in names]))
 
 
 OP9_SQL = f"""
-WITH d AS (
-  SELECT doc_id, source, text,
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, count(*) AS n_rows,
          coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0)::BIGINT AS size
-  FROM documents),
-s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+  FROM documents GROUP BY doc_id, source, text),
+s AS (SELECT source, sum(size * n_rows)::BIGINT AS source_size FROM d GROUP BY source),
 o AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos FROM s),
-w AS (SELECT source, source_size, (pos % 3 + 1)::INT AS weight, (source_size * 3)::DOUBLE AS cap FROM o),
+w AS (SELECT source, pos, source_size, (pos % 3 + 1)::INT AS weight, (source_size * 3)::DOUBLE AS cap FROM o),
 l AS (SELECT *, (sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
              / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM l),
-e AS (SELECT d.*, t.source_size, t.target,
-             CASE WHEN t.source_size > 0 THEN least(3.0::DOUBLE, t.target * 1.0 / t.source_size) ELSE 0 END AS e,
+t AS (SELECT source, pos, source_size, least(cap, max(level) OVER () * weight) AS target FROM l),
+e AS (SELECT d.*, t.pos, t.source_size, t.target,
+             CASE WHEN t.source_size > 0 THEN least(3.0::DOUBLE, t.target * 1.0 / t.source_size) ELSE 0 END * d.n_rows AS e,
              (('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5)
                / {float(1 << 52)!r} AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-r AS (SELECT *, floor(e)::BIGINT AS whole,
+r AS (SELECT *, floor(e)::BIGINT AS whole, floor(e)::BIGINT < 3 * n_rows AND size > 0 AS open,
              CASE WHEN e - floor(e) > 0 THEN (u / (1 - u)) / ((e - floor(e)) / (1 - (e - floor(e)))) END AS rnk FROM e),
-c AS (SELECT *, sum(CASE WHEN whole < 3 THEN size ELSE 0 END) OVER (PARTITION BY source
-               ORDER BY rnk NULLS LAST, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-             target - sum(size * whole) OVER (PARTITION BY source) AS room FROM r),
-k AS (SELECT *, whole < 3 AND size > 0 AND upto <= room AS taken0 FROM c),
-x AS (SELECT *, room - coalesce(max(CASE WHEN taken0 THEN upto END) OVER (PARTITION BY source), 0) AS rest FROM k),
-y AS (SELECT *, NOT taken0 AND whole < 3 AND size > 0 AND abs(rest - size) < rest AS may FROM x),
-z AS (SELECT *, may AND row_number() OVER (PARTITION BY source, may ORDER BY abs(rest - size), rnk NULLS LAST, doc_id) = 1
-             AS final FROM y)
-SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN taken0 OR final THEN 1 ELSE 0 END))::BIGINT AS taken, source,
-       (whole + CASE WHEN taken0 OR final THEN 1 ELSE 0 END)::BIGINT AS copies FROM z
+c AS (SELECT *, sum(CASE WHEN open THEN size ELSE 0 END) OVER (PARTITION BY pos
+               ORDER BY rnk NULLS LAST, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+             target - sum(size * whole) OVER (PARTITION BY pos) AS room FROM r),
+k AS (SELECT *, open AND upto <= room AS first_taken FROM c),
+x AS (SELECT *, room - coalesce(max(CASE WHEN first_taken THEN upto END) OVER (PARTITION BY pos), 0) AS rest FROM k),
+y AS (SELECT *, length(bin(size)) - 1 AS class FROM x WHERE open AND NOT first_taken AND size <= rest),
+q AS (SELECT *, sum(size) OVER (PARTITION BY pos, class ORDER BY rnk NULLS LAST, doc_id NULLS LAST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS class_sum FROM y),
+f(pos, class, rest, cut) AS (
+  SELECT pos, 63::BIGINT, max(rest), 0::BIGINT FROM x GROUP BY pos
+  UNION ALL
+  SELECT a.pos, a.class - 1, a.rest - a.got, a.got FROM (
+    SELECT f.pos, f.class, f.rest, coalesce(max(q.class_sum), 0)::BIGINT AS got
+    FROM f LEFT JOIN q ON q.pos = f.pos AND q.class = f.class - 1 AND q.class_sum <= f.rest
+    WHERE f.class > 0 GROUP BY f.pos, f.class, f.rest) a),
+m AS (SELECT x.*, x.first_taken OR coalesce(q.class_sum <= f.cut, false) AS taken0, g.rest AS last_rest
+      FROM x LEFT JOIN q ON q.pos = x.pos AND q.doc_id IS NOT DISTINCT FROM x.doc_id AND q.text IS NOT DISTINCT FROM x.text
+             LEFT JOIN f ON f.pos = q.pos AND f.class = q.class
+             JOIN f AS g ON g.pos = x.pos AND g.class = 0),
+v AS (SELECT *, open AND NOT taken0 AND abs(last_rest - size) < last_rest AS may FROM m),
+z AS (SELECT *, may AND row_number() OVER (PARTITION BY pos, may ORDER BY abs(last_rest - size), rnk NULLS LAST,
+             doc_id NULLS LAST) = 1 AS final FROM v),
+n AS (SELECT *, whole + CASE WHEN taken0 OR final THEN 1 ELSE 0 END AS copies,
+             unnest(generate_series(0, n_rows - 1)) AS i FROM z),
+b AS (SELECT *, (copies // n_rows + CASE WHEN i < copies % n_rows THEN 1 ELSE 0 END)::BIGINT AS own FROM n)
+SELECT doc_id, size, source_size, target, size * own AS taken, source, own AS copies FROM b
 """
