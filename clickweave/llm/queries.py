@@ -5,10 +5,11 @@ version."""
 from __future__ import annotations
 
 from clickweave.llm import (
-    language, licences, minhash, mixing, neighbours, packing, repeats, sharding, simhash, url_filter)
+    infill, language, licences, minhash, mixing, neighbours, packing, repeats, sharding, simhash, url_filter)
 
 QUERIES = {f.__name__: f for f in (
     simhash.op1_simhash, minhash.op2_minhash, language.op3_language, licences.op4_licences,
     url_filter.op5_url_filter, packing.op6_packing, sharding.op7_sharding, neighbours.op8_neighbours, mixing.op9_mixing,
-    repeats.op10_repeats)}
-ORACLE_SQL = {"op4_licences": licences.OP4_SQL, "op5_url_filter": url_filter.OP5_SQL, "op9_mixing": mixing.OP9_SQL}
+    repeats.op10_repeats, infill.op12_infill)}
+ORACLE_SQL = {"op4_licences": licences.OP4_SQL, "op5_url_filter": url_filter.OP5_SQL, "op9_mixing": mixing.OP9_SQL,
+              "op12_infill": infill.OP12_SQL}
