@@ -101,7 +101,7 @@ class Splitter:
         return fast if all(fast(w) == slow(w) for w in trial) else slow
 
     def forget(self) -> None:
-        self.entry: dict[int, int] = {}
+        self.entry: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 20, dtype=np.uint32)
         self.first = np.zeros(1 << 18, dtype=np.int64)
         self.size = np.zeros(1 << 18, dtype=np.int64)
@@ -150,6 +150,26 @@ class Splitter:
             out[nxt[kinds[nxt] == _LETTER]] = True
         return out
 
+    def _distinct(self, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One pre-token of each content, and for every one its number among
+        these. A polynomial hash groups them; equal hashes are compared by
+        their characters, and where they differ all are told apart by content."""
+        total = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * self.power[:len(codes)], out=total[1:])
+        h = (total[stop] - total[start]) * self.inverse[start]
+        h ^= (stop - start).astype(np.uint64) << np.uint64(48)
+        _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+        like = at[inverse]
+        sizes = stop - start
+        same = len(codes) == 0 or (np.array_equal(sizes, sizes[like]) and np.array_equal(
+            codes, codes[np.repeat(start[like] - start, sizes) + np.arange(len(codes))]))
+        if not same:
+            number: dict[bytes, int] = {}
+            inverse = np.array([number.setdefault(codes[i:j].tobytes(), len(number))
+                                for i, j in zip(start.tolist(), stop.tolist(), strict=True)])
+            at = np.unique(inverse, return_index=True)[1]
+        return at, inverse
+
     def _chunk(self, texts: list[str]) -> list[np.ndarray]:
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -161,20 +181,16 @@ class Splitter:
         flags = self.starts(codes, kinds, begins) if len(codes) else begins
         start = np.flatnonzero(flags)
         stop = np.append(start[1:], len(codes))
-        total = np.zeros(len(codes) + 1, dtype=np.uint64)
-        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * self.power[:len(codes)], out=total[1:])
-        h = (total[stop] - total[start]) * self.inverse[start]
-        h ^= (stop - start).astype(np.uint64) << np.uint64(48)
-        distinct, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if self.entries + len(distinct) > REMEMBERED:
+        at, inverse = self._distinct(codes, start, stop)
+        if self.entries + len(at) > REMEMBERED:
             self.forget()
-        found = np.fromiter((self.entry.get(x, -1) for x in distinct.tolist()), np.int64, len(distinct))
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            a, b = start[at[new]].tolist(), stop[at[new]].tolist()
-            words = [codes[i:j].tobytes().decode("utf-32-le") for i, j in zip(a, b, strict=True)]
-            for k, word in zip(new.tolist(), words, strict=True):
-                found[k] = self.entry[int(distinct[k])] = self.remember(self.ids_of(word))
+        found = np.zeros(len(at), dtype=np.int64)
+        for k, (i, j) in enumerate(zip(start[at].tolist(), stop[at].tolist(), strict=True)):
+            key = codes[i:j].tobytes()
+            entry = self.entry.get(key, -1)
+            if entry < 0:
+                entry = self.entry[key] = self.remember(self.ids_of(key.decode("utf-32-le")))
+            found[k] = entry
         rows = found[inverse]
         sizes = self.size[rows]
         ends = np.cumsum(sizes)
