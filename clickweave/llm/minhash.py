@@ -3,8 +3,9 @@
 Shingles are ``SHINGLE`` words (runs of anything but ASCII blanks, A-Z lower-
 cased) joined by single spaces; a shorter text is one shingle, and a text
 without words has none (its signature is all ones). A whole batch of texts is
-cut and hashed at once in numpy: prefix sums of a polynomial over the bytes
-give every word's hash, prefix sums over the words every shingle's. Each of
+cut and hashed at once in numpy: every byte is mixed with its place in its word,
+prefix sums give the words' hashes, and words mixed with their place in the
+shingle the shingles'. Each of
 ``PERMUTATIONS`` universal hash permutations x -> (a x + b) mod 2**64 (a odd)
 keeps its smallest image of the shingles, of which the upper 32 bits are one
 value of the signature. The share of equal values estimates the Jaccard
@@ -16,7 +17,9 @@ start, and every candidate pair is verified by its exact Jaccard similarity.
 
 Defined results: a null text is an empty one; a text is its own next document
 if it is the only one; rows follow each other by (doc_id, text), null ids
-first (ids are numbers); an empty table gives an empty result; other columns are ignored.
+first (ids are numbers); a very long text is hashed in parts of ``CHUNK`` bytes,
+with 8 bytes kept a word; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -66,12 +69,55 @@ def _power(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def _ranged(values: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of each values[start:stop]."""
-    power, inverse = _power(len(values), base)
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * power[:len(values)], out=total[1:])
-    return _mix((total[stop] - total[start]) * inverse[start])
+_STEP = _U(0x9E3779B97F4A7C15)
+
+
+def _runs(data: np.ndarray, before: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and sums of the words in lower-cased bytes. A word's sum is
+    that of its bytes, each mixed with its place in the word, so no two words
+    share it by an identity of polynomials. ``before``: bytes of a first word
+    that stand in the part before."""
+    word = ~_BLANK[data]
+    edge = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
+    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    sizes = stop - start
+    at = np.flatnonzero(word)
+    place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    if before and len(start) and start[0] == 0:
+        place[:sizes[0]] += before
+    values = _mix(data[at].astype(np.uint64) + place.astype(np.uint64) * _STEP)
+    total = np.zeros(len(at) + 1, dtype=np.uint64)
+    np.cumsum(values, out=total[1:])
+    ends = np.cumsum(sizes)
+    return start, stop, total[ends] - total[ends - sizes]
+
+
+def _closed(sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return _mix(sums ^ (sizes.astype(np.uint64) * _STEP))
+
+
+def _long_words(text: bytes) -> np.ndarray:
+    """Word hashes of a long text, read in parts of CHUNK bytes; a word across
+    parts carries its sum and length on."""
+    out: list[np.ndarray] = []
+    sum_, size = _U(0), 0
+    for at in range(0, len(text), CHUNK):
+        data = _LOWER[np.frombuffer(text, np.uint8, min(CHUNK, len(text) - at), at)]
+        start, stop, sums = _runs(data, size)
+        sizes = stop - start
+        if size and len(start) and start[0] == 0:
+            sums[:1] += sum_
+            sizes[0] += size
+        elif size:
+            sums, sizes, stop = np.append(sum_, sums), np.append(size, sizes), np.append(0, stop)
+        size, sum_ = 0, _U(0)
+        if len(stop) and stop[-1] == len(data):  # open
+            sum_, size = sums[-1], int(sizes[-1])
+            sums, sizes = sums[:-1], sizes[:-1]
+        out.append(_closed(sums, sizes))
+    if size:
+        out.append(_closed(np.array([sum_]), np.array([size])))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 class Permutations:
@@ -90,6 +136,10 @@ class Permutations:
             if group and size + len(t) > CHUNK:
                 out += self._hash(group)
                 group, size = [], 0
+            if len(t) > CHUNK:
+                words = _long_words(t)
+                out += self._shingled(words, np.array([0]))
+                continue
             group.append(t)
             size += len(t) + 1
         return out + (self._hash(group) if group else [])
@@ -97,22 +147,25 @@ class Permutations:
     def _hash(self, texts: list[bytes]) -> list[np.ndarray]:
         data = _LOWER[np.frombuffer(b" ".join(texts), dtype=np.uint8)]
         text_start = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
-        word = ~_BLANK[data]
-        edge = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
-        start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        if not len(start):
-            return [np.empty(0, np.uint64) for _ in texts]
-        words = _ranged(data.astype(np.uint64) + _U(1), start, stop, 0x9E3779B97F4A7C15) ^ (stop - start).astype(np.uint64)
-        first = np.searchsorted(start, text_start)
-        last = np.append(first[1:], len(start))
-        at = np.arange(len(start))
+        start, stop, sums = _runs(data)
+        return self._shingled(_closed(sums, stop - start), np.searchsorted(start, text_start))
+
+    def _shingled(self, words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+        """Shingle hashes of each text, whose words begin at ``first``."""
+        if not len(words):
+            return [np.empty(0, np.uint64) for _ in first]
+        last = np.append(first[1:], len(words))
+        at = np.arange(len(words))
         # every word starts a shingle unless fewer than ``width`` are left
-        text = np.searchsorted(first, at, side="right") - 1
-        end = np.minimum(at + self.width, last[text])
-        keep = (end - at == self.width) | (at == first[text])
-        every = _ranged(words, at[keep], end[keep], 0xD1342543DE82EF95)
-        cut = np.searchsorted(np.flatnonzero(keep), np.append(first, len(start)))
-        return [every[cut[i]:cut[i + 1]] for i in range(len(texts))]
+        left = np.repeat(last, last - first) - at
+        keep = np.flatnonzero((left >= self.width) | (at == np.repeat(first, last - first)))
+        every = np.zeros(len(keep), dtype=np.uint64)
+        for k in range(self.width):  # each word is mixed with its place
+            has = left[keep] > k
+            every[has] += _mix(words[keep[has] + k] + _U((k + 1) * int(_STEP) % (1 << 64)))
+        every = _mix(every)
+        cut = np.searchsorted(keep, np.append(first, len(words)))
+        return [every[cut[i]:cut[i + 1]] for i in range(len(first))]
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         best = np.full(self.count, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
