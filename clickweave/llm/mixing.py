@@ -10,26 +10,30 @@ is taken for certain; for the rest p = E - floor(E) the units are ranked by
 
     random odds / inclusion odds = (U / (1 - U)) / (p / (1 - p)),
 
-and each that is drawn gives one more copy (a sample of fixed size in words).
-U comes from an MD5 of the document id and a seed, so reruns agree. The draw
-ends with three steps:
-
-1. in the order of the rank, all units before the first that does not fit;
-2. of those left that would fit the room, by size class (powers of two, largest
-   class first), in the order of the rank all before the first of the class
-   that does not fit the room still free;
-3. of all that are left the one whose size fills the rest best, if that brings
-   the total nearer to the target.
+and taken in that order, one more copy each (a sample of fixed size in words);
+a unit longer than the words still free is passed over, and the order goes on
+behind it. The last place goes to the unit, of those left, whose size fills the
+rest best, if that brings the total nearer. U comes from an MD5 of the document
+id and a seed, so reruns agree.
 
 Native: DataFrame functions only, in one pass of jobs without a loop. The order
 of a source's units is cut into ``ORDER_BUCKETS`` slices of the Pareto rank;
 word sums per slice are pre-aggregated and summed up over the slices, and the
 running sum inside a slice is a window over that slice alone, so a source with
 a third of all rows is spread over the slices and never meets in one task.
-Rows about a source reach its units through a salted join or by slice. Step 2
-sees, of each class, units of at most the room in words; the room is less than
-the unit that did not fit in step 1 has, so the array over which it goes holds
-at most two numbers per word of the longest document, for each source.
+Rows about a source reach its units through a salted join or by slice.
+
+That settles all units before the first that does not fit; the room R left is
+less than the words of that one. Behind it only few units can still be taken.
+Take those of sizes from L up to 2L (``_class``) in the order of the rank: as
+long as the sum of the class before a unit is R or less, it is a candidate, at
+most R / L + 1 of them. Behind these at least one has not fit, so less than 2L
+is free, and one more of the class can be taken at most; that can't be a unit
+with an earlier one of the same or a smaller size among them, which fits whenever
+it does. So only new minima are candidates. ``candidates`` finds a superset by
+sums and minima per slice, and one array of them for each source, of some three
+numbers per word of the longest document at most and mostly a few, is gone
+through in the order of the rank.
 
 Defined results: null text has size 0, and takes 0 words; very long texts are
 counted whole; a null source is a source of its own, last in code-point order;
@@ -96,13 +100,35 @@ def _spread(rows: DataFrame, slices: DataFrame, per_source: DataFrame) -> DataFr
     return rows.join(slices.select("source_no", "_slice").join(per_source, "source_no"), ["source_no", "_slice"])
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
-        doc_weight: str | None = None) -> DataFrame:
+def candidates(left: DataFrame, order) -> DataFrame:
+    """Of ``left`` (source_no, _slice, size, _rest and the columns of ``order``;
+    sizes of the source's room _rest at most) a superset of the units that are
+    taken when each is taken if it fits what is left of the room (see above)."""
+    left = left.withColumn("_class", F.length(F.bin("size")) - 1)
+    by_slice = Window.partitionBy("source_no", "_class").orderBy("_slice")
+    before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    late = F.col("_before") > F.col("_rest")  # all units of the slice come behind the first ones
+    classes = (prefix_sums(left.groupBy("source_no", "_class", "_slice").agg(
+                   F.sum("size").alias("_words"), F.min("size").alias("_min"), F.max("_rest").alias("_rest")),
+                   ["source_no", "_class"], "_slice", "_words", "_before")
+               .withColumn("_least", F.min(F.when(late, F.col("_min"))).over(before))
+               .select("source_no", "_class", "_slice", "_before", "_least"))
+    earlier = (Window.partitionBy("source_no", "_class", "_slice").orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    summed = (left.join(classes, ["source_no", "_class", "_slice"])
+              .withColumn("_sum", F.col("_before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+              .withColumn("_first", F.col("_sum") <= F.col("_rest")))
+    smaller = F.least("_least", F.min(F.when(~F.col("_first"), F.col("size"))).over(earlier))
+    return (summed.withColumn("_smaller", smaller)
+            .where(F.col("_first") | F.col("_smaller").isNull() | (F.col("size") < F.col("_smaller")))
+            .drop("_class", "_before", "_least", "_sum", "_first", "_smaller"))
+
+
+def decide(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
+           doc_weight: str | None = None) -> DataFrame:
     """One row per distinct (doc_id, text, source): doc_id, _key, source, n_rows,
     size (of one row), source_size, target, copies (how often its rows are taken
-    in all, ``cap`` times n_rows at most). ``doc_weight`` names a positive column
-    that scales a document's expected copies within its source (null or
-    non-positive counts as 1)."""
+    in all, ``cap`` times n_rows at most)."""
     w = F.lit(1.0) if doc_weight is None else F.when(F.col(doc_weight) > 0, F.col(doc_weight).cast("double")).otherwise(1.0)
     units = checkpointed(
         docs.select("doc_id", text_key().alias("_key"), "source", word_count(F.col("text")).alias("size"), w.alias("_w"))
@@ -130,55 +156,45 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
             .withColumn("_slice", F.when(p > 0, F.floor(F.col("_rank") / (1 + F.col("_rank")) * ORDER_BUCKETS))
                         .otherwise(ORDER_BUCKETS).cast("long")))
     order = [F.col("_rank"), F.col("doc_id").asc_nulls_last(), F.col("_key")]
-    running = lambda *keys: (Window.partitionBy("source_no", "_slice", *keys).orderBy(*order)
-                             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    # step 1: all before the first that does not fit
+    # all before the first that does not fit
     open_words = F.when(F.col("_open"), F.col("size")).otherwise(F.lit(0))
     slices = rows.groupBy("source_no", "_slice").agg(
         F.sum(open_words).alias("_words"), F.sum(F.col("size") * F.col("_whole")).alias("_certain"))
     slices = checkpointed(prefix_sums(slices, ["source_no"], "_slice", "_words", "_before")
                           .withColumn("_certain", F.sum("_certain").over(Window.partitionBy("source_no"))))
+    running = (Window.partitionBy("source_no", "_slice").orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = checkpointed(
         rows.join(slices.drop("_words"), ["source_no", "_slice"])
-        .withColumn("_upto", F.col("_before") + F.sum(open_words).over(running()))
+        .withColumn("_upto", F.col("_before") + F.sum(open_words).over(running))
         .withColumn("_room", F.col("target") - F.col("_certain"))
         .withColumn("_taken", F.col("_open") & (F.col("_upto") <= F.col("_room")))
         .drop("_e", "_u", "_before", "_certain"))
     room = placed.groupBy("source_no").agg(
         (F.max("_room") - F.coalesce(F.max(F.when(F.col("_taken"), F.col("_upto"))), F.lit(0))).alias("_rest"))
 
-    # step 2: by size class, each as far as it fits
-    left = (_spread(placed.where(F.col("_open") & ~F.col("_taken")), slices, room)
-            .where(F.col("size") <= F.col("_rest"))
-            .select("source_no", "_slice", "doc_id", "_key", "_rank", "size", "_rest",
-                    (F.length(F.bin("size")) - 1).alias("_class")))
-    classes = checkpointed(prefix_sums(
-        left.groupBy("source_no", "_class", "_slice").agg(F.sum("size").alias("_words"), F.max("_rest").alias("_rest")),
-        ["source_no", "_class"], "_slice", "_words", "_before").where(F.col("_before") < F.col("_rest")))
-    near = checkpointed(
-        left.join(classes.drop("_rest", "_words"), ["source_no", "_class", "_slice"])
-        .withColumn("_sum", F.col("_before") + F.sum("size").over(running("_class")))
-        .where(F.col("_sum") <= F.col("_rest"))
-        .select("source_no", "_class", "_slice", "doc_id", "_key", "_sum"))
-    steps = (near.groupBy("source_no", "_class").agg(F.collect_list("_sum").alias("sums"))
-             .groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct(F.col("_class").alias("k"), "sums")), False).alias("steps")))
-    best = lambda acc, x: F.coalesce(F.array_max(F.filter(x["sums"], lambda s: s <= acc["rest"])), F.lit(0).cast("long"))
-    cut = lambda k, upto: F.struct(k.alias("_class"), upto.alias("_cut"))
-    none = F.filter(F.array(cut(F.lit(0), F.lit(0).cast("long"))), lambda _: F.lit(False))
+    # behind it: those that fit
+    at = F.struct(F.col("_rank").alias("rank"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("d"),
+                  F.col("_key").alias("k"), F.col("_slice").alias("s"))
+    left = (_spread(placed.where(F.col("_open") & ~F.col("_taken")), slices, room).where(F.col("size") <= F.col("_rest"))
+            .select("source_no", "_slice", "doc_id", "_key", "_rank", "size", "_rest"))
+    found = candidates(left, order).groupBy("source_no").agg(
+        F.sort_array(F.collect_list(F.struct(at.alias("at"), "size"))).alias("found"))
+    fits = lambda acc, x: x["size"] <= acc["rest"]
+    nothing = F.filter(F.col("found"), lambda _: F.lit(False))
     ends = checkpointed(
-        room.join(steps, "source_no", "left")
-        .select("source_no", F.aggregate(
-            F.coalesce("steps", F.filter(F.array(F.struct(F.lit(0).alias("k"), F.array(F.lit(0).cast("long")).alias("sums"))),
-                                         lambda _: F.lit(False))),
-            F.struct(F.col("_rest").alias("rest"), none.alias("cuts")),
-            lambda acc, x: F.struct((acc["rest"] - best(acc, x)).alias("rest"),
-                                    F.concat(acc["cuts"], F.array(cut(x["k"], best(acc, x)))).alias("cuts"))).alias("_end"))
-        .select("source_no", F.col("_end.rest").alias("_rest"), F.col("_end.cuts").alias("_cuts")))
-    cuts = (classes.select("source_no", "_class", "_slice")
-            .join(ends.select("source_no", F.inline("_cuts")).where("_cut > 0"), ["source_no", "_class"]))
-    filled = (near.join(cuts, ["source_no", "_class", "_slice"]).where(F.col("_sum") <= F.col("_cut"))
-              .select("source_no", "_slice", F.col("doc_id").alias("_d"), F.col("_key").alias("_k"), F.lit(True).alias("_filled")))
+        room.join(found, "source_no", "left")
+        .select("source_no", F.coalesce(F.aggregate(
+            "found", F.struct(F.col("_rest").alias("rest"), nothing.alias("taken")),
+            lambda acc, x: F.struct(
+                F.when(fits(acc, x), acc["rest"] - x["size"]).otherwise(acc["rest"]).alias("rest"),
+                F.when(fits(acc, x), F.concat(acc["taken"], F.array(x))).otherwise(acc["taken"]).alias("taken"))),
+            F.struct(F.col("_rest").alias("rest"), nothing.alias("taken"))).alias("_end"))
+        .select("source_no", F.col("_end.rest").alias("_rest"), F.col("_end.taken.at").alias("_at")))
+    filled = (ends.select("source_no", F.explode("_at").alias("_at"))
+              .select("source_no", F.col("_at.s").alias("_slice"), F.col("_at.d").alias("_d"), F.col("_at.k").alias("_k"),
+                      F.lit(True).alias("_filled")))
     same = ((placed["source_no"] == filled["source_no"]) & (placed["_slice"] == filled["_slice"])
             & placed["doc_id"].eqNullSafe(filled["_d"]) & (placed["_key"] == filled["_k"]))
     placed = checkpointed(
@@ -186,14 +202,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
         .select(*[placed[c] for c in placed.columns if c not in ("_taken", "_upto", "_room")],
                 (placed["_taken"] | F.col("_filled").isNotNull()).alias("_taken")))
 
-    # step 3: the one that fills the rest best
+    # the last one: of those left, the one that fills the rest best
     off = F.abs(F.col("_rest") - F.col("size"))
     last = (_spread(placed.where(F.col("_open") & ~F.col("_taken")), slices, ends.select("source_no", "_rest"))
             .where(off < F.col("_rest"))
-            .groupBy("source_no").agg(F.min(F.struct(
-                off.alias("off"), F.col("_rank").alias("rank"), F.col("doc_id").isNull().alias("no_id"),
-                F.col("doc_id").alias("d"), F.col("_key").alias("k"), F.col("_slice").alias("s"))).alias("_l"))
-            .select("source_no", F.col("_l.s").alias("_slice"), F.col("_l.d").alias("_d"), F.col("_l.k").alias("_k")))
+            .groupBy("source_no").agg(F.min(F.struct(off.alias("off"), at.alias("at"))).alias("_l"))
+            .select("source_no", F.col("_l.at.s").alias("_slice"), F.col("_l.at.d").alias("_d"), F.col("_l.at.k").alias("_k")))
     extra = F.col("_taken") | (F.col("_k").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_d"))
                                & (F.col("_key") == F.col("_k")))
     return placed.join(last, ["source_no", "_slice"], "left").select(
@@ -201,10 +215,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: str = SEED,
         (F.col("_whole") + F.when(extra, 1).otherwise(0)).alias("copies"))
 
 
-def share(copies, n_rows, index):
-    """Copies of row ``index`` (from 0) of a unit: all get the whole part of
-    copies / rows, the first ones one more."""
-    return F.floor(copies / n_rows) + F.when(index < copies % n_rows, 1).otherwise(0)
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """One row per distinct (doc_id, text, source) and number of copies: doc_id,
+    _key, source, n_rows (so many equal rows), size, source_size, target, copies
+    (how often each of these rows is taken, ``cap`` times at most). Options:
+    ``weights``, ``cap``, ``seed``, and ``doc_weight``, a positive column that
+    scales a document's expected copies within its source (null or non-positive
+    counts as 1)."""
+    n, more = F.col("n_rows"), F.col("copies") % F.col("n_rows")
+    each = F.floor(F.col("copies") / n)
+    part = lambda n, copies: F.struct(n.alias("n_rows"), copies.alias("copies"))
+    return (decide(docs, **options)
+            .withColumn("_part", F.explode(F.array(part(n - more, each), part(more, each + 1))))
+            .drop("n_rows", "copies").select("*", "_part.n_rows", "_part.copies").drop("_part").where("n_rows > 0")
+            .select("doc_id", "_key", "source", "n_rows", "size", "source_size", "target", "copies"))
 
 
 def op9_mixing(spark, sf_dir):
@@ -212,8 +236,7 @@ def op9_mixing(spark, sf_dir):
     from clickweave.llm.common import read_table
 
     rows = mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return (rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rows") - 1)))
-            .withColumn("copies", share(F.col("copies"), F.col("n_rows"), F.col("_i")))
+    return (rows.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"))))
             .select("doc_id", F.col("size"), "source_size", "target",
                     (F.col("size") * F.col("copies")).alias("taken"), "source", "copies"))
 
@@ -227,7 +250,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     whole = F.struct(*[docs[c] for c in names]).alias("_row")  # columns of any name stay apart
     keyed = docs.select(whole).select(
         "_row", F.col("_row.doc_id").alias("_d"), text_key(F.col("_row.text")).alias("_k"), F.col("_row.source").alias("_s"))
-    decided = checkpointed(mix(docs, **options).where("copies > 0").select(
+    decided = checkpointed(decide(docs, **options).where("copies > 0").select(
         F.col("doc_id").alias("_d2"), F.col("_key").alias("_k2"), F.col("source").alias("_s2"), "n_rows", "copies"))
 
     def of(units: DataFrame) -> DataFrame:
@@ -244,7 +267,8 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
         index = F.col("_before") + F.row_number().over(Window.partitionBy(*unit, "_salt").orderBy("_salt")) - 1
         joined = many.join(shares, many["_d"].eqNullSafe(F.col("_d2")) & (many["_k"] == F.col("_k2"))
                            & many["_s"].eqNullSafe(F.col("_s2")) & (many["_salt"] == F.col("_salt2")))
-        numbered = joined.withColumn("_copies", share(F.col("copies"), F.col("n_rows"), index))
+        numbered = joined.withColumn(
+            "_copies", F.floor(F.col("copies") / F.col("n_rows")) + F.when(index < F.col("copies") % F.col("n_rows"), 1).otherwise(0))
         out = single.select("_row", "_copies").unionByName(numbered.select("_row", "_copies"))
     return (out.where("_copies > 0")
             .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
@@ -271,25 +295,15 @@ e AS (SELECT d.*, t.pos, t.source_size, t.target,
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 r AS (SELECT *, floor(e)::BIGINT AS whole, floor(e)::BIGINT < 3 * n_rows AND size > 0 AS open,
              CASE WHEN e - floor(e) > 0 THEN (u / (1 - u)) / ((e - floor(e)) / (1 - (e - floor(e)))) END AS rnk FROM e),
-c AS (SELECT *, sum(CASE WHEN open THEN size ELSE 0 END) OVER (PARTITION BY pos
-               ORDER BY rnk NULLS LAST, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+k AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY rnk NULLS LAST, doc_id NULLS LAST) AS rn,
              target - sum(size * whole) OVER (PARTITION BY pos) AS room FROM r),
-k AS (SELECT *, open AND upto <= room AS first_taken FROM c),
-x AS (SELECT *, room - coalesce(max(CASE WHEN first_taken THEN upto END) OVER (PARTITION BY pos), 0) AS rest FROM k),
-y AS (SELECT *, length(bin(size)) - 1 AS class FROM x WHERE open AND NOT first_taken AND size <= rest),
-q AS (SELECT *, sum(size) OVER (PARTITION BY pos, class ORDER BY rnk NULLS LAST, doc_id NULLS LAST
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS class_sum FROM y),
-f(pos, class, rest, cut) AS (
-  SELECT pos, 63::BIGINT, max(rest), 0::BIGINT FROM x GROUP BY pos
+f(pos, rn, rest, took) AS (
+  SELECT pos, 0::BIGINT, max(room), false FROM k GROUP BY pos
   UNION ALL
-  SELECT a.pos, a.class - 1, a.rest - a.got, a.got FROM (
-    SELECT f.pos, f.class, f.rest, coalesce(max(q.class_sum), 0)::BIGINT AS got
-    FROM f LEFT JOIN q ON q.pos = f.pos AND q.class = f.class - 1 AND q.class_sum <= f.rest
-    WHERE f.class > 0 GROUP BY f.pos, f.class, f.rest) a),
-m AS (SELECT x.*, x.first_taken OR coalesce(q.class_sum <= f.cut, false) AS taken0, g.rest AS last_rest
-      FROM x LEFT JOIN q ON q.pos = x.pos AND q.doc_id IS NOT DISTINCT FROM x.doc_id AND q.text IS NOT DISTINCT FROM x.text
-             LEFT JOIN f ON f.pos = q.pos AND f.class = q.class
-             JOIN f AS g ON g.pos = x.pos AND g.class = 0),
+  SELECT f.pos, k.rn, CASE WHEN k.open AND k.size <= f.rest THEN f.rest - k.size ELSE f.rest END,
+         k.open AND k.size <= f.rest
+  FROM f JOIN k ON k.pos = f.pos AND k.rn = f.rn + 1),
+m AS (SELECT k.*, f.took AS taken0, min(f.rest) OVER (PARTITION BY k.pos) AS last_rest FROM k JOIN f USING (pos, rn)),
 v AS (SELECT *, open AND NOT taken0 AND abs(last_rest - size) < last_rest AS may FROM m),
 z AS (SELECT *, may AND row_number() OVER (PARTITION BY pos, may ORDER BY abs(last_rest - size), rnk NULLS LAST,
              doc_id NULLS LAST) = 1 AS final FROM v),
