@@ -55,17 +55,16 @@ SCALE = 1_000_000_000
 TOP = 10
 ROWS = 2048          # terms of a block at most
 COLUMNS = 1024       # indicator columns at which a block is closed, and of a tile
-HELD = 200_000       # sums a counting task holds before it hands them on
+HELD = 400_000       # terms a counting task holds before it hands their sums on
 PART = 1 << 22
 
 # every byte that ends a term becomes a blank, A-Z become a-z
 _TERMS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
-def terms_of(text: str | None) -> Counter:
-    """Occurrences of each term (as UTF-8 bytes)."""
+def term_lists(text: str | None) -> Iterator[list[bytes]]:
+    """The terms of a text (as UTF-8 bytes), in parts."""
     data = (text or "").encode()
-    seen: Counter = Counter()
     at = 0
     while at < len(data):
         end = at + PART
@@ -75,9 +74,8 @@ def terms_of(text: str | None) -> Counter:
                 end += len(rest)
                 rest = data[end:end + PART].translate(_TERMS)
             end += rest.index(b" ") if b" " in rest else len(rest)
-        seen.update(data[at:end].translate(_TERMS).split())
+        yield data[at:end].translate(_TERMS).split()
         at = end
-    return seen
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -85,37 +83,32 @@ def term_counts(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     names = ["lang", "source", "term", "n", "docs"]
 
-    def batch_of(n: Counter, docs: Counter) -> pa.RecordBatch:
-        keys = list(n)
+    def batch_of(lang: str, source: str, total: Counter, within: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-             pa.array([k[2].decode() for k in keys], pa.string()), pa.array([n[k] for k in keys], pa.int64()),
-             pa.array([docs[k] for k in keys], pa.int64())], names)
+            [pa.array([lang] * len(total), pa.string()), pa.array([source] * len(total), pa.string()),
+             pa.array(list(total), pa.binary()).cast(pa.string()), pa.array(total.values(), pa.int64()),
+             pa.array(map(within.__getitem__, total), pa.int64())], names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-        docs: Counter = Counter()
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
+        size = 0
         for batch in batches:
-            groups = defaultdict(list)
             for lang, source, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                groups[lang or "", source or ""].append(text)
-            for (lang, source), texts in groups.items():
-                total: Counter = Counter()
-                within: Counter = Counter()
-                for text in texts:
-                    seen = terms_of(text)
-                    total.update(seen)
-                    within.update(seen.keys())
-                for term, k in total.items():
-                    n[lang, source, term] += k
-                for term, k in within.items():
-                    docs[lang, source, term] += k
-            if len(n) > HELD:
-                yield batch_of(n, docs)
-                n.clear()
-                docs.clear()
-        if n:
-            yield batch_of(n, docs)
+                total, within = held[lang or "", source or ""]
+                before = len(total)
+                seen: set[bytes] = set()
+                for terms in term_lists(text):
+                    total.update(terms)
+                    seen.update(terms)
+                within.update(seen)
+                size += len(total) - before
+            if size > HELD:
+                for group, counters in held.items():
+                    yield batch_of(*group, *counters)
+                held.clear()
+                size = 0
+        for group, counters in held.items():
+            yield batch_of(*group, *counters)
 
     out = docs.select("lang", "source", "text").mapInArrow(
         releasing(count), "lang string, source string, term string, n long, docs long")
