@@ -6,7 +6,7 @@ streaming source and a batch read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave import schema
@@ -49,6 +49,23 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
     return kept.select(*cols)
 
 
+def reject_reason(floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> Column:
+    """Why F1-F3 leave a decoded record out; null for those they keep."""
+    ev = F.col("event")
+    ts = envelope.millis_to_ts(ev.getField("event_timestamp"))
+    return (F.when(ev.isNull() | ev.getField("event_id").isNull(), "not_decoded")
+            .when(ts.isNull(), "no_event_time")
+            .when(ts <= _floor_literal(floor), "before_floor"))
+
+
+def rejects(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> DataFrame:
+    """The records that ``flatten`` leaves out, raw, with the reason. Every
+    record is in exactly one of the two."""
+    return (decoded.withColumn("reason", reject_reason(floor)).where(F.col("reason").isNotNull())
+            .select("key", "value", F.col("partition").cast("int").alias("kafka_partition"),
+                    F.col("offset").cast("long").alias("kafka_offset"), "reason"))
+
+
 def transform(records: DataFrame, payload_format: str = "json",
               floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> DataFrame:
     """J2's pure part: broker records -> Bronze rows."""

@@ -76,6 +76,67 @@ def required_fields(df: DataFrame) -> DataFrame:
     return _rows(counts, entries)
 
 
+def row_rules() -> list[tuple[str, Column]]:
+    """(rule, violation predicate) of every rule on a single row (Q1-Q7); the
+    place in this list is the rule's bit."""
+    enums = [(f"{name}_outside_domain", F.col(name).isNotNull() & ~F.col(name).isin(*domain))
+             for name, domain in schema.ENUM_DOMAINS]
+    required = [(f"{name}_missing", F.col(name).isNull()) for name in schema.REQUIRED_FIELDS]
+    return enums + conditional_rules() + required
+
+
+def violation_mask() -> Column:
+    """Bit i is set if a row breaks rule i of ``row_rules``."""
+    mask = F.lit(0).cast("long")
+    for i, (_, broken) in enumerate(row_rules()):
+        mask = mask + F.when(broken, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+    return mask
+
+
+def row_violations(df: DataFrame) -> DataFrame:
+    """The rows that break a rule, with ``violations`` (the bit mask),
+    ``n_violations`` and the rules' names: one projection over one scan."""
+    names = F.array(*[F.lit(name) for name, _ in row_rules()])
+    broken = df.withColumn("violations", violation_mask()).where(F.col("violations") != 0)
+    bit = lambda i: F.expr("shiftright(violations, {})".format(i)).bitwiseAND(F.lit(1)) == 1
+    kept = F.filter(F.transform(F.arrays_zip(names.alias("name"), F.array(*[bit(i) for i in range(len(row_rules()))]).alias("set")),
+                                lambda x: F.when(x["set"], x["name"])), lambda x: x.isNotNull())
+    return broken.withColumns({"n_violations": F.bit_count("violations").cast("int"), "rules": F.array_join(kept, ",")})
+
+
+class QualityGateError(ValueError):
+    """A day broke a rule more often than allowed; it was not published."""
+
+    def __init__(self, broken: list[tuple]):
+        super().__init__("; ".join(f"{day}: {rule} in {n} of {total} rows" for day, rule, n, total in broken))
+        self.broken = broken
+
+
+def gate(limits: dict[str, float], default: float | None = None, day: str = "event_date"):
+    """A check for ``sinks.tables``: raises QualityGateError if on any day the
+    share of rows that break a rule is over its limit (``default`` for rules
+    without one; None: not checked). One aggregate over the written rows; what
+    comes back is one row for each failed day and rule."""
+    rules = [(name, broken, limits.get(name, default)) for name, broken in row_rules()]
+    unknown = set(limits) - {name for name, _, _ in rules}
+    if unknown:
+        raise ValueError(f"unknown rules: {sorted(unknown)}")
+    rules = [r for r in rules if r[2] is not None]
+
+    def check(rows: DataFrame) -> None:
+        if not rules:
+            return
+        counts = rows.groupBy(day).agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(b).alias(n) for n, b, _ in rules])
+        failed = counts.select(day, F.inline(F.array(*[
+            F.struct(F.lit(n).alias("rule"), F.col(n).alias("n"), F.col("_total").alias("total"), F.lit(float(limit)).alias("most"))
+            for n, _, limit in rules]))).where(F.col("n") > F.col("most") * F.col("total"))
+        broken = [tuple(r)[:4] for r in failed.orderBy(day, "rule").collect()]
+        if broken:
+            raise QualityGateError(broken)
+
+    return check
+
+
 def event_mix(df: DataFrame, digits: int = 6) -> DataFrame:
     """Q8: observed share of each contract event type vs. the expected weights.
 

@@ -6,9 +6,12 @@ pure ``operators.bronze.transform``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickweave import schema
+from clickweave.functions import envelope
 from clickweave.operators import bronze as ops
 from clickweave.sinks import tables as sinks
 
@@ -25,3 +28,29 @@ def load_bronze(records: DataFrame, table: str, payload_format: str = "json",
     spark = records.sparkSession
     sinks.create_bronze_table(spark, table, fmt=fmt)
     sinks.append(bronze_batch(records, payload_format, floor), table, load_id)
+
+
+def load_bronze_split(records: DataFrame, table: str, rejects_table: str, load_id: str, payload_format: str = "json",
+                      floor: str = schema.DEFAULT_TIMESTAMP_FLOOR, fmt: str = "parquet") -> dict[str, int]:
+    """Like ``load_bronze``, and the records that it leaves out go to
+    ``rejects_table`` with their reason, under the same load id. The input is
+    read and parsed once: both writes read the decoded records from the
+    executors' disks (a lost one is decoded again). The rejects are written
+    first, so a load that is visible has all its rejects beside it. Returns the
+    counts; records = rows + rejected, or the load fails."""
+    spark = records.sparkSession
+    sinks.create_bronze_table(spark, table, fmt=fmt)
+    sinks.create_rejects_table(spark, rejects_table, fmt=fmt)
+    decoded = envelope.decode(records, payload_format).persist(StorageLevel.DISK_ONLY)
+    try:
+        reason = ops.reject_reason(floor)
+        total, bad = decoded.select(F.count(F.lit(1)), F.count(reason)).first()
+        sinks.append(ops.rejects(decoded, floor), rejects_table, load_id, partition_col="reason")
+        sinks.append(ops.flatten(decoded, floor), table, load_id)
+    finally:
+        decoded.unpersist()
+    loaded = lambda t: spark.table(t).where(F.col(sinks.LOAD_ID) == load_id).count()
+    counts = {"records": total, "rows": loaded(table), "rejected": loaded(rejects_table)}
+    if counts["rows"] + counts["rejected"] != total or counts["rejected"] != bad:
+        raise RuntimeError(f"load {load_id}: {counts} do not add up ({bad} rejected)")
+    return counts

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clickweave import schema
 from clickweave.functions import envelope
-from clickweave.operators import audit, bronze, profile, quality
+from clickweave.operators import audit, bronze, gold, maintenance, profile, quality, spans
 from clickweave.operators import silver as silver_ops
 from clickweave.plans.silver import cleanse, silver
 from clickweave.plans import fixture
@@ -96,6 +96,21 @@ def bronze_flatten(spark, sf_dir):
     return bronze.transform(fixture.envelope_view(spark, sf_dir))
 
 
+def decode_by_schema_id(spark, sf_dir):
+    decoded = envelope.decode_versions(fixture.versioned_envelope_view(spark, sf_dir), fixture.event_layouts())
+    return decoded.select(
+        F.col("offset").alias("kafka_offset"), "schema_id", "decode_status",
+        *[F.col(f"event.{path}").alias(flat) for flat, path in (
+            ("event_id", "event_id"), ("event_type", "event_type"), ("os", "device.os"), ("price", "properties.price"),
+            ("scroll_depth_pct", "properties.scroll_depth_pct"), ("experiment", "experiment"))])
+
+
+def bronze_rejects(spark, sf_dir):
+    decoded = envelope.decode(fixture.envelope_view(spark, sf_dir))
+    return bronze.rejects(decoded, LATE_FLOOR).select(
+        F.col("key").cast("string").alias("key"), "kafka_partition", "kafka_offset", "reason")
+
+
 # -- silver layer -----------------------------------------------------------
 def silver_dedup(spark, sf_dir):
     return silver_ops.deduplicate(for_day(_bronze(spark, sf_dir), None))
@@ -138,6 +153,22 @@ def silver_sessions_span_mixed(spark, sf_dir):
         _clean(spark, sf_dir), "all", rows_per_task=MIXED_ROWS_PER_TASK).select(*_SESSION_OUT)
 
 
+def silver_sessions_carry(spark, sf_dir):
+    """Day metrics, then the sessions over midnight merged from their states."""
+    daily = silver_ops.session_metrics(_clean(spark, sf_dir), "day")
+    return spans.carry_over(daily, spans.crossing(spans.day_states(daily))).select(*_SESSION_OUT)
+
+
+def silver_stale_days(spark, sf_dir):
+    """Days that late loads made stale, after a first build without the late
+    loads of the partitions 1 to 3 and with other counts of load 2 on Mondays."""
+    now = maintenance.loads(fixture.loads_view(spark, sf_dir))
+    monday = F.dayofweek("event_date") == 2
+    then = now.where(~F.col("load_id").isin("late-1", "late-2", "late-3")).withColumn(
+        "load_rows", F.when(monday & (F.col("load_id") == "load-2"), F.col("load_rows") + 1).otherwise(F.col("load_rows")))
+    return maintenance.stale_days(now, then)
+
+
 def silver_full(spark, sf_dir):
     return silver(_bronze(spark, sf_dir), None, run_ts=RUN_TS)
 
@@ -154,6 +185,24 @@ def silver_audit(spark, sf_dir):
     return audit.stage_counts(for_day(_bronze(spark, sf_dir), None))
 
 
+# -- gold layer -------------------------------------------------------------
+def session_facts(spark, sf_dir):
+    return gold.session_facts(_clean(spark, sf_dir))
+
+
+def _kpi_tables(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    return gold.daily_states(clean), gold.daily_users(clean, gold.number_users(clean))
+
+
+def daily_kpis(spark, sf_dir):
+    return gold.rolling_kpis(*_kpi_tables(spark, sf_dir), days=1)
+
+
+def weekly_kpis(spark, sf_dir):
+    return gold.rolling_kpis(*_kpi_tables(spark, sf_dir), days=7)
+
+
 # -- profile ----------------------------------------------------------------
 def profile_total(spark, sf_dir):
     return profile.total(_bronze(spark, sf_dir))
@@ -180,6 +229,11 @@ def dq_required_fields(spark, sf_dir):
     return quality.required_fields(_bronze(spark, sf_dir))
 
 
+def dq_row_violations(spark, sf_dir):
+    return quality.row_violations(_bronze(spark, sf_dir)).select(
+        "event_id", "kafka_offset", "violations", "n_violations", "rules")
+
+
 def event_mix(spark, sf_dir):
     return quality.event_mix(_bronze(spark, sf_dir))
 
@@ -201,5 +255,7 @@ QUERIES: dict[str, Query] = {
         profile_total, profile_event_types, profile_top_cities,
         dq_enum_domains, dq_conditional_fields, dq_required_fields,
         event_mix, ingestion_lag, auth_share,
+        session_facts, daily_kpis, weekly_kpis, silver_sessions_carry, silver_stale_days,
+        decode_by_schema_id, bronze_rejects, dq_row_violations,
     )
 }

@@ -17,6 +17,7 @@ import os
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickweave import schema
 
@@ -171,3 +172,50 @@ def _build_envelope(spark: SparkSession, sf_dir: str, schema_id: int) -> DataFra
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
     )
+
+
+# Two layouts of the event and a registry id that nobody knows: version 2 has
+# one field more, one less and a wider one (see FIXTURES.md).
+UNKNOWN_SCHEMA_ID = 9
+WIDE = 10_000_000_000
+
+
+def event_layouts() -> dict[int, T.StructType]:
+    device = T.StructType([f for f in schema.DEVICE.fields if f.name != "screen_resolution"])
+    properties = T.StructType([T.StructField(f.name, T.LongType()) if f.name == "scroll_depth_pct" else f
+                               for f in schema.PROPERTIES.fields])
+    second = [T.StructField(f.name, {"device": device, "properties": properties}.get(f.name, f.dataType))
+              for f in schema.EVENT.fields] + [T.StructField("experiment", T.StringType())]
+    return {1: schema.EVENT, 2: T.StructType(second)}
+
+
+def versioned_envelope_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker records of both layouts: ``id % 3 == 0`` in version 2, ``id % 31
+    == 0`` under an unknown id, ``id % 101 == 0`` cut short, ``id % 103 == 0``
+    without a header."""
+    return _session_view(spark, "versions", sf_dir, lambda: _build_versions(spark, sf_dir))
+
+
+def _build_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickweave.functions import envelope
+
+    id_ = F.col("id")
+    first = envelope.event_struct()
+    second = F.to_json(first.withField("experiment", F.concat(F.lit("x"), (id_ % 5).cast("string")))
+                       .withField("properties.scroll_depth_pct", F.col("scroll_depth_pct").cast("long") * F.lit(WIDE)))
+    payload = F.when(id_ % 3 == 0, second).otherwise(F.to_json(first))
+    payload = F.when(id_ % 101 == 0, F.substring(payload, 1, 60)).otherwise(payload).cast("binary")
+    header = (F.when(id_ % 31 == 0, envelope.header(UNKNOWN_SCHEMA_ID)).when(id_ % 3 == 0, envelope.header(2))
+              .otherwise(envelope.header(1)))
+    value = F.when(id_ % 103 == 0, F.lit(b"{}")).otherwise(F.concat(header, payload))
+    return bronze_with_id(spark, sf_dir).select(
+        F.col("session_id").cast("binary").alias("key"), value.alias("value"),
+        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
+
+
+def loads_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Bronze view with a load id: first deliveries in loads by partition,
+    replays in one late load for each partition."""
+    late = F.col("kafka_offset") >= REPLAY_OFFSET
+    return bronze_view(spark, sf_dir).withColumn("load_id", F.concat(
+        F.when(late, "late-").otherwise("load-"), F.col("kafka_partition").cast("string")))

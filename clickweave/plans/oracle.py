@@ -248,6 +248,87 @@ per_day AS (
                           (3, "null_drop", "n_dedup", "n_clean"),
                           (4, "write", "n_clean", "n_clean"))]))
 
+_SESSION_FACTS = _with(SILVER_CTE + """,
+s1 AS (SELECT session_id, min(event_timestamp) AS t1 FROM clean WHERE event_type = 'page_view' GROUP BY 1),
+s2 AS (SELECT c.session_id, min(c.event_timestamp) AS t2 FROM clean c JOIN s1 USING (session_id)
+       WHERE c.event_type = 'add_to_cart' AND c.event_timestamp > t1 GROUP BY 1),
+s3 AS (SELECT c.session_id, min(c.event_timestamp) AS t3 FROM clean c JOIN s2 USING (session_id)
+       WHERE c.event_type = 'checkout_complete' AND c.event_timestamp > t2 GROUP BY 1),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS up,
+                   row_number() OVER (PARTITION BY session_id ORDER BY event_timestamp DESC, event_id DESC) AS down FROM clean),
+facts AS (
+  SELECT session_id, max(user_id) AS user_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end,
+    count(*) AS events, count(*) FILTER (WHERE event_type = 'page_view') AS page_views,
+    count(*) FILTER (WHERE event_type = 'checkout_complete' AND order_value IS NOT NULL) AS orders,
+    coalesce(sum(CAST(order_value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'checkout_complete'), 0) AS revenue,
+    max(page_path) FILTER (WHERE up = 1) AS entry_page, max(page_path) FILTER (WHERE down = 1) AS exit_page
+  FROM ordered GROUP BY session_id)""", """
+SELECT f.session_id, user_id, CAST(session_start AS DATE) AS start_date, session_start, session_end,
+  date_diff('second', session_start, session_end) AS duration_secs, events, page_views, orders,
+  CAST(revenue AS DECIMAL(28,2)) AS revenue, entry_page, exit_page, events = 1 AS is_bounce,
+  CAST(CASE WHEN t3 IS NOT NULL THEN 3 WHEN t2 IS NOT NULL THEN 2 WHEN t1 IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS funnel_step,
+  CASE WHEN t3 IS NOT NULL THEN 'checkout_complete' WHEN t2 IS NOT NULL THEN 'add_to_cart'
+       WHEN t1 IS NOT NULL THEN 'page_view' END AS funnel_stage
+FROM facts f LEFT JOIN s1 USING (session_id) LEFT JOIN s2 USING (session_id) LEFT JOIN s3 USING (session_id)""")
+
+
+_VERSIONS = _with(BRONZE_CTE, """
+SELECT kafka_offset, schema_id, decode_status,
+  CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN event_type END AS event_type,
+  CASE WHEN ok THEN os END AS os, CASE WHEN ok THEN price END AS price,
+  CASE WHEN ok THEN CAST(scroll_depth_pct AS BIGINT) * CASE WHEN schema_id = 2 THEN 10000000000 ELSE 1 END END AS scroll_depth_pct,
+  CASE WHEN ok AND schema_id = 2 THEN 'x' || CAST(id % 5 AS VARCHAR) END AS experiment
+FROM (
+  SELECT *, decode_status = 'ok' AS ok FROM (
+    SELECT *, CASE WHEN schema_id IS NULL THEN 'no_header' WHEN schema_id = 9 THEN 'unknown_schema'
+                   WHEN id % 101 = 0 THEN 'corrupt' ELSE 'ok' END AS decode_status
+    FROM (SELECT *, CAST(CASE WHEN id % 103 = 0 THEN NULL WHEN id % 31 = 0 THEN 9 WHEN id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT)
+                      AS schema_id FROM bronze_id)))""")
+
+_REJECTS = _with(BRONZE_CTE, f"""
+SELECT session_id AS key, kafka_partition, kafka_offset,
+  CASE WHEN {_CORRUPT} THEN 'not_decoded' ELSE 'before_floor' END AS reason
+FROM bronze_id WHERE {_CORRUPT} OR {_ms('event_timestamp')} <= TIMESTAMP '{LATE_FLOOR}'""")
+
+_LOADS = BRONZE_CTE + """,
+now AS (SELECT event_date, CASE WHEN kafka_offset >= 1000000000 THEN 'late-' ELSE 'load-' END || CAST(kafka_partition AS VARCHAR) AS load_id,
+               count(*) AS n FROM bronze WHERE event_date IS NOT NULL GROUP BY ALL),
+ledger AS (SELECT event_date, load_id, n + CASE WHEN dayname(event_date) = 'Monday' AND load_id = 'load-2' THEN 1 ELSE 0 END AS n
+           FROM now WHERE load_id NOT IN ('late-1', 'late-2', 'late-3'))"""
+_STALE = _with(_LOADS, """
+SELECT event_date, count(*) FILTER (WHERE b.n IS NULL) AS new_loads, count(*) FILTER (WHERE a.n IS NULL) AS gone_loads,
+  count(*) FILTER (WHERE a.n <> b.n) AS changed_loads, CAST(coalesce(sum(a.n), 0) AS BIGINT) AS rows_now,
+  CAST(coalesce(sum(b.n), 0) AS BIGINT) AS rows_then
+FROM now a FULL JOIN ledger b USING (event_date, load_id) GROUP BY event_date
+HAVING count(*) FILTER (WHERE a.n IS DISTINCT FROM b.n) > 0""")
+
+_ROW_RULES = ([(f"{name}_outside_domain", f"{name} IS NOT NULL AND {name} NOT IN ({', '.join(repr(v) for v in domain)})")
+               for name, domain in schema.ENUM_DOMAINS] + list(_COND_RULES)
+              + [(f"{f}_missing", f"{f} IS NULL") for f in schema.REQUIRED_FIELDS])
+_BITS = ", ".join(f"CASE WHEN {pred} THEN {1 << i} ELSE 0 END AS b{i}" for i, (_, pred) in enumerate(_ROW_RULES))
+_MASK = " + ".join(f"b{i}" for i in range(len(_ROW_RULES)))
+_NAMES = "concat_ws(',', " + ", ".join(f"CASE WHEN b{i} > 0 THEN '{name}' END" for i, (name, _) in enumerate(_ROW_RULES)) + ")"
+_VIOLATIONS = _with(BRONZE_CTE, f"""
+SELECT event_id, kafka_offset, CAST({_MASK} AS BIGINT) AS violations, CAST(bit_count(CAST({_MASK} AS BIGINT)) AS INTEGER) AS n_violations,
+  {_NAMES} AS rules FROM (SELECT *, {_BITS} FROM bronze) WHERE {_MASK} > 0""")
+
+
+def _kpis(days: int) -> str:
+    return _with(SILVER_CTE + f""",
+ends AS (SELECT DISTINCT event_date AS range_end FROM clean),
+inside AS (SELECT range_end, clean.* FROM ends JOIN clean
+           ON event_date <= range_end AND event_date > range_end - INTERVAL {days} DAY),
+sess AS (SELECT range_end, event_date, session_id, count(*) AS n FROM inside GROUP BY ALL),
+per AS (SELECT range_end, count(*) AS sessions, count(*) FILTER (WHERE n = 1) AS bounces FROM sess GROUP BY 1)""", """
+SELECT range_end, count(DISTINCT event_date) AS days, count(*) AS events, any_value(sessions) AS sessions,
+  any_value(bounces) AS bounces,
+  count(*) FILTER (WHERE event_type = 'checkout_complete' AND order_value IS NOT NULL) AS orders,
+  CAST(coalesce(sum(CAST(order_value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'checkout_complete'), 0)
+       AS DECIMAL(28,2)) AS revenue,
+  count(DISTINCT user_id) AS users, round(CAST(any_value(bounces) AS DOUBLE) / any_value(sessions), 6) AS bounce_rate
+FROM inside JOIN per USING (range_end) GROUP BY range_end""")
+
+
 ORACLE_SQL: dict[str, str] = {
     "bronze_all": _with(BRONZE_CTE, f"SELECT {_BRONZE_OUT} FROM bronze"),
     "bronze_day": _with(BRONZE_CTE, f"SELECT {_BRONZE_OUT} FROM bronze "
@@ -292,4 +373,12 @@ ORACLE_SQL: dict[str, str] = {
     "event_mix": _EVENT_MIX,
     "ingestion_lag": _INGESTION_LAG,
     "auth_share": _AUTH,
+    "session_facts": _SESSION_FACTS,
+    "silver_sessions_carry": _with(SILVER_CTE, f"SELECT {_SESSION_OUT} FROM ({_sessions('session_id')})"),
+    "silver_stale_days": _STALE,
+    "decode_by_schema_id": _VERSIONS,
+    "bronze_rejects": _REJECTS,
+    "dq_row_violations": _VIOLATIONS,
+    "daily_kpis": _kpis(1),
+    "weekly_kpis": _kpis(7),
 }

@@ -53,8 +53,10 @@ def silver(bronze: DataFrame, day: str | dt.date | None = None, *,
 
 def run_silver(spark: SparkSession, bronze_source: str | DataFrame, silver_table: str,
                day: str | dt.date | None = "yesterday", fmt: str = "parquet",
-               drop_nulls_first: bool = False, **kwargs) -> list[dict]:
+               drop_nulls_first: bool = False, check: sinks.Check | None = None, **kwargs) -> list[dict]:
     """Process one day (default yesterday, UTC) into ``silver_table``.
+    ``check`` (e.g. ``quality.gate``) can keep the new rows from becoming
+    visible by raising.
 
     Returns the stage audit (read, dedup, null_drop, write) of this run.
     """
@@ -68,7 +70,7 @@ def run_silver(spark: SparkSession, bronze_source: str | DataFrame, silver_table
     out = silver(source, day, drop_nulls_first=drop_nulls_first, **kwargs).observe(
         write, F.count(F.lit(1)).alias("rows"))
     with sized_shuffles(for_day(source, day)):
-        sinks.overwrite_day(out, silver_table, day)
+        sinks.overwrite_day(out, silver_table, day, check=check)
         return run_report(for_day(source, day), _rows(write), drop_nulls_first)
 
 
