@@ -182,9 +182,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -
 def subspace(rows: list[tuple[np.ndarray, np.ndarray]], dims: int = DIMS, rounds: int = 6) -> np.ndarray:
     """Leading right singular vectors of the sparse rows, places x dims."""
     width = TERMS + STYLES
+    if not rows:
+        return np.zeros((width, dims), np.float32)
     size = np.array([len(p) for p, _ in rows])
-    place_of = np.concatenate([p for p, _ in rows]) if rows else np.zeros(0, np.int64)
-    weight = np.concatenate([w for _, w in rows]).astype(np.float32) if rows else np.zeros(0, np.float32)
+    place_of = np.concatenate([p for p, _ in rows])
+    weight = np.concatenate([w for _, w in rows]).astype(np.float32)
     row_of = np.repeat(np.arange(len(rows)), size)
     by_place = np.argsort(place_of, kind="stable")
 
@@ -197,7 +199,7 @@ def subspace(rows: list[tuple[np.ndarray, np.ndarray]], dims: int = DIMS, rounds
             out[t[first]] += np.add.reduceat(dense[b] * v[:, None], first, axis=0)
         return out
 
-    basis = np.random.default_rng(7).standard_normal((width, min(dims + 8, max(1, len(rows))))).astype(np.float32)
+    basis = np.random.default_rng(7).standard_normal((width, min(dims + 8, len(rows)))).astype(np.float32)
     for _ in range(rounds):
         left = np.linalg.qr(product(row_of, place_of, weight, basis, len(rows)))[0]
         basis, scale, _ = np.linalg.svd(
