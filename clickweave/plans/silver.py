@@ -70,7 +70,7 @@ def run_silver(spark: SparkSession, bronze_source: str | DataFrame, silver_table
     out = silver(source, day, drop_nulls_first=drop_nulls_first, **kwargs).observe(
         write, F.count(F.lit(1)).alias("rows"))
     with sized_shuffles(for_day(source, day)):
-        sinks.overwrite_day(out, silver_table, day, check=check)
+        sinks.overwrite_day(out, silver_table, day, **({"check": check} if check else {}))
         return run_report(for_day(source, day), _rows(write), drop_nulls_first)
 
 
