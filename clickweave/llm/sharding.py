@@ -1,8 +1,9 @@
 """Cut documents into shards along a Hilbert curve through their metadata.
 
 Each dimension (here source, language and size) is quantised to ``BITS`` bits
-by its own approximate quantiles over all rows, so a skewed dimension still
-spreads over the grid. The cell's index on the Hilbert curve orders the rows;
+by its own quantiles over all rows (numbers: approximate ones; strings: exact
+ones of whole values, from counts per distinct value), so a skewed dimension
+still spreads over the grid. The cell's index on the Hilbert curve orders the rows;
 neighbours on the curve are neighbours in every dimension, so a run of the
 curve has a narrow range in each of them and a filter on any of them skips
 most shards (``manifest`` gives the ranges). The run is cut by rows:
@@ -15,25 +16,30 @@ metadata stay side by side, and a hot cell is split across range partitions.
 
 Defined results: null text has size 8 and CRC 0 (as the empty text); nulls of
 any dimension come first in it; rows equal in everything are interchangeable;
-an empty table gives an empty result.
+a very long text counts by its bytes and stays one row (a shard may then be
+much larger than another: the law is that of rows); other columns are ignored
+by ``shard`` and kept by ``write_shards``, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweave.llm.common import checkpointed, global_index, read_table, ship
+from clickweave.llm.common import checkpointed, global_index, read_table, ship, shuffle_parts
 
 BITS = 8
 SHARDS = 24
 OVERHEAD = 8  # bytes that a row takes besides its text
 QUANTILE_ACCURACY = 10_000
+DIMS = ("source", "lang", "size")
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -65,49 +71,78 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _ordinal(df: DataFrame, name: str):
-    """A long that orders as the column does: numbers as they are, strings by
-    their first seven bytes."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        head = F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 7))
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long")
-    return F.col(name).cast("double")
+def _string_bounds(df: DataFrame, name: str, parts: int) -> list[bytes]:
+    """The values at the ``parts`` - 1 inner quantiles of the rows, by UTF-8
+    bytes; whole values, however long their common prefixes. Counts per distinct
+    value are placed by one range exchange; only a sum per partition and the
+    bounds themselves come to the driver."""
+    counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    placed = checkpointed(counts.repartitionByRange(shuffle_parts(df.sparkSession), "value")
+                          .withColumn("_part", F.spark_partition_id()))
+    starts, total = [], 0
+    for part, n in sorted(placed.groupBy("_part").agg(F.sum("n")).collect()):
+        starts.append((part, total))
+        total += n
+    if not total:
+        return []
+    start = df.sparkSession.createDataFrame(starts, "_part int, _start long")  # a row per partition
+    upto = F.col("_start") + F.sum("n").over(Window.partitionBy("_part").orderBy("value"))
+    # the first quantile above what lies before the value: is it in the value?
+    quantile = F.expr(f"(upto - n) * {parts} div {total} + 1")
+    return sorted(r["value"].encode() for r in
+                  placed.join(F.broadcast(start), "_part").withColumn("upto", upto)
+                  .where((quantile < parts) & (quantile * total <= F.col("upto") * parts)).select("value").collect())
+
+
+def _bounds(df: DataFrame, dims: Sequence[str], parts: int) -> list:
+    """Per dimension at most ``parts`` - 1 bounds: doubles, or bytes of strings."""
+    text = [d for d in dims if isinstance(df.schema[d].dataType, T.StringType)]
+    fractions = F.array(*[F.lit((i + 1) / parts) for i in range(parts - 1)])
+    numbers = [d for d in dims if d not in text]
+    row = df.select(*[F.percentile_approx(F.col(d).cast("double"), fractions, QUANTILE_ACCURACY).alias(d)
+                      for d in numbers]).first() if numbers else {}
+    return [_string_bounds(df, d, parts) if d in text else np.unique(np.asarray(row[d] or [], dtype=np.float64))
+            for d in dims]
+
+
+def _cells(values: pd.Series, edges, side: int) -> np.ndarray:
+    """Cell of each value between the edges; few distinct values are spread
+    over the whole side; nulls take cell 0."""
+    if isinstance(edges, list):
+        codes, distinct = pd.factorize(values)  # nulls: -1
+        found = np.array([*(bisect_right(edges, v.encode()) for v in distinct), 0], dtype=np.int64)[codes]
+        missing = codes < 0
+    else:
+        number = values.to_numpy(dtype=np.float64, na_value=np.nan)
+        found, missing = np.searchsorted(edges, number, side="right"), np.isnan(number)
+    return np.where(missing, 0, (found + 1) * side // (len(edges) + 1))
 
 
 def curve(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> DataFrame:
     """Add ``curve``: the Hilbert index of the row's quantised dimensions."""
     ship(df.sparkSession)
-    ordinals = {d: _ordinal(df, d) for d in dims}
-    fractions = [(i + 1) / (1 << bits) for i in range((1 << bits) - 1)]
-    row = df.select(*[F.percentile_approx(o, F.array(*map(F.lit, fractions)), QUANTILE_ACCURACY).alias(d)
-                      for d, o in ordinals.items()]).first()
-    # at most 2**bits - 1 bounds for each dimension
-    bounds = [np.unique(np.asarray(row[d] or [], dtype=np.float64)) for d in dims]
+    bounds = _bounds(df, dims, 1 << bits)
 
     @F.pandas_udf("long")
     def index(parts: pd.DataFrame) -> pd.Series:
         cells = np.empty((len(parts), len(bounds)), dtype=np.int64)
         for i, edges in enumerate(bounds):
-            value = parts.iloc[:, i].to_numpy(dtype=np.float64, na_value=np.nan)
-            cell = np.searchsorted(edges, value, side="right") + 1
-            # spread few distinct values over the whole side; nulls take cell 0
-            cell = cell * ((1 << bits) - 1) // (len(edges) + 1)
-            cells[:, i] = np.where(np.isnan(value), 0, cell)
+            cells[:, i] = _cells(parts.iloc[:, i], edges, (1 << bits) - 1)
         return pd.Series(hilbert_index(cells, bits))
 
-    return df.withColumn("curve", index(F.struct(*[o.cast("double").alias(f"d{i}")
-                                                   for i, o in enumerate(ordinals.values())])))
+    return df.withColumn("curve", index(F.struct(*[
+        (F.col(d) if isinstance(b, list) else F.col(d).cast("double")).alias(f"d{i}")
+        for i, (d, b) in enumerate(zip(dims, bounds, strict=True))])))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, dims: Sequence[str] = ("source", "lang", "size"),
-          bits: int = BITS) -> DataFrame:
-    """doc_id, size, text_crc32, the dimensions, curve, shard, slot."""
-    named = [d for d in dims if d != "size"]
-    meta = checkpointed(docs.select(
-        "doc_id", *named,
+def _metadata(docs: DataFrame, dims: Sequence[str], *more: Column) -> DataFrame:
+    return docs.select(
+        "doc_id", *[d for d in dims if d not in ("size", "doc_id")],
         (F.coalesce(F.octet_length("text"), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32")))
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"), *more)
+
+
+def _place(meta: DataFrame, shards: int, dims: Sequence[str], bits: int) -> DataFrame:
     order = ["curve", "text_crc32", "doc_id", "size"]
     rows, total = global_index(curve(meta, dims, bits), order)
     number = F.expr(f"index * {shards} div {max(total, 1)}")
@@ -116,21 +151,29 @@ def shard(docs: DataFrame, shards: int = SHARDS, dims: Sequence[str] = ("source"
             .withColumn("slot", (F.col("index") - first).cast("long")).drop("index"))
 
 
-def manifest(sharded: DataFrame, dims: Sequence[str] = ("source", "lang", "size")) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, dims: Sequence[str] = DIMS, bits: int = BITS) -> DataFrame:
+    """doc_id, size, text_crc32, the dimensions, curve, shard, slot."""
+    return _place(checkpointed(_metadata(docs, dims)), shards, dims, bits)
+
+
+def manifest(sharded: DataFrame, dims: Sequence[str] = DIMS) -> DataFrame:
     """Per shard: rows, bytes and the range of each dimension."""
     return sharded.groupBy("shard").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"),
         *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("min", F.min), ("max", F.max))])
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, **options) -> DataFrame:
-    """Write the documents as one folder per shard, in curve order within the
-    files; returns the manifest. Needs a unique doc_id."""
-    placed = shard(docs, shards, **options)
-    out = docs.join(placed.select("doc_id", "shard", "slot"), "doc_id")
-    (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .drop("slot").write.partitionBy("shard").parquet(path))
-    return manifest(placed, options.get("dims", ("source", "lang", "size")))
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dims: Sequence[str] = DIMS, bits: int = BITS) -> DataFrame:
+    """Write the documents as one folder per shard, in curve order; returns the
+    manifest. All columns are kept, repeated ids and rows too. The folders'
+    column is ``shard``, with as many ``_`` behind it as it takes to differ from
+    the documents' own columns. Whole rows go through one range exchange."""
+    folder = "shard"
+    while folder in {c.lower() for c in docs.columns}:
+        folder += "_"
+    placed = _place(_metadata(docs, dims, F.struct("*").alias("document")), shards, dims, bits)
+    placed.select("document.*", F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)
+    return manifest(placed, dims)
 
 
 def op7_sharding(spark, sf_dir):

@@ -11,6 +11,7 @@ import sys
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
@@ -347,6 +348,48 @@ def test_curve_prunes_shards_in_every_dimension(spark):
     assert len(ranges) == 24 and hit <= 8
 
 
+def test_curve_prunes_behind_a_common_prefix(spark):
+    table = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.lit("").alias("text"), (F.col("id") * 13 % 101).alias("lang"),
+        F.concat(F.lit("https://common_crawl_"), F.lpad((F.col("id") * 7 % 40).cast("string"), 2, "0")).alias("source"))
+    dims = ("source", "lang")
+    plain = table.withColumn("source", F.substring("source", -2, 2))
+    one, other = ({(r.shard, r.min_lang, r.max_lang, r.min_source[-2:], r.max_source[-2:])
+                   for r in sharding.manifest(sharding.shard(t, dims=dims), dims).collect()} for t in (table, plain))
+    assert one == other
+    assert sum(low <= "17" <= high for _, _, _, low, high in one) <= 8
+
+
+def test_string_bounds_are_the_weighted_quantiles(spark):
+    r = np.random.default_rng(3)
+    values = [None] * 50 + ["hot"] * 700 + [f"ß{x:03d}" for x in r.integers(0, 400, 900)] + ["z" * 5000, "😀", ""]
+    held = sorted(v.encode() for v in values if v is not None)
+    want = sorted({held[-(-i * len(held) // 64) - 1] for i in range(1, 64)})
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    assert sharding._string_bounds(df, "s", 64) == want
+    assert sharding._string_bounds(df.where("s IS NULL"), "s", 64) == []
+    cells = sharding._cells(pd.Series([None, "", "hot", "😀"]), want, 63)
+    assert cells[0] == 0 and (np.diff(cells) > 0).all() and cells[-1] == 63
+    assert sharding._cells(pd.Series([None, None], dtype=object), want, 63).tolist() == [0, 0]
+
+
+def test_written_shards_keep_all_rows_and_columns(spark, docs, empty, scratch):
+    for frame in (docs.withColumnsRenamed({"d": "shard", "bucket": "slot", "copies": "curve"}), docs, empty):
+        path = f"{scratch}/{len(frame.columns)}-{frame.columns[-1]}-{frame.isEmpty()}"
+        report = sharding.write_shards(frame, path, shards=5)
+        if frame is empty:
+            assert report.count() == 0
+            continue
+        back = spark.read.parquet(path)
+        column, = set(back.columns) - set(frame.columns)
+        assert column == ("shard_" if "shard" in frame.columns else "shard")
+        names = frame.columns
+        assert ordered(rows_of(back, *names)) == ordered(rows_of(frame, *names))
+        sizes = {r.shard: r.rows for r in report.collect()}
+        assert sizes == {r[0]: r[1] for r in back.groupBy(column).count().collect()}
+        assert max(sizes.values()) - min(sizes.values()) <= 1
+
+
 # -- 8 ------------------------------------------------------------------------
 def brute_neighbours(vectors, queries, k):
     out = {}
