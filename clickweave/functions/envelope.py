@@ -85,17 +85,50 @@ def _event_from_parsed(parsed: Column, payload_format: str) -> Column:
         "ingestion_timestamp", F.unix_millis(parsed.getField("ingestion_timestamp"))))
 
 
-def decode(records: DataFrame, payload_format: str = "json") -> DataFrame:
-    """X1 + X2: envelope records -> records plus an ``event`` struct column.
+def rest_of(payload: Column) -> Column:
+    """What the flat layout has no column for, of a JSON payload as VARIANT:
+    fields of the contract that P1 leaves out and fields that no layout knows,
+    at their own paths. JSON nulls are left out; a nested record that is no
+    object is kept as it is. Null if nothing is left, and if the payload is no
+    JSON object, has a key twice or is beyond a VARIANT's size."""
+    paths = [path.split(".") for _, path in schema.FLAT_PATHS]
+    nested = {p[0]: [q[1] for q in paths if q[0] == p[0]] for p in paths if len(p) > 1}
+    plain = [p[0] for p in paths if len(p) == 1]
+    fields = "map<string,variant>"
+
+    def left(of: Column, known: list[str]) -> Column:
+        return F.map_filter(of, lambda k, v: ~k.isin(*known) & ~F.is_variant_null(v))
+
+    top = F.try_variant_get(payload, "$", fields)
+    out = [left(top, [*plain, *nested])]
+    for name, known in nested.items():
+        record = F.try_variant_get(payload, f"$.{name}", fields)
+        inner = left(record, known)
+        other = F.when(~F.is_variant_null(top[name]), top[name])
+        value = F.when(record.isNull(), other).when(F.size(inner) > 0, F.to_variant_object(inner))
+        out.append(F.create_map(F.lit(name), value))
+    rest = F.map_filter(F.map_concat(*out), lambda _, v: v.isNotNull())
+    return F.when(F.size(rest) > 0, F.to_variant_object(rest))
+
+
+def decode(records: DataFrame, payload_format: str = "json", keep_rest: bool = False) -> DataFrame:
+    """X1 + X2: envelope records -> records plus an ``event`` struct column,
+    with ``keep_rest`` also a ``rest`` column (``rest_of``; JSON only, a second
+    parse of each record).
 
     The payload is parsed once into its own column; the corrupt check and the
     later field accesses read that column, so the parser runs once per row
     (inlining the parse into every field would run it once per field).
     """
+    if keep_rest and payload_format != "json":
+        raise ValueError("the rest of an event is kept for JSON payloads only: Avro's layout has no unknown fields")
     parsed = records.withColumn(
         "_parsed", parse_payload(strip_header(F.col("value")), payload_format))
-    return (parsed.withColumn("event", _event_from_parsed(F.col("_parsed"), payload_format))
-                  .drop("_parsed"))
+    out = parsed.withColumn("event", _event_from_parsed(F.col("_parsed"), payload_format)).drop("_parsed")
+    if not keep_rest:
+        return out
+    whole = F.try_parse_json(strip_header(F.col("value")).cast("string"))
+    return out.withColumn("_whole", whole).withColumn(schema.REST, rest_of(F.col("_whole"))).drop("_whole")
 
 
 def schema_id(value: str | Column = "value") -> Column:

@@ -22,6 +22,7 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
 
     F1 drops events that failed to decode (null struct), F2 events without an
     id, F3 events at or before ``floor`` (strict ``>``; null times dropped).
+    A ``rest`` column of the frame (``envelope.decode``) is kept as the last one.
     """
     # F1 as a generator: each record yields its event, or nothing when the
     # payload did not decode. Besides dropping null events, the Generate is a
@@ -29,8 +30,9 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
     # column, so Catalyst cannot inline the parser into the filter (which
     # would run it once per predicate term instead of once per row).
     # (explode of a NULL array yields no row: no lambda-based array filter.)
+    more = [schema.REST] if schema.REST in decoded.columns else []
     events = decoded.select(
-        "partition", "offset",
+        "partition", "offset", *more,
         F.explode(F.when(F.col("event").isNotNull(), F.array(F.col("event")))).alias("event"))
     ev = F.col("event")
     ts = envelope.millis_to_ts(ev.getField("event_timestamp"))
@@ -46,7 +48,7 @@ def flatten(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),
     ]
-    return kept.select(*cols)
+    return kept.select(*cols, *more)
 
 
 def reject_reason(floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> Column:
@@ -67,9 +69,10 @@ def rejects(decoded: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) ->
 
 
 def transform(records: DataFrame, payload_format: str = "json",
-              floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> DataFrame:
-    """J2's pure part: broker records -> Bronze rows."""
-    return flatten(envelope.decode(records, payload_format), floor)
+              floor: str = schema.DEFAULT_TIMESTAMP_FLOOR, keep_rest: bool = False) -> DataFrame:
+    """J2's pure part: broker records -> Bronze rows (X1, X2, F1-F3, P1-P3),
+    with ``keep_rest`` the ``rest`` of each event behind them."""
+    return flatten(envelope.decode(records, payload_format, keep_rest), floor)
 
 
 def apply_floor(bronze: DataFrame, floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> DataFrame:

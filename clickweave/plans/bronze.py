@@ -17,17 +17,20 @@ from clickweave.sinks import tables as sinks
 
 
 def bronze_batch(records: DataFrame, payload_format: str = "json",
-                 floor: str = schema.DEFAULT_TIMESTAMP_FLOOR) -> DataFrame:
-    return ops.transform(records, payload_format, floor)
+                 floor: str = schema.DEFAULT_TIMESTAMP_FLOOR, keep_rest: bool = False) -> DataFrame:
+    return ops.transform(records, payload_format, floor, keep_rest)
 
 
 def load_bronze(records: DataFrame, table: str, payload_format: str = "json",
-                floor: str = schema.DEFAULT_TIMESTAMP_FLOOR, load_id: str | None = None, fmt: str = "parquet") -> None:
-    """Append decoded records to the raw table (creating it if missing); a
-    retry with the same ``load_id`` replaces the load."""
+                floor: str = schema.DEFAULT_TIMESTAMP_FLOOR, load_id: str | None = None, fmt: str = "parquet",
+                keep_rest: bool = False) -> None:
+    """Append decoded records to the raw table (creating it if missing, with a
+    ``rest`` column if ``keep_rest``); a retry with the same ``load_id`` replaces
+    the load. A table that has a ``rest`` column gets it from every load."""
     spark = records.sparkSession
-    sinks.create_bronze_table(spark, table, fmt=fmt)
-    sinks.append(bronze_batch(records, payload_format, floor), table, load_id)
+    sinks.create_bronze_table(spark, table, fmt=fmt, keep_rest=keep_rest)
+    held = schema.REST in spark.table(table).columns
+    sinks.append(bronze_batch(records, payload_format, floor, held), table, load_id)
 
 
 def load_bronze_split(records: DataFrame, table: str, rejects_table: str, load_id: str, payload_format: str = "json",
@@ -41,7 +44,8 @@ def load_bronze_split(records: DataFrame, table: str, rejects_table: str, load_i
     spark = records.sparkSession
     sinks.create_bronze_table(spark, table, fmt=fmt)
     sinks.create_rejects_table(spark, rejects_table, fmt=fmt)
-    decoded = envelope.decode(records, payload_format).persist(StorageLevel.DISK_ONLY)
+    held = schema.REST in spark.table(table).columns
+    decoded = envelope.decode(records, payload_format, held).persist(StorageLevel.DISK_ONLY)
     try:
         reason = ops.reject_reason(floor)
         total, bad = decoded.select(F.count(F.lit(1)), F.count(reason)).first()

@@ -7,6 +7,7 @@ Each reads the driver's tables (through the deterministic Bronze view of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from clickweave.operators import audit, bronze, gold, maintenance, profile, qual
 from clickweave.operators import silver as silver_ops
 from clickweave.plans.silver import cleanse, silver
 from clickweave.plans import fixture
+from clickweave.session import shared_dir
 from clickweave.sources.tables import for_day
+from clickweave.streaming import ingest
 
 # Parameters of the registered queries (fixed so results are reproducible).
 SAMPLE_DAY = "2024-01-15"
@@ -69,6 +72,37 @@ def decode_envelope(spark, sf_dir):
     )
 
 
+# Fields that the flat layout has no column for, as paths into ``rest``.
+REST_PATHS = ("device.browser_version", "device.app_version", "device.screen_resolution", "geo.ip_address", "page.title",
+              "properties.product_name", "properties.category", "properties.click_element", "properties.error_message")
+
+
+def bronze_rest(spark, sf_dir):
+    """Flat rows, and from their VARIANT column the fields that have no place there."""
+    rows = bronze.transform(fixture.full_envelope_view(spark, sf_dir), keep_rest=True)
+    rest = F.col(schema.REST)
+    return rows.select(
+        "event_id", "event_type", "os", "kafka_offset",
+        *[F.try_variant_get(rest, f"$.{p}", "string").alias(p.rpartition(".")[2]) for p in REST_PATHS],
+        F.try_variant_get(rest, "$.experiment.arm", "bigint").alias("arm"),
+        F.try_variant_get(rest, "$.device.os", "string").alias("os_again"))
+
+
+_REPLAYED = ("event_id", "event_type", "event_timestamp", "device_type", "city", "price", "order_value", "event_date")
+
+
+def stream_without_replays(spark, sf_dir):
+    """The raw stream job over all events, replays taken out by its state."""
+    folder = shared_dir(spark, f"replays-{uuid.uuid4().hex}")
+    spark.createDataFrame([], schema.BRONZE).write.parquet(f"{folder}/rows/batch=-1")  # there may be no batch
+    query = ingest.start_bronze_foreach_batch(
+        fixture.envelope_stream(spark, sf_dir),
+        lambda batch, i: batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={i}"),
+        checkpoint=f"{folder}/state", trigger="availableNow", drop_replays="1 day")
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").select(*_REPLAYED)
+
+
 def encode_envelope(spark, sf_dir):
     rows = _bronze(spark, sf_dir)
     records = envelope.encode(rows, keep=("kafka_offset",))
@@ -256,6 +290,6 @@ QUERIES: dict[str, Query] = {
         dq_enum_domains, dq_conditional_fields, dq_required_fields,
         event_mix, ingestion_lag, auth_share,
         session_facts, daily_kpis, weekly_kpis, silver_sessions_carry, silver_stale_days,
-        decode_by_schema_id, bronze_rejects, dq_row_violations,
+        decode_by_schema_id, bronze_rejects, dq_row_violations, bronze_rest, stream_without_replays,
     )
 }

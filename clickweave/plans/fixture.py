@@ -80,11 +80,10 @@ def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _session_view(spark, "bronze", sf_dir, lambda: _build_bronze(spark, sf_dir))
+    return _session_view(spark, "bronze", sf_dir, lambda: _build_bronze(load(spark, sf_dir, "events")))
 
 
-def _build_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events")
+def _build_bronze(ev: DataFrame) -> DataFrame:
     id_, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     k = F.get_json_object("props", "$.k").cast("int")
     base = ev.select(
@@ -153,13 +152,54 @@ def envelope_view(spark: SparkSession, sf_dir: str, schema_id: int = 1) -> DataF
     ``id % 101 == 1`` is the JSON cut to 60 characters.
     """
     return _session_view(spark, f"envelope{int(schema_id)}", sf_dir,
-                         lambda: _build_envelope(spark, sf_dir, schema_id))
+                         lambda: _build_envelope(bronze_with_id(spark, sf_dir), schema_id))
 
 
-def _build_envelope(spark: SparkSession, sf_dir: str, schema_id: int) -> DataFrame:
+def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as a stream over the ``events`` file."""
+    events = (spark.readStream.schema(load(spark, sf_dir, "events").schema)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return _build_envelope(_build_bronze(events), 1)
+
+
+def full_envelope_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker records whose events also have the fields that the flat layout
+    leaves out, and an ``experiment`` that no layout knows (see FIXTURES.md)."""
+    return _session_view(spark, "full", sf_dir, lambda: _build_full(spark, sf_dir))
+
+
+def _build_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickweave.functions import envelope
+
+    id_, product = F.col("id"), F.col("product_id")
+
+    def tag(letter: str, number: Column) -> Column:
+        return F.concat(F.lit(letter), number.cast("string"))
+
+    more = {
+        "device.browser_version": F.when(F.col("browser").isNotNull(), tag("v", id_ % 7)),
+        "device.app_version": F.when(F.col("source") != "web", tag("a", id_ % 4)),
+        "device.screen_resolution": F.when(id_ % 3 != 0, tag("1080x", id_ % 5)),
+        "geo.ip_address": tag("10.0.0.", id_ % 250),
+        "page.title": tag("T", F.col("anonymous_id")),
+        "properties.product_name": F.when(product.isNotNull(), F.concat(F.lit("N"), product)),
+        "properties.category": F.when(product.isNotNull(), tag("C", id_ % 3)),
+        "properties.click_element": F.when(F.col("event_type") == "click", tag("b", id_ % 6)),
+        "properties.error_message": F.when(F.col("event_type") == "error", tag("E", id_ % 9)),
+        "experiment": F.when(id_ % 2 == 0, F.struct((id_ % 5).alias("arm"))),
+    }
+    event = envelope.event_struct()
+    for path, value in more.items():
+        event = event.withField(path, value)
+    return bronze_with_id(spark, sf_dir).select(
+        F.col("session_id").cast("binary").alias("key"),
+        F.concat(envelope.header(1), F.to_json(event).cast("binary")).alias("value"),
+        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
+
+
+def _build_envelope(rows: DataFrame, schema_id: int) -> DataFrame:
     from clickweave.functions import envelope
 
-    rows = bronze_with_id(spark, sf_dir)
     payload = envelope.event_json()
     id_ = F.col("id")
     payload = (F.when(id_ % 101 == 0, F.lit("not json{"))

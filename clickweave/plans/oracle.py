@@ -290,6 +290,27 @@ SELECT session_id AS key, kafka_partition, kafka_offset,
   CASE WHEN {_CORRUPT} THEN 'not_decoded' ELSE 'before_floor' END AS reason
 FROM bronze_id WHERE {_CORRUPT} OR {_ms('event_timestamp')} <= TIMESTAMP '{LATE_FLOOR}'""")
 
+_FLOOR = f"{_ms('event_timestamp')} > TIMESTAMP '{schema.DEFAULT_TIMESTAMP_FLOOR}'"
+
+_REST = _with(BRONZE_CTE, f"""
+SELECT event_id, event_type, os, kafka_offset,
+  CASE WHEN browser IS NOT NULL THEN 'v' || CAST(id % 7 AS VARCHAR) END AS browser_version,
+  CASE WHEN source <> 'web' THEN 'a' || CAST(id % 4 AS VARCHAR) END AS app_version,
+  CASE WHEN id % 3 <> 0 THEN '1080x' || CAST(id % 5 AS VARCHAR) END AS screen_resolution,
+  '10.0.0.' || CAST(id % 250 AS VARCHAR) AS ip_address,
+  'T' || anonymous_id AS title,
+  'N' || product_id AS product_name,
+  CASE WHEN product_id IS NOT NULL THEN 'C' || CAST(id % 3 AS VARCHAR) END AS category,
+  CASE WHEN event_type = 'click' THEN 'b' || CAST(id % 6 AS VARCHAR) END AS click_element,
+  CASE WHEN event_type = 'error' THEN 'E' || CAST(id % 9 AS VARCHAR) END AS error_message,
+  CASE WHEN id % 2 = 0 THEN CAST(id % 5 AS BIGINT) END AS arm,
+  CAST(NULL AS VARCHAR) AS os_again
+FROM bronze_id WHERE {_FLOOR}""")
+
+_REPLAYS = _with(BRONZE_CTE, f"""
+SELECT DISTINCT event_id, event_type, {_ms('event_timestamp')} AS event_timestamp, device_type, city, price, order_value, event_date
+FROM bronze_id WHERE NOT ({_CORRUPT}) AND {_FLOOR}""")
+
 _LOADS = BRONZE_CTE + """,
 now AS (SELECT event_date, CASE WHEN kafka_offset >= 1000000000 THEN 'late-' ELSE 'load-' END || CAST(kafka_partition AS VARCHAR) AS load_id,
                count(*) AS n FROM bronze WHERE event_date IS NOT NULL GROUP BY ALL),
@@ -379,6 +400,8 @@ ORACLE_SQL: dict[str, str] = {
     "decode_by_schema_id": _VERSIONS,
     "bronze_rejects": _REJECTS,
     "dq_row_violations": _VIOLATIONS,
+    "bronze_rest": _REST,
+    "stream_without_replays": _REPLAYS,
     "daily_kpis": _kpis(1),
     "weekly_kpis": _kpis(7),
 }

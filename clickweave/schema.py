@@ -166,6 +166,10 @@ SILVER = T.StructType(
 SILVER_COLUMNS = tuple(f.name for f in SILVER.fields)
 
 
+# Optional column of a raw table: what the flat layout has no column for.
+REST = "rest"
+
+
 def ddl(schema: T.StructType) -> str:
     """Column list for CREATE TABLE, derived from a StructType."""
     return ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -52,9 +52,12 @@ def create_table(spark: SparkSession, name: str, table_schema: T.StructType,
 LOAD_ID = "load_id"
 
 
-def create_bronze_table(spark: SparkSession, name: str, location: str | None = None, fmt: str = "parquet") -> None:
-    """The raw table: its contract columns, by day and load."""
-    loads = T.StructType([*schema.BRONZE.fields, T.StructField(LOAD_ID, T.StringType())])
+def create_bronze_table(spark: SparkSession, name: str, location: str | None = None, fmt: str = "parquet",
+                        keep_rest: bool = False) -> None:
+    """The raw table: its contract columns, by day and load; with ``keep_rest``
+    a VARIANT column for what these columns leave out."""
+    rest = [T.StructField(schema.REST, T.VariantType())] if keep_rest else []
+    loads = T.StructType([*schema.BRONZE.fields, *rest, T.StructField(LOAD_ID, T.StringType())])
     create_table(spark, name, loads, partition_by=f"event_date, {LOAD_ID}", location=location, fmt=fmt)
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pytest
 from conftest import SF001, bronze_rows
+from pyspark.sql import functions as F
 
 from clickweave import schema
 from clickweave.functions import envelope
@@ -127,3 +129,44 @@ def test_avro_path_needs_connector(spark):
 def test_unknown_format_rejected(spark):
     with pytest.raises(ValueError):
         envelope.parse_payload(envelope.strip_header(_records(spark, [HDR])["value"]), "xml")
+
+
+def _rest(spark, *payloads):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(payloads)], "i int, p string")
+    rest = df.select("i", F.try_parse_json("p").alias("v")).select("i", envelope.rest_of(F.col("v")).alias("r"))
+    return [r[0] and json.loads(r[0]) for r in rest.sort("i").select(F.to_json("r")).collect()]
+
+
+def test_rest_is_what_the_flat_layout_drops(spark):
+    flat = {"event_id": "a", "source": "web", "device": {"os": "x", "browser": "y"}, "properties": {"price": 1.5}}
+    more = {"event_id": "a", "tags": ["p", {"q": 1}], "device": {"os": "x", "app_version": "9", "gpu": {"ram": 8}},
+            "geo": {"country": "IN", "ip_address": None}, "page": None, "b": None, "properties": {"category": "c"}}
+    assert _rest(spark, json.dumps(flat), json.dumps(more)) == [
+        None, {"tags": ["p", {"q": 1}], "device": {"app_version": "9", "gpu": {"ram": 8}}, "properties": {"category": "c"}}]
+
+
+def test_rest_of_awkward_payloads(spark):
+    assert _rest(spark, None, "", "{", "[1]", "5", "{}", '{"a": 1, "a": 2}', '{"device": 5, "geo": [1], "x y": ""}') == [
+        None, None, None, None, None, None, None, {"device": 5, "geo": [1], "x y": ""}]
+
+
+def test_rest_column_of_a_raw_table(spark):
+    from clickweave.plans.bronze import load_bronze, load_bronze_split
+
+    table, bad = f"raw_{uuid.uuid4().hex[:8]}", f"bad_{uuid.uuid4().hex[:8]}"
+    records = fixture.full_envelope_view(spark, SF001)
+    load_bronze(records, table, load_id="one", keep_rest=True)
+    load_bronze_split(records.limit(30), table, bad, "two")  # the table asks for it
+    plain = bronze.transform(records)
+    got = spark.table(table).where("load_id = 'one'")
+    assert got.select(*plain.columns).exceptAll(plain).count() == 0 and got.count() == plain.count()
+    assert spark.table(table).where("load_id = 'two' AND rest IS NULL").count() == 0
+    one = got.select("event_id", F.try_variant_get("rest", "$.geo.ip_address", "string").alias("ip"))
+    assert one.where("ip = concat('10.0.0.', event_id % 250)").count() == plain.count()
+    # the scan reads the one field of the VARIANT that is asked for
+    scan = one._jdf.queryExecution().executedPlan().toString()
+    assert "rest#" in scan and "ReadSchema" in scan
+    schema_read = scan[scan.index("ReadSchema"):].splitlines()[0]
+    assert "rest:struct<0:string>" in schema_read, schema_read
+    with pytest.raises(ValueError):
+        envelope.decode(records, "avro", keep_rest=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from conftest import SF001
@@ -107,3 +108,43 @@ def test_default_checkpoint_under_shared_dir(spark):
     base = shared_dir(spark)
     assert shared_dir(spark, "streams", "x") == os.path.join(base, "streams", "x")
     assert spark.conf.get("spark.checkpoint.dir") == base
+
+
+def _replay_stream(spark, src, ckpt, table, delay):
+    q = ingest.start_bronze_stream(
+        stream.read_records(spark, "parquet", path=src, max_files_per_trigger=1), table,
+        checkpoint=ckpt, trigger="availableNow", drop_replays=delay)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    return sorted(r[0] for r in spark.table(table).select("event_id").collect())
+
+
+def test_replays_within_the_delay_are_dropped_over_a_restart(spark, scratch):
+    src, ckpt, table = os.path.join(scratch, "in"), os.path.join(scratch, "ckpt"), _table()
+    records = fixture.envelope_view(spark, SF001).where(F.col("offset") < fixture.REPLAY_OFFSET)
+    ids = sorted(r[0] for r in bronze.transform(records).select("event_id").collect())
+    assert len(ids) == len(set(ids))
+    part = F.col("offset") % 3
+    _write_records(spark, src, records.where(part == 0).union(records.where(part == 0)))  # within a batch
+    assert _replay_stream(spark, src, ckpt, table, "1 hour") == [
+        r[0] for r in bronze.transform(records.where(part == 0)).select("event_id").sort("event_id").collect()]
+    # older and newer records in one batch: late events stay, replays go
+    _write_records(spark, src, records.where(part < 2).repartition(1))
+    _write_records(spark, src, records.repartition(1))
+    assert _replay_stream(spark, src, ckpt, table, "1 hour") == ids
+    assert _replay_stream(spark, src, ckpt, table, "1 hour") == ids  # nothing new
+
+
+def test_replays_beyond_the_delay_pass_and_state_is_let_go(spark, scratch):
+    src, ckpt, table = os.path.join(scratch, "in"), os.path.join(scratch, "ckpt"), _table()
+    records = fixture.envelope_view(spark, SF001).where(F.col("offset") < fixture.REPLAY_OFFSET)
+    first, other = records.where("offset BETWEEN 1 AND 40"), records.where("offset BETWEEN 41 AND 80")
+    n = bronze.transform(first).count()
+    _write_records(spark, src, first)
+    _replay_stream(spark, src, ckpt, table, "1 second")
+    time.sleep(2)
+    _write_records(spark, src, other)  # moves the batch time on
+    held = _replay_stream(spark, src, ckpt, table, "1 second")
+    _write_records(spark, src, first)
+    got = _replay_stream(spark, src, ckpt, table, "1 second")
+    assert len(got) == len(held) + n and len(set(got)) == len(held)
