@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -90,3 +91,33 @@ def jaccard_classes(rows: list[tuple[int, str]], threshold: float) -> dict[int,
             if common >= threshold * (len(s) + len(sets[j]) - common):
                 groups.join(i, j)
     return {i: groups.find(i) for i in sets}
+
+
+def licences(files: list[tuple], templates, needs_all, threshold: float) -> list[tuple]:
+    """(key, licence, score) by scoring every unit of every file."""
+    def terms(text):
+        return set(re.findall(r"[a-z0-9]+(?:[.][0-9]+)*", text.lower()))
+
+    def statements(text):
+        return re.sub(r"([^ \n][.!?]) +([A-Z])", r"\1\n\2", text).split("\n")
+
+    have = [terms(t or "") for _, t in files]
+    log = lambda n: math.log((1 + len(files)) / (1 + n)) + 1
+    vectors = [(name, terms(t), needs_all(t)) for name, t in templates]
+    idf = {t: log(sum(t in h for h in have)) for _, v, _ in vectors for t in v}
+    out = []
+    for key, text in files:
+        best = []
+        paragraphs = re.split(r"\n(?:[^A-Za-z0-9\n]*\n)+", text or "")
+        joined = [s for p in paragraphs for s in statements(re.sub(r"\n[^A-Za-z0-9\n]*", " ", p))]
+        for unit in {*statements(text or ""), *paragraphs, *joined}:
+            mine = terms(unit)
+            square = sum(idf.get(t, log(0)) ** 2 for t in mine)
+            for name, v, whole in vectors:
+                dot = sum(idf[t] ** 2 for t in mine & v)
+                score = dot and round(dot / math.sqrt(square * sum(idf[t] ** 2 for t in v)), 6)
+                if score >= threshold and (not whole or v <= mine):
+                    best.append((-score, name))
+        if best:
+            out.append((key, min(best)[1], -min(best)[0]))
+    return sorted(out)

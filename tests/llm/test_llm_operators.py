@@ -8,6 +8,7 @@ import hashlib
 import math
 import os
 import sys
+import textwrap
 
 import duckdb
 import numpy as np
@@ -212,12 +213,56 @@ def test_licences_of_repeated_rows_score_as_one(spark):
     files = [(1, "a/LICENSE", "MIT License"), (1, "a/LICENSE", "MIT License"), (2, "a/x.c", "int x;")] + [
         (3, "b/LICENSE", "Released under the MIT License.")] * 3
     files += [(i, f"c/{i}.c", H.prose(i, 20)) for i in range(10, 40)]
-    rows = licences.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()
+    rows = licences.scan(spark.createDataFrame(files, "doc_id long, path string, text string"), licences.NOTICES).collect()
     got = {r.doc_id: (r.licence, r.own_score) for r in rows}
     assert len(rows) == len(files)
     assert got[1] == got[2] == (None, None) and got[3] == ("MIT", 1.0)
 
 
+def test_licence_files_headers_and_spdx_lines_are_found(spark):
+    passages, titles = dict(licences.PASSAGES), dict(licences.TITLES)
+
+    def wrapped(text, mark, width=60):
+        return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+    mit = "MIT License\n\nCopyright (c) 2024 A. Person\n\n" + wrapped(passages["MIT"], "") + "\n\n" + H.prose(1, 60)
+    files = {
+        "mit/LICENSE": (mit, "MIT"), "mit/x.c": (H.prose(2, 30), "MIT"),
+        "mit2/LICENSE": (wrapped(passages["MIT"], "") + "\n\nThe above copyright notice", "MIT"),
+        "apache/LICENSE": ("   Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\n" + H.prose(3, 90), "Apache-2.0"),
+        "gpl/COPYING": (titles["GPL-3.0"].replace(" Version", "\n   Version") + "\n\n" + H.prose(4, 40), "GPL-3.0"),
+        "src/gpl.c": ("/*\n * This file is part of X.\n *\n" + wrapped(passages["GPL-3.0"], " * ") + "\n *\n */\nint x;", "GPL-3.0"),
+        "src/gpl2.py": ("# X, a tool\n#\n" + wrapped(passages["GPL-2.0"], "# ", 45) + "\n\nimport os", "GPL-2.0"),
+        "src/lesser.c": (wrapped(passages["LGPL-3.0"], "// "), "LGPL-3.0"),
+        "src/mpl.js": (wrapped(passages["MPL-2.0"], "// ", 70) + "\nlet x", "MPL-2.0"),
+        "src/a.go": ("// SPDX-License-Identifier: MIT\npackage a", "MIT"),
+        "src/b.go": ("// SPDX-License-Identifier: Apache-2.0\npackage b", "Apache-2.0"),
+        "src/c.go": ("// SPDX-License-Identifier: AGPL-3.0-or-later\npackage c", "AGPL-3.0"),
+        "src/d.go": ("// SPDX-License-Identifier: CC-BY-NC-4.0", "CC-BY-NC-4.0"),
+        "src/e.go": ("// SPDX-License-Identifier: ISC\npackage e", None),
+        "src/f.txt": ("We talked about a licence of the free press, version 3 of it, and software.", None),
+        "src/de.txt": ("Wir gehen\nmit\ndem Hund.", None), "src/g.txt": (H.prose(5, 400), None), "src/h.txt": (None, None), "src/i.txt": ("\n\n \n", None),
+        # a wrapped notice in the middle of a paragraph
+        "src/j.txt": (H.prose(6, 20) + ". Licensed under\nthe Apache License,\nVersion 2.0. " + "Then " + H.prose(7, 20), "Apache-2.0"),
+    }
+    plain = [(100 + i, f"other/{i}.c", H.prose(i, 25)) for i in range(60)]
+    rows = [(i, p, t) for i, (p, (t, _)) in enumerate(files.items())] + plain
+    got = {r.path: r.licence for r in licences.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert {p: got[p] for p in files} == {p: want for p, (_, want) in files.items()}
+    assert not any(got[p] for _, p, _ in plain)
+
+
+def test_files_far_from_all_templates_lose_nothing(spark):
+    """The tests before the cut into units keep every file that scores."""
+    table = spark.read.parquet(f"{SF001}/documents.parquet").select(F.col("doc_id").alias("key"), "text")
+    texts = [(10**6 + i, t[: len(t) * 3 // 4]) for i, (_, t) in enumerate(licences.TEMPLATES)]
+    files = table.unionByName(spark.createDataFrame(texts, "key long, text string"))
+    got = sorted(map(tuple, licences.own_licences(files).collect()))
+    slow = H.licences([tuple(r) for r in files.collect()], licences.TEMPLATES, licences.needs_all, 0.7)
+    assert [g[:2] for g in got] == [w[:2] for w in slow] and len(got) > 20
+    assert all(abs(g[2] - w[2]) < 2e-6 for g, w in zip(got, slow, strict=True))
+
+
 # -- 5 ------------------------------------------------------------------------
 def test_url_filter_is_as_of_the_fetch(spark):
     entries = spark.createDataFrame([
