@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, copies int, bucket int, d string"
 WORDS = "the quick brown fox jumps over the lazy dog while many small birds sing in old green trees near a river".split()
@@ -121,3 +121,55 @@ def licences(files: list[tuple], templates, needs_all, threshold: float) -> list
         if best:
             out.append((key, min(best)[1], -min(best)[0]))
     return sorted(out)
+
+
+def languages(learned: list[tuple[str, str]], texts: list, smoothing: float = 0.5) -> list[tuple[str, float]]:
+    """(language, posterior) of each text, scored word by word from plain counts
+    over all (text, lang) rows; for vocabularies that no limit cuts."""
+    def words(text):
+        return re.findall(r"[^\W\d_]+", text.lower())
+
+    def grams(word, n):
+        marked = f"<{word}>"
+        return [marked[i:i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
+
+    langs = sorted({lang for _, lang in learned})
+    counts = {lang: [Counter() for _ in range(6)] for lang in langs}  # 0: words, n: n-grams
+    for text, lang in learned:
+        counts[lang][0].update(words(text))
+    for lang in langs:
+        for word, times in counts[lang][0].items():
+            for n in range(1, 6):
+                for g in grams(word, n):
+                    counts[lang][n][g] += times
+    kinds = [set().union(*(counts[lang][n] for lang in langs)) for n in range(6)]
+    totals = {lang: [sum(c.values()) for c in counts[lang]] for lang in langs}
+
+    def log(lang, n, item):
+        return math.log((counts[lang][n][item] + smoothing) / (totals[lang][n] + smoothing * len(kinds[n])))
+
+    def word_score(word):
+        if word in kinds[0]:
+            return [log(lang, 0, word) for lang in langs]
+        for n in range(5, 0, -1):
+            known = [g for g in grams(word, n) if g in kinds[n]]
+            if known:
+                return [sum(log(lang, n, g) for g in known) / len(known) for lang in langs]
+        return [0.0] * len(langs)
+
+    share = [math.log(sum(x == lang for _, x in learned) / len(learned)) for lang in langs]
+    cache: dict[str, list[float]] = {}
+    out = []
+    for text in texts:
+        found = [w for w in words(text or "") if any(map(str.isalpha, w))]
+        if not found:
+            out.append(("und", 0.0))
+            continue
+        total = list(share)
+        for w in found:
+            if w not in cache:
+                cache[w] = word_score(w)
+            total = [a + b for a, b in zip(total, cache[w], strict=True)]
+        best = max(total)
+        out.append((langs[total.index(best)], 1 / sum(math.exp(t - best) for t in total)))
+    return out

@@ -167,6 +167,22 @@ def test_language_held_out_accuracy(spark):
     assert found.where("score < 0 OR score > 1").count() == 0
 
 
+def test_language_equals_a_plain_scorer(spark):
+    """The registered query over a whole table against counts in dictionaries."""
+    import zlib
+
+    from clickweave.llm import queries
+
+    rows = {r.doc_id: (r.text, r.lang) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    out = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in rows}
+    learned = [rows[i] for i in rows if not out[i] and None not in rows[i]]
+    want = dict(zip(rows, H.languages(learned, [t for t, _ in rows.values()]), strict=True))
+    got = {r.doc_id: r for r in queries.QUERIES["op3_language"](spark, SF001).collect()}
+    assert set(got) == set(want)
+    for i, r in got.items():
+        assert (r.held_out, r.lang_pred) == (out[i], want[i][0]) and abs(r.score - want[i][1]) < 1e-3
+
+
 def test_language_awkward_rows(docs, empty):
     found = {(r.doc_id, r.text): (r.lang_pred, r.score) for r in language.identify(docs).collect()}
     for (_, text), (lang, score) in found.items():
