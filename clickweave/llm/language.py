@@ -1,12 +1,15 @@
 """Language identification by words first, then shorter and shorter n-grams.
 
-Training data: documents with a text and a language. From each language a
-bounded, documented sample of ``DOCS_PER_LANGUAGE`` documents (in expectation,
-by a hash of the id) is counted; the share of each language is counted over
-all documents. The model keeps, in all, ``WORDS`` words and ``GRAMS`` n-grams
-of each order, split evenly over the languages, most frequent first: that is
-the bound of what is broadcast. What the model does not know is backed off,
-never skipped.
+Training data: documents with a text and a language; every language that
+occurs is learned. From each a bounded, documented sample of
+``DOCS_PER_LANGUAGE`` documents (in expectation, by a hash of the id) is
+counted; the share of each language is counted over all documents. Each
+language names its most frequent items, ``WORDS`` words and ``GRAMS`` n-grams
+of each order in all; a named item is kept with its counts in every language.
+The tables are sparse, a number for each language an item was counted in, so
+what is broadcast is bounded by WORDS, GRAMS and the number of languages. What
+the model does not know is backed off, never skipped. Words of more than
+``SPELT_OUT`` letters are learned like others, under a digest of fixed size.
 
 Scoring, for every word of the whole text: a word the model knows adds its log
 frequency in each language. For an unseen word the n-grams (of the word with
@@ -18,12 +21,14 @@ the first in code-point order; the score is its posterior probability.
 
 Defined results: null text, text without a letter, or a model without any
 language give ``und`` with score 0; repeated rows are scored alike; an empty
-table gives an empty result; other columns are ignored (``keep_known`` keeps
-them). Only the text is an input of a prediction.
+table gives an empty result; very long texts are scored whole, in parts of
+``PART`` words; other columns are ignored (``keep_known`` keeps them). Only the
+text is an input of a prediction.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -36,13 +41,14 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import checkpointed, read_table, release, ship
 
 DOCS_PER_LANGUAGE = 4_000
-LANGUAGES = 256      # the most frequent ones are learned
 WORDS = 120_000
 GRAMS = 40_000       # of each order
 ORDERS = (5, 4, 3, 2, 1)
-LONGEST_WORD = 40    # longer runs of letters are not learned as words
+SPELT_OUT = 40       # letters; the model holds longer words by their digest
 SMOOTHING = 0.5
-CACHE = 50_000       # unseen words whose scores a task remembers
+CACHE = 150_000      # words whose scores a task remembers, with many languages
+CACHE_CELLS = 4_000_000  # fewer: so many scores in all
+PART = 10_000        # words of a text that are scored at once
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -57,13 +63,39 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
 
 
+def key_of(word: str) -> str:
+    """What the model knows a word by: no digest is a word, for its mark is no letter."""
+    return word if len(word) <= SPELT_OUT else "#" + hashlib.md5(word.encode()).hexdigest()
+
+
+class Sparse:
+    """A table of numbers by (item, language), most of which equal their
+    language's ``base``; indexed by one item or a list of items."""
+
+    def __init__(self, base: np.ndarray, items: np.ndarray, langs: np.ndarray, values: np.ndarray, size: int):
+        order = np.argsort(items, kind="stable")
+        self.base, self.langs, self.values = base, langs[order].astype(np.int32), values[order].astype(np.float32)
+        self.start = np.searchsorted(items[order], np.arange(size + 1))
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def __getitem__(self, rows) -> np.ndarray:
+        one = np.ndim(rows) == 0
+        out = np.tile(self.base, (1 if one else len(rows), 1))
+        for i, r in enumerate([rows] if one else rows):
+            part = slice(self.start[r], self.start[r + 1])
+            out[i, self.langs[part]] = self.values[part]
+        return out[0] if one else out
+
+
 def _count(kind: str):
     """Per batch counts, so that what is shuffled is pre-aggregated."""
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                seen[lang].update(w for w in words_of(text) if len(w) <= LONGEST_WORD)
+                seen[lang].update(words_of(text))
             rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
             yield pd.DataFrame(rows, columns=["lang", "item", "n"])
 
@@ -80,10 +112,13 @@ def _count(kind: str):
 
 
 def _top(counts: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """The ``limit`` most frequent items of each group of ``keys`` (the language
+    first), with the counts of an item that any language names in all of them."""
     w = Window.partitionBy(*keys).orderBy(F.col("n").desc(), "item")
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    kept = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit).drop("_r")
-    return kept.join(totals, keys)
+    named = (counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit)
+             .select(*keys[1:], "item").distinct())
+    return counts.join(named, [*keys[1:], "item"], "left_semi").join(totals, keys)
 
 
 def fit(docs: DataFrame) -> dict:
@@ -93,22 +128,24 @@ def fit(docs: DataFrame) -> dict:
     labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     shares = {r["lang"]: r["n"] for r in
               labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
+              .collect()}  # the model's classes: a row for each language
     langs = sorted(shares)
     nothing = ({}, np.zeros((0, len(langs)), np.float32))
     model: dict = {"langs": langs, "prior": np.zeros(0), "words": nothing, "grams": dict.fromkeys(ORDERS, nothing)}
     if not langs:
         return model
     model["prior"] = np.log(np.array([shares[x] for x in langs]) / sum(shares.values()))
-    part = F.create_map(*[F.lit(v) for x in langs for v in (x, min(1.0, DOCS_PER_LANGUAGE / shares[x]))])
+    part = docs.sparkSession.createDataFrame(
+        [(x, min(1.0, DOCS_PER_LANGUAGE / n)) for x, n in shares.items()], "lang string, part double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 24)) / float(1 << 24)
-    sample = labelled.where(F.col("lang").isin(langs)).where(draw < part[F.col("lang")])
+    sample = labelled.join(part, "lang").where(draw < F.col("part")).select("doc_id", "text", "lang")
     words = (sample.mapInPandas(_count("words"), "lang string, item string, n long")
              .groupBy("lang", "item").agg(F.sum("n").alias("n")))
     words = checkpointed(words)
+    short = F.when(F.length("item") > SPELT_OUT, F.concat(F.lit("#"), F.md5("item"))).otherwise(F.col("item"))
     at = {x: i for i, x in enumerate(langs)}
 
-    def table(rows) -> tuple[dict[str, int], np.ndarray]:
+    def table(rows) -> tuple[dict[str, int], Sparse]:
         """Row numbers of the items, and their log frequencies by language."""
         row: dict[str, int] = {}
         seen: list[tuple[int, int, int]] = []
@@ -116,18 +153,17 @@ def fit(docs: DataFrame) -> dict:
         for lang, item, n, all_n in rows:
             seen.append((row.setdefault(item, len(row)), at[lang], n))
             total[at[lang]] = all_n
-        counts = np.zeros((len(row), len(langs)), np.float32)
-        if seen:
-            where = np.array(seen, dtype=np.int64)
-            counts[where[:, 0], where[:, 1]] = where[:, 2]
-        return row, np.log((counts + SMOOTHING) / (total + SMOOTHING * max(1, len(row)))).astype(np.float32)
+        where = np.array(seen, dtype=np.int64).reshape(-1, 3)
+        all_ = total + SMOOTHING * max(1, len(row))
+        return row, Sparse(np.log(SMOOTHING / all_).astype(np.float32), where[:, 0], where[:, 1],
+                           np.log((where[:, 2] + SMOOTHING) / all_[where[:, 1]]), len(row))
 
     def rows(df: DataFrame, *names: str) -> Iterator[tuple]:
         got = df.select(*names).toArrow()
         return zip(*[got.column(c).to_pylist() for c in names], strict=True)
 
     per = max(1, WORDS // len(langs))
-    model["words"] = table(rows(_top(words, ["lang"], per), "lang", "item", "n", "total"))
+    model["words"] = table(rows(_top(words.select("lang", short.alias("item"), "n"), ["lang"], per), "lang", "item", "n", "total"))
     per = max(1, GRAMS // len(langs))
     grams = (words.mapInPandas(_count("grams"), "lang string, size int, item string, n long")
              .groupBy("lang", "size", "item").agg(F.sum("n").alias("n")))
@@ -139,27 +175,28 @@ def fit(docs: DataFrame) -> dict:
 
 
 class Scorer(dict):
-    """word -> row of ``scores``; unseen words are scored when first met."""
+    """word -> row of ``scores``; a word is scored when a task first meets it."""
 
     def __init__(self, model: dict):
+        super().__init__()
         self.model, self.width = model, len(model["langs"])
-        known, scores = model["words"]
-        super().__init__(known)
-        self.known = len(known)
-        self.scores = np.concatenate([scores, np.zeros((1024, self.width), np.float32)])
+        self.most = max(1_000, min(CACHE, CACHE_CELLS // max(1, self.width)))
+        self.scores = np.zeros((1024, self.width), np.float32)
         self.letters = np.ones(len(self.scores), dtype=bool)
-        self.extra: list[str] = []
 
     def __missing__(self, word: str) -> int:
-        at = self.known + len(self.extra)
+        at = len(self)
         if at == len(self.scores):
-            more = max(1024, len(self.extra))
-            self.scores = np.concatenate([self.scores, np.zeros((more, self.width), np.float32)])
-            self.letters = np.concatenate([self.letters, np.ones(more, dtype=bool)])
-        self.extra.append(word)
+            self.scores = np.concatenate([self.scores, np.zeros((at, self.width), np.float32)])
+            self.letters = np.concatenate([self.letters, np.ones(at, dtype=bool)])
+        known, scores = self.model["words"]
+        row = known.get(key_of(word))
+        self.letters[at] = row is not None or any(map(str.isalpha, word))
+        if row is not None:
+            self.scores[at] = scores[row]
+        else:
+            self.scores[at] = self.back_off(word) if self.letters[at] else 0.0
         self[word] = at
-        self.letters[at] = any(map(str.isalpha, word))
-        self.scores[at] = self.back_off(word) if self.letters[at] else 0.0
         return at
 
     def back_off(self, word: str) -> np.ndarray:
@@ -174,14 +211,16 @@ class Scorer(dict):
         if text is None or not self.width:
             return UNKNOWN, 0.0
         words = words_of(text)
-        if len(self.extra) > CACHE:  # start over; a text's words stay together
-            for w in self.extra:
-                del self[w]
-            self.extra.clear()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if not len(rows) or not self.letters[rows].any():
+        total, letters = self.model["prior"], False
+        for at in range(0, len(words), PART):
+            part = words[at:at + PART]
+            if len(self) > self.most:  # start over; a part's words stay together
+                self.clear()
+            rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
+            letters = letters or bool(self.letters[rows].any())
+            total = total + self.scores[rows].sum(axis=0, dtype=np.float64)
+        if not letters:
             return UNKNOWN, 0.0
-        total = self.model["prior"] + self.scores[rows].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))
         return self.model["langs"][best], float(min(1.0, 1.0 / np.exp(total - total[best]).sum()))
 

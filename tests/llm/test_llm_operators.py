@@ -205,6 +205,35 @@ def test_language_backs_off_to_shorter_grams():
     assert s.predict("qq") == ("a", 0.5)  # nothing known: the first of equals
 
 
+def test_language_learns_every_language_and_long_words(spark):
+    """300 languages of one word each, and words of 60 letters or more."""
+    letters = "abcdefghijklmnopqrst"
+    name = lambda i: letters[i % 20] + letters[i // 20 % 20] + letters[i // 400]
+    word = lambda i: name(i) * (25 if i % 3 else 2)
+    rows = [(10 * i + j, f"{word(i)} {word(i)}", f"lang{i:03d}") for i in range(300) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model["langs"]) == 300 and max(map(len, model["words"][0])) <= language.SPELT_OUT
+    found = language.identify(docs.drop("lang"), train=docs).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang = lang_pred").count() == len(rows)
+
+
+def test_language_keeps_counts_below_the_cut(spark, monkeypatch):
+    """A word that one language names is counted in the other as well, though
+    it is below the cut there; long texts are scored in parts."""
+    monkeypatch.setattr(language, "WORDS", 2)
+    monkeypatch.setattr(language, "PART", 3)
+    rows = [(1, "the the the die", "en"), (2, "die die die die the", "de")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    row, scores = model["words"]
+    assert sorted(row) == ["die", "the"]
+    want = {"the": [1, 3], "die": [4, 1]}  # of 5 (de) and 4 (en) words
+    for w, counts in want.items():
+        assert np.allclose(scores[row[w]], [math.log((n + 0.5) / (all_ + 1)) for n, all_ in zip(counts, (5, 4), strict=True)], atol=1e-5)
+    s = language.Scorer(model)
+    assert s.predict("die " * 40)[0] == "de" and s.predict("the " * 40)[0] == "en"
+
+
 # -- 4 ------------------------------------------------------------------------
 def test_licences_are_scored_and_inherited(spark):
     filler = H.prose(3, 40)
