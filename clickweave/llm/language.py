@@ -46,8 +46,9 @@ GRAMS = 40_000       # of each order
 ORDERS = (5, 4, 3, 2, 1)
 SPELT_OUT = 40       # letters; the model holds longer words by their digest
 SMOOTHING = 0.5
-CACHE = 150_000      # words whose scores a task remembers, with many languages
-CACHE_CELLS = 4_000_000  # fewer: so many scores in all
+DENSE_CELLS = 2_000_000  # numbers of a table that a task unfolds
+CACHE = 50_000       # unseen words whose scores a task remembers; with many
+CACHE_CELLS = 4_000_000  # languages fewer: so many scores in all
 PART = 10_000        # words of a text that are scored at once
 UNKNOWN = "und"
 
@@ -88,6 +89,17 @@ class Sparse:
             out[i, self.langs[part]] = self.values[part]
         return out[0] if one else out
 
+    def dense(self) -> np.ndarray:
+        out = np.tile(self.base, (len(self), 1))
+        out[np.repeat(np.arange(len(self)), np.diff(self.start)), self.langs] = self.values
+        return out
+
+
+def unfolded(table) -> np.ndarray | Sparse:
+    """The table as a plain array if that has at most DENSE_CELLS numbers: the
+    same numbers, found faster."""
+    return table.dense() if isinstance(table, Sparse) and len(table) * len(table.base) <= DENSE_CELLS else table
+
 
 def _count(kind: str):
     """Per batch counts, so that what is shuffled is pre-aggregated."""
@@ -138,7 +150,8 @@ def fit(docs: DataFrame) -> dict:
     part = docs.sparkSession.createDataFrame(
         [(x, min(1.0, DOCS_PER_LANGUAGE / n)) for x, n in shares.items()], "lang string, part double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 24)) / float(1 << 24)
-    sample = labelled.join(part, "lang").where(draw < F.col("part")).select("doc_id", "text", "lang")
+    # as many rows as the model has classes
+    sample = labelled.join(F.broadcast(part), "lang").where(draw < F.col("part")).select("doc_id", "text", "lang")
     words = (sample.mapInPandas(_count("words"), "lang string, item string, n long")
              .groupBy("lang", "item").agg(F.sum("n").alias("n")))
     words = checkpointed(words)
@@ -175,33 +188,41 @@ def fit(docs: DataFrame) -> dict:
 
 
 class Scorer(dict):
-    """word -> row of ``scores``; a word is scored when a task first meets it."""
+    """word -> row of ``scores``: those of an unfolded model, and the words that
+    a task meets besides, scored at their first sight."""
 
     def __init__(self, model: dict):
-        super().__init__()
         self.model, self.width = model, len(model["langs"])
+        self.row, self.table = model["words"][0], unfolded(model["words"][1])
+        self.grams = {n: (row, unfolded(table)) for n, (row, table) in model["grams"].items()}
+        whole = isinstance(self.table, np.ndarray)
+        super().__init__(self.row if whole else {})
+        self.known = len(self)
         self.most = max(1_000, min(CACHE, CACHE_CELLS // max(1, self.width)))
-        self.scores = np.zeros((1024, self.width), np.float32)
+        self.scores = np.concatenate([*([self.table] if whole else []), np.zeros((1024, self.width), np.float32)])
         self.letters = np.ones(len(self.scores), dtype=bool)
+        self.extra: list[str] = []
 
     def __missing__(self, word: str) -> int:
-        at = len(self)
+        at = self.known + len(self.extra)
         if at == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros((at, self.width), np.float32)])
-            self.letters = np.concatenate([self.letters, np.ones(at, dtype=bool)])
-        known, scores = self.model["words"]
-        row = known.get(key_of(word))
+            more = max(1024, len(self.extra))
+            self.scores = np.concatenate([self.scores, np.zeros((more, self.width), np.float32)])
+            self.letters = np.concatenate([self.letters, np.ones(more, dtype=bool)])
+        self.extra.append(word)
+        self[word] = at
+        # an unfolded model's own words are here from the start, but for digests
+        row = None if self.known and len(word) <= SPELT_OUT else self.row.get(key_of(word))
         self.letters[at] = row is not None or any(map(str.isalpha, word))
         if row is not None:
-            self.scores[at] = scores[row]
+            self.scores[at] = self.table[row]
         else:
             self.scores[at] = self.back_off(word) if self.letters[at] else 0.0
-        self[word] = at
         return at
 
     def back_off(self, word: str) -> np.ndarray:
         for n in ORDERS:
-            row, scores = self.model["grams"][n]
+            row, scores = self.grams[n]
             found = [row[g] for g in grams_of(word, n) if g in row]
             if found:
                 return scores[found].mean(axis=0)
@@ -214,8 +235,10 @@ class Scorer(dict):
         total, letters = self.model["prior"], False
         for at in range(0, len(words), PART):
             part = words[at:at + PART]
-            if len(self) > self.most:  # start over; a part's words stay together
-                self.clear()
+            if len(self.extra) > self.most:  # start over; a part's words stay together
+                for w in self.extra:
+                    del self[w]
+                self.extra.clear()
             rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
             letters = letters or bool(self.letters[rows].any())
             total = total + self.scores[rows].sum(axis=0, dtype=np.float64)
