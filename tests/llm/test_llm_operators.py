@@ -139,6 +139,31 @@ def test_minhash_slices_do_not_matter(spark, docs):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_minhash_query_against_single_texts(spark):
+    """The registered query over a whole table: every text, its edited form and
+    its successor, hashed one by one."""
+    from clickweave.llm import queries
+
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF001}/documents.parquet").collect())
+    p = minhash.Permutations()
+    one = lambda text: p.signatures([text.encode()])[0]
+    got = {r.doc_id: r for r in queries.QUERIES["op2_minhash"](spark, SF001).collect()}
+    assert len(got) == len(rows)
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        k = len(text) // 4
+        edited = text[:len(text) - k] + after[:k]
+        a, b, c = one(text), one(edited), one(after)
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (minhash.written(a), minhash.written(b))
+        assert (r.near_edited, r.near_next) == (minhash.likeness(a, b), minhash.likeness(a, c))
+
+
+def test_fingerprints_of_an_empty_table(empty):
+    assert simhash.near_duplicates(empty).count() == simhash.keep_one(empty).count() == 0
+    assert minhash.compare_edited(empty).count() == minhash.near_duplicates(empty).count() == 0
+
+
 def test_minhash_estimates_without_bias():
     p = minhash.Permutations()
     off = []
