@@ -534,6 +534,25 @@ def test_neighbours_recall_and_ties(spark):
     assert all(sorted(x) == list(range(1, 21)) for x in found.values())
 
 
+def test_neighbours_recall_with_many_cells(spark, monkeypatch):
+    """The path of large tables: queries visit further cells."""
+    monkeypatch.setattr(neighbours, "CELL", 64)
+    table = spark.read.parquet(f"{SF001}/embeddings.parquet".replace("sf0.001", "sf0.01")).select("vec_id", "embedding")
+    data = {r.vec_id: np.array(r.embedding, dtype=np.float64) for r in table.collect()}
+    got: dict[int, set] = {}
+    for q, i in rows_of(neighbours.nearest(table, F.col("vec_id") % 20 == 0), "query_id", "vec_id"):
+        got.setdefault(q, set()).add(i)
+    asked = [i for i in data if i % 20 == 0]
+    assert len(data) > 4 * neighbours.CELL and set(got) == set(asked)
+    ids = np.array(sorted(data))
+    matrix = np.stack([data[i] for i in ids])
+    hits = 0
+    for q in asked:
+        scores = np.where(ids == q, -np.inf, matrix @ data[q])
+        hits += len(got[q] & set(ids[np.lexsort((ids, -scores))[:20]].tolist()))
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_neighbours_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 0.0]), (20, [0.5, 0.5])], "vec_id long, embedding array<float>")
     got = ordered(rows_of(neighbours.nearest(df, F.col("vec_id") % 20 == 0), "query_id", "rank", "vec_id", "score"))
