@@ -36,9 +36,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +60,10 @@ BLOCK = 512          # documents of one product
 CACHE = 200_000      # terms whose place a task remembers
 PART = 1 << 20
 
-_TERM = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+# A run of letters, of digits, of other marks or of underscores. Most words are of
+# the letters listed, which are told faster than by exclusion; blanks go with the
+# term before them.
+_TERM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\W\d_])|[^\W\d_]+|\d+|[^\w\s]+|_+)\s*")
 _MARKS = 32          # places of runs of marks, by hash
 _LENGTHS = 12
 _FIRST_MARK = 5
@@ -73,59 +74,72 @@ def place(term: str) -> int:
     return zlib.crc32(term.encode("utf-8", "surrogatepass")) % TERMS
 
 
+class Codes(dict):
+    """Term -> its place, its style slot (of the length or the marks) and whether
+    it is upper case, in one number: (upper * STYLES + slot) * TERMS + place."""
+
+    def __missing__(self, term: str) -> int:
+        if len(self) > CACHE:
+            self.clear()
+        first = term[0]
+        if first.isalpha():
+            slot = _FIRST_MARK + _MARKS + min(len(term), _LENGTHS) - 1
+        elif first.isdigit():
+            slot = 3
+        else:
+            slot = _FIRST_MARK + zlib.crc32(term.encode("utf-8", "surrogatepass")) % _MARKS
+        # digits count by their number only
+        lower = "0" * min(len(term), 8) if slot == 3 else term.lower()
+        upper = len(term) > 1 and term.isupper()
+        code = self[term] = (upper * STYLES + slot) * TERMS + place(lower)
+        return code
+
+
 class Reader:
-    """Texts -> places, counts, and style."""
+    """Texts -> places, counts, and style. A text's terms are looked up and
+    counted as a whole, without a step of Python for each."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int, bool]] = {}
-
-    def about(self, term: str) -> tuple[int, int, bool]:
-        """Place, style slot (of the length or the marks) and whether upper case."""
-        found = self.known.get(term)
-        if found is None:
-            if len(self.known) > CACHE:
-                self.known.clear()
-            if term[0].isalpha():
-                slot = _FIRST_MARK + _MARKS + min(len(term), _LENGTHS) - 1
-            elif term[0].isdigit():
-                slot = 3
-            else:
-                slot = _FIRST_MARK + zlib.crc32(term.encode("utf-8", "surrogatepass")) % _MARKS
-            # digits count by their number only
-            lower = "0" * min(len(term), 8) if slot == 3 else term.lower()
-            found = self.known[term] = place(lower), slot, len(term) > 1 and term.isupper()
-        return found
+        self.known = Codes()
+
+    def parts(self, text: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        """The terms and their codes; a term across two parts counts as two."""
+        for start in range(0, len(text), PART):
+            terms = _TERM.findall(text, start, min(len(text), start + PART))
+            yield terms, np.fromiter(map(self.known.__getitem__, terms), np.int64, len(terms))
+
+    def places(self, text: str | None) -> np.ndarray:
+        """Sorted places of the terms."""
+        found = [np.unique(codes % TERMS) for _, codes in self.parts(text or "")]
+        return found[0] if len(found) == 1 else np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
 
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted places, their counts, and the style vector."""
         text = text or ""
-        counts: Counter = Counter()
+        count, kind = np.zeros(TERMS, np.int64), np.zeros(2 * STYLES, np.int64)
         repeated = 0
         last = None
-        for start in range(0, len(text), PART):  # a term across two parts counts as two
-            terms = _TERM.findall(text, start, min(len(text), start + PART))
-            counts.update(terms)
-            repeated += sum(map(eq, terms, terms[1:])) + (bool(terms) and terms[0] == last)
+        for terms, codes in self.parts(text):
+            key, where = np.divmod(codes, TERMS)
+            count += np.bincount(where, minlength=TERMS)
+            kind += np.bincount(key, minlength=2 * STYLES)
+            # equal terms have equal codes
+            repeated += sum(terms[i] == terms[i + 1] for i in np.flatnonzero(codes[1:] == codes[:-1]).tolist())
+            repeated += bool(terms) and terms[0] == last
             last = terms[-1] if terms else last
-        style = np.zeros(STYLES)
-        total = counts.total()
+        total = kind.sum()
         if not total:
-            return np.zeros(0, np.int64), np.zeros(0), style
-        at: dict[int, int] = {}
-        for term, n in counts.items():
-            where, slot, upper = self.about(term)
-            at[where] = at.get(where, 0) + n
-            style[slot] += n
-            if upper:
-                style[0] += n
+            return np.zeros(0, np.int64), np.zeros(0), np.zeros(STYLES)
+        lower, upper = kind.reshape(2, STYLES)
+        style = (lower + upper).astype(np.float64)
+        style[0] = upper.sum()
         style[1] = repeated
         style /= total
         lines = text.split("\n")
         style[2] = 1 - len(set(lines)) / len(lines)
         style[4] = sum(map(text.count, " \t\n")) / len(text)
-        places = np.fromiter(at, np.int64, len(at))
-        order = np.argsort(places)
-        return places[order], np.fromiter(at.values(), np.float64, len(at))[order], STYLE * np.sqrt(style)
+        found = np.flatnonzero(count)
+        return found, count[found].astype(np.float64), STYLE * np.sqrt(style)
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -142,7 +156,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         reader, seen, n = Reader(), np.zeros(TERMS, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen[reader.read(text)[0]] += 1
+                seen[reader.places(text)] += 1
             n += batch.num_rows
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, TERMS)), pa.array(np.append(seen[at], n))], ["place", "n"])
@@ -259,11 +273,15 @@ def vote(block: np.ndarray, model: dict) -> np.ndarray:
     labelled, label, mean = model["vectors"], model["labels"], model["mean"]
     if not len(labelled):
         return np.full(len(block), mean)
-    cosine = np.round(block @ labelled.T, 5)
+    cosine = block @ labelled.T
     k = min(NEIGHBOURS, len(labelled))
-    least = np.partition(cosine, len(labelled) - k, axis=1)[:, len(labelled) - k]
-    row, col = np.nonzero(cosine >= least[:, None])
-    weight = ((1 + cosine[row, col].astype(np.float64)) / 2) ** POWER
+    # rounding keeps the order, so only what may vote is rounded
+    least = np.round(np.partition(cosine, len(labelled) - k, axis=1)[:, len(labelled) - k], 5)
+    row, col = np.nonzero(cosine >= (least - 1e-4)[:, None])
+    near = np.round(cosine[row, col], 5)
+    voting = near >= least[row]
+    row, col, near = row[voting], col[voting], near[voting]
+    weight = ((1 + near.astype(np.float64)) / 2) ** POWER
     votes = np.bincount(row, weight, len(block))
     score = (np.bincount(row, weight * label[col], len(block)) + PRIOR * mean) / (votes + PRIOR)
     return np.where(np.abs(block).sum(axis=1) > 0, np.clip(score, 0, 1), mean)

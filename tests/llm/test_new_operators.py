@@ -8,6 +8,7 @@ import os
 import random
 import re
 import sys
+import zlib
 from collections import Counter
 
 import duckdb
@@ -109,6 +110,76 @@ def test_quality_of_awkward_rows(spark, docs, empty):
     assert long[1].sum() == pytest.approx(400_000, abs=3)
 
 
+def plain_reading(text):
+    """Places, counts and style of a text, term by term; None where ``text`` has no term."""
+    terms = re.findall(r"[^\W\d_]+|\d+|[^\w\s]+|_+", text or "")
+    at, style = Counter(), np.zeros(quality.STYLES)
+    for t in terms:
+        letters, digits = t[0].isalpha(), t[0].isdigit()
+        at[quality.place("0" * min(len(t), 8) if digits else t.lower())] += 1
+        style[36 + min(len(t), 12) if letters else 3 if digits else 5 + zlib.crc32(t.encode()) % 32] += 1
+        style[0] += len(t) > 1 and t.isupper()
+    if not terms:
+        return [], [], style
+    style[1] = sum(a == b for a, b in zip(terms, terms[1:], strict=False))
+    style /= len(terms)
+    lines = text.split("\n")
+    style[2] = 1 - len(set(lines)) / len(lines)
+    style[4] = sum(c in " \t\n" for c in text) / len(text)
+    return sorted(at), [at[x] for x in sorted(at)], quality.STYLE * np.sqrt(style)
+
+
+def test_quality_reader_equals_a_plain_one(monkeypatch):
+    r = random.Random(4)
+    texts = [r[1] for r in H.awkward()] + [
+        "²³ ab²c １２ x_y__z", "Łódź ŁÓDŹ naïve ªº µ", "a\x1cb\x85c\xa0d", "日本語 日本語", "ǅ ǅ 1 1 22 ²² ²²", "!! !! !", "AB AB ab",
+        "_ _ __", "½ ½", "٣٤ ٣٤ x", "ÀÉ ÀÉ ß ẞẞ", "İ i̇ Σ Ας"]
+    texts += ["".join(r.choices("abAB éŁł12²_!?.\n\t\x1c ½٣語ªµß×÷", k=r.randrange(300))) for _ in range(300)]
+    for cache in (quality.CACHE, 5):  # remembered terms change nothing
+        monkeypatch.setattr(quality, "CACHE", cache)
+        reader = quality.Reader()
+        for text in texts:
+            places, counts, style = plain_reading(text)
+            got = reader.read(text)
+            assert got[0].tolist() == places == reader.places(text).tolist()
+            assert got[1].tolist() == counts and np.array_equal(got[2], style)
+    monkeypatch.setattr(quality, "PART", 8)  # parts that end at blanks
+    text = "one two two one one two two one 123 123 123 123 "
+    assert all(np.array_equal(a, b) for a, b in zip(reader.read(text), plain_reading(text), strict=True))
+    assert reader.places(text).tolist() == reader.read(text)[0].tolist()
+
+
+def test_quality_reads_known_terms_without_a_call_each():
+    """CPU time: terms met before cost no step of Python each."""
+    def calls(text):
+        seen = []
+        sys.setprofile(lambda frame, event, _: event == "call" and seen.append(frame.f_code.co_name))
+        try:
+            reader.read(text)
+        finally:
+            sys.setprofile(None)
+        return len(seen)
+
+    reader, words = quality.Reader(), [chr(97 + i // 26) + chr(97 + i % 26) for i in range(600)]
+    reader.read(" ".join(words))
+    assert calls(" ".join(words)) <= calls(" ".join(words[:20])) + 5
+
+
+def test_votes_round_like_a_vote_that_rounds_all():
+    r = np.random.default_rng(5)
+    base = r.standard_normal((60, quality.DIMS))
+    vectors = np.array([quality.directed(base[i % 60] + 2e-3 * r.standard_normal(quality.DIMS)) for i in range(3_000)])  # near ties
+    block = np.array([quality.directed(v) for v in base])
+    for n in (3_000, quality.NEIGHBOURS, 3):
+        labels = r.integers(0, 2, n).astype(float)
+        cosine = np.round(block @ vectors[:n].T, 5)
+        near = cosine >= np.sort(cosine, axis=1)[:, -min(quality.NEIGHBOURS, n), None]
+        w = np.where(near, ((1 + cosine.astype(np.float64)) / 2) ** quality.POWER, 0)
+        want = (w @ labels + quality.PRIOR * 0.4) / (w.sum(axis=1) + quality.PRIOR)
+        got = quality.vote(block, {"vectors": vectors[:n], "labels": labels, "mean": 0.4})
+        assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
 # -- 12 -----------------------------------------------------------------------
 def test_boundary_sets_select_like_a_list():
     r = np.random.default_rng(3)
